@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .abi_types import WORD, AbiType, parse_type_list, tuple_type
@@ -36,38 +36,52 @@ INVALID_UNSIGNED = "InvalidUnsignedInteger"
 UTF8_ERROR = "Utf8Error"
 INTEGER_OVERFLOW = "IntegerOverflow"  # value outside the 64-bit result type
 
-_ZERO24 = F.lit(bytes(24))
-_ZERO28 = F.lit(bytes(28))
-_FF24 = F.lit(b"\xff" * 24)
-_ONE = F.lit(b"\x01")
-_HIGH_BIT = F.lit(b"\x80")
-_NO_ERROR = F.lit(None).cast("string")
+# Byte constants compared against slices of a word (built per call: a
+# Column needs an active session).
+ZERO24 = bytes(24)
+ZERO28 = bytes(28)
+FF24 = b"\xff" * 24
+ONE = b"\x01"
+HIGH_BIT = b"\x80"
+
+
+def _no_error() -> Column:
+    return F.lit(None).cast("string")
 
 
 @dataclass(frozen=True)
 class _Frame:
+    """The payload and its length.  Positions are 0-based byte offsets, a
+    Python int where the layout makes them static (every top-level
+    parameter and struct field), else a bigint Column."""
+
     data: Column
     length: Column  # bigint byte length of data
 
-    def read(self, pos: Column, n) -> Column:
-        """``n`` bytes at 0-based ``pos``.  The position is clamped into the
+    def read(self, pos, n) -> Column:
+        """``n`` bytes at ``pos``.  A dynamic position is clamped into the
         payload so the int cast never overflows; callers only use the value
         where the bounds test passed."""
-        start = (F.least(F.greatest(pos, F.lit(0)), self.length) + 1).cast("int")
+        if isinstance(pos, int):
+            start = F.lit(pos + 1)
+        else:
+            start = (F.least(F.greatest(pos, F.lit(0)), self.length) + 1).cast("int")
         if isinstance(n, int):
             size = F.lit(n)
         else:
             size = F.least(F.greatest(n, F.lit(0)), self.length).cast("int")
         return self.data.substr(start, size)
 
-    def fits(self, pos: Column, n) -> Column:
-        return pos + n <= self.length
+    def fits(self, pos, n) -> Column:
+        if isinstance(pos, int) and isinstance(n, int):
+            return self.length >= F.lit(pos + n)
+        return self.length >= pos + n
 
-    def size_word(self, pos: Column):
+    def size_word(self, pos):
         """A 32-byte size/pointer word: (error, value).  The first 28 bytes
         must be zero; the value is the last 4 bytes."""
         err = F.when(~self.fits(pos, WORD), F.lit(OUT_OF_BOUNDS)).when(
-            self.read(pos, 28) != _ZERO28, F.lit(INVALID_UNSIGNED)
+            self.read(pos, 28) != F.lit(ZERO28), F.lit(INVALID_UNSIGNED)
         )
         val = F.conv(F.hex(self.read(pos + 28, 4)), 16, 10).cast("bigint")
         return err, val
@@ -82,13 +96,13 @@ def _compile(t: AbiType, fr: _Frame, pos: Column, base: Column):
         return F.lower(F.hex(fr.read(pos + 12, 20))), err
     if k == "uint":
         err = F.when(~fr.fits(pos, WORD), F.lit(OUT_OF_BOUNDS)).when(
-            fr.read(pos, 24) != _ZERO24, F.lit(INTEGER_OVERFLOW)
+            fr.read(pos, 24) != F.lit(ZERO24), F.lit(INTEGER_OVERFLOW)
         )
         val = F.conv(F.hex(fr.read(pos + 24, 8)), 16, 10).cast("decimal(20,0)")
         return val, err
     if k == "int":
         hi, top = fr.read(pos, 24), fr.read(pos + 24, 1)
-        in_range = ((hi == _ZERO24) & (top < _HIGH_BIT)) | ((hi == _FF24) & (top >= _HIGH_BIT))
+        in_range = ((hi == F.lit(ZERO24)) & (top < F.lit(HIGH_BIT))) | ((hi == F.lit(FF24)) & (top >= F.lit(HIGH_BIT)))
         err = F.when(~fr.fits(pos, WORD), F.lit(OUT_OF_BOUNDS)).when(
             ~in_range, F.lit(INTEGER_OVERFLOW)
         )
@@ -96,7 +110,7 @@ def _compile(t: AbiType, fr: _Frame, pos: Column, base: Column):
         return val, err
     if k == "bool":
         err = F.when(~fr.fits(pos, WORD), F.lit(OUT_OF_BOUNDS))
-        return fr.read(pos + 31, 1) == _ONE, err
+        return fr.read(pos + 31, 1) == F.lit(ONE), err
     if k == "fixed_bytes":
         err = F.when(~fr.fits(pos, t.size), F.lit(OUT_OF_BOUNDS))
         return fr.read(pos, t.size), err
@@ -146,39 +160,49 @@ def _compile(t: AbiType, fr: _Frame, pos: Column, base: Column):
             vals.append(v.alias(f"f{i}"))
             errs.append(e)
             off = off + f.head
-        return F.struct(*vals), F.coalesce(*errs, _NO_ERROR)
+        return F.struct(*vals), F.coalesce(*errs, _no_error())
     raise ValueError(f"unknown ABI kind {k}")
 
 
 def decode_columns(data: Column, types) -> tuple[list[Column], Column]:
     """Decode a parameter list laid out from offset 0.
 
-    Returns one value Column per parameter (``p0``, ``p1``, ..; NULL when
-    the row failed) and the first error in parameter order (NULL when the
-    whole row decoded)."""
+    Returns one value Column per parameter (``p0``, ``p1``, ..) and the
+    first error in parameter order (NULL when the whole row decoded).  The
+    values are not masked: where ``error`` is set they are meaningless.  Use
+    ``decode_frame`` to get NULLs there without repeating the error
+    expression inside every value."""
     if types and isinstance(types[0], str):
         types = parse_type_list(types)
     fr = _Frame(data, F.length(data).cast("bigint"))
     values, errors, off = [], [], 0
     for t in types:
-        v, e = _compile(t, fr, F.lit(off).cast("bigint"), F.lit(0).cast("bigint"))
+        v, e = _compile(t, fr, off, 0)
         values.append(v)
         errors.append(e)
         off += t.head
-    error = F.coalesce(*errors, _NO_ERROR) if errors else _NO_ERROR
-    ok = error.isNull()
-    return [F.when(ok, v).alias(f"p{i}") for i, v in enumerate(values)], error.alias("error")
+    error = F.coalesce(*errors, _no_error()) if errors else _no_error()
+    return [v.alias(f"p{i}") for i, v in enumerate(values)], error.alias("error")
+
+
+def decode_frame(df: DataFrame, types, data_col: str = "data") -> DataFrame:
+    """``df`` plus ``p0 .. pn`` (NULL where the row failed) and ``error``.
+
+    Two projections: the error is computed once as a column, then each value
+    is masked by a reference to it."""
+    values, error = decode_columns(F.col(data_col), types)
+    names = [f"p{i}" for i in range(len(values))]
+    raw = [v.alias(f"_raw_{n}") for v, n in zip(values, names)]
+    ok = F.col("error").isNull()
+    return df.select("*", *raw, error).select(
+        *df.columns, *[F.when(ok, F.col(f"_raw_{n}")).alias(n) for n in names], "error"
+    )
 
 
 def decode_struct(data: Column, types) -> tuple[Column, Column]:
-    """Decoded parameters as one struct ``<p0, p1, ..>`` plus the error."""
+    """Decoded parameters as one struct ``<p0, p1, ..>`` plus the error
+    (values not masked, as ``decode_columns``)."""
     values, error = decode_columns(data, types)
     if not values:
         return F.struct().cast(tuple_type(())), error
     return F.struct(*values), error
-
-
-def decode_variant(data: Column, types) -> tuple[Column, Column]:
-    """The dynamic value list as a VARIANT object ``{p0: .., p1: ..}``."""
-    st, error = decode_struct(data, types)
-    return F.when(error.isNull(), F.to_variant_object(st)), error

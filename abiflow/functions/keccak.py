@@ -12,11 +12,18 @@ from their defining rules in FIPS 202 rather than written out.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The UDF below is the only Python that runs on executors.  Ship this module
+# by value with it, so workers need numpy and pandas but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 RATE = 136  # bytes, for a 256-bit output (capacity 512)
 ROUNDS = 24
 

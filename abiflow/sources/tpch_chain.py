@@ -82,11 +82,29 @@ class ChainTables:
 
     def notices_by_hash(self) -> DataFrame:
         """Poll batches of up to four hashes, ordered by block number."""
-        return (
-            self.blocks.groupBy((F.col("block_number") / HASH_NOTICE_BATCH).cast("bigint").alias("arrival_seq"))
-            .agg(F.array_sort(F.collect_list(F.struct("block_number", "block_hash"))).alias("b"))
-            .select("arrival_seq", F.transform("b", lambda x: x["block_hash"]).alias("hashes"))
-        )
+        return hash_notices(self.blocks.select("block_number"))
+
+
+def number_notices(numbers: DataFrame) -> DataFrame:
+    """One announcement per block number, in number order."""
+    return numbers.select(F.col("block_number").alias("arrival_seq"), "block_number")
+
+
+def hash_notices(numbers: DataFrame) -> DataFrame:
+    """Poll batches: the hashes of four consecutive block numbers per
+    announcement, in number order.  A group holds at most four rows."""
+    return (
+        numbers.groupBy(F.floor(F.col("block_number") / HASH_NOTICE_BATCH).cast("bigint").alias("arrival_seq"))
+        .agg(F.array_sort(F.collect_list(F.struct("block_number", block_hash_of(F.col("block_number")).alias("h")))).alias("b"))
+        .select("arrival_seq", F.transform("b", lambda x: x["h"]).alias("hashes"))
+    )
+
+
+def shipdate_block_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block numbers announced by ship date: they run past the last order
+    date, so some announced blocks do not exist (missing-block stop)."""
+    li = read(spark, sf_dir, "lineitem")
+    return li.select(block_number_of(F.col("l_shipdate")).alias("block_number")).distinct()
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +171,7 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = F.when(F.col("l_linestatus") == "F", F.array(first, F.lit(UPDATED_HASH))).otherwise(F.array(first))
     return li.select(
         tx_hash_of(F.col("l_orderkey")).alias("tx_hash"),
-        (F.row_number().over(log_index_window()) - 1).alias("log_index"),
+        (F.row_number().over(log_index_window()) - 1).cast("int").alias("log_index"),
         address_of(F.col("l_suppkey")).alias("address"),
         topics.alias("topics"),
         event_payload(li).alias("data"),
