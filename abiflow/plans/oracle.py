@@ -249,6 +249,7 @@ FROM lineitem
 
 ORACLE_SQL: dict[str, str] = {
     "k1_decoded_events": K1,
+    "o2_stream_decoded": K1,
     "k2_dead_letters": K2,
     "k3_match_notices": K3,
     "j4_match_by_explode": K3,

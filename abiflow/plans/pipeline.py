@@ -52,6 +52,23 @@ class ChainInput:
     mode: str = B.NUMBER
 
 
+@dataclass
+class PreparedSubscriptions:
+    """The subscription catalogue plus the two config-sized facts the plan
+    is built from: the subscribed hashes and the distinct type lists."""
+
+    subs: Subscriptions
+    hashes: list[str]
+    type_keys: list[str]
+
+
+def prepare_subscriptions(subscriptions: DataFrame, strict: bool = True) -> PreparedSubscriptions:
+    subs = prepare(subscriptions, strict=strict)
+    filters = subs.filters.where(F.col("hash").isNotNull())
+    rows = filters.select("hash", "type_key").distinct().collect()
+    return PreparedSubscriptions(subs, sorted({r.hash for r in rows}), sorted({r.type_key for r in rows}))
+
+
 @dataclass
 class RunOutput:
     subscriptions: Subscriptions
@@ -61,6 +78,7 @@ class RunOutput:
     receipt_errors: DataFrame  # K4
     matches: DataFrame  # K3 (+ data, to decode)
     events: DataFrame  # every match + params + error
+    tx_rows: DataFrame  # subscribed, announced txs with their receipt flag (shared by K1-K4)
 
     def decoded(self) -> DataFrame:
         """K1: rows that decoded."""
@@ -75,28 +93,20 @@ class RunOutput:
         return self.matches.select(*MATCH_COLUMNS)
 
 
-def type_keys_of(subs: Subscriptions) -> list[str]:
-    """Distinct type lists of the effective filters (config-sized)."""
-    rows = subs.filters.where(F.col("type_key").isNotNull()).select("type_key").distinct().collect()
-    return sorted(r.type_key for r in rows)
-
-
 def run_batch(inp: ChainInput, strict: bool = True, strategy: str = M.JOIN,
-              decoder: Decoder | None = None, subs: Subscriptions | None = None) -> RunOutput:
-    subs = subs if subs is not None else prepare(inp.subscriptions, strict=strict)
+              decoder: Decoder | None = None, prepared: PreparedSubscriptions | None = None) -> RunOutput:
+    p = prepared if prepared is not None else prepare_subscriptions(inp.subscriptions, strict=strict)
     looked = B.lookup_blocks(inp.notices, inp.blocks, inp.mode)
 
     # F1 + F2 + J2 before anything is joined to the big tables: only txs sent
     # to a subscribed address go on to the receipt lookup.
-    sub_txs = M.subscribed_transactions(inp.transactions, subs.addresses)
+    sub_txs = M.subscribed_transactions(inp.transactions, p.subs.addresses)
     rows = M.announced(sub_txs, looked.found)
     rows = M.with_receipts(rows, inp.receipts)
     kept, receipt_errors = M.receipt_gap_cut(rows)
 
-    filters = subs.filters.where(F.col("hash").isNotNull())
-    hashes = sorted(r.hash for r in filters.select("hash").distinct().collect())
-    matches = M.match_logs(kept, inp.logs, filters, hashes, strategy=strategy)
+    filters = p.subs.filters.where(F.col("hash").isNotNull())
+    matches = M.match_logs(kept, inp.logs, filters, p.hashes, strategy=strategy)
 
-    keys = type_keys_of(subs)
-    events = (decoder or decode_mixed)(matches.select(*MATCH_COLUMNS, "data"), keys)
-    return RunOutput(subs, keys, looked.progress, looked.missing, receipt_errors, matches, events)
+    events = (decoder or decode_mixed)(matches.select(*MATCH_COLUMNS, "data"), p.type_keys)
+    return RunOutput(p.subs, p.type_keys, looked.progress, looked.missing, receipt_errors, matches, events, rows)

@@ -8,6 +8,8 @@ compared with the DuckDB oracles in ``oracle.py`` column by column.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +25,12 @@ from ..operators.decode_events import decode_mixed, decode_typed
 from ..operators.subscriptions import prepare, validate
 from ..sources import tpch_chain as C
 from ..sources import tpch_payloads as P
+from ..session import scratch_path
+from ..sources import sinks
 from .pipeline import MATCH_COLUMNS, ChainInput, RunOutput, run_batch
 
+STREAM_CHUNKS = 4
+
 EVENT_TYPE_KEY = ",".join(C.EVENT_TYPES)
 KEY_COLUMNS = ["arrival_seq", "arrival_pos", "block_number", "tx_index", "tx_hash", "log_index",
                "event_ord", "event_name"]
@@ -95,6 +101,33 @@ def d16_variant_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(*KEY_COLUMNS, "error", F.to_json("params").alias("params_json"))
 
 
+def typed_decoder(matches: DataFrame, type_keys: list[str]) -> DataFrame:
+    """U3: a replacement decoder -- typed columns for the shipped event list."""
+    return decode_typed(matches, EVENT_TYPE_KEY)
+
+
+def o2_stream_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same plan as a Structured Streaming run: announcements landed as
+    files, one file per micro-batch, ``availableNow``; result read back from
+    the sink.  Equals ``k1_decoded_events``."""
+    from ..streaming.stream import StaticTables, land_notices, run_stream
+
+    root = scratch_path(spark, "o2_stream", uuid.uuid4().hex)
+    t = C.chain_tables(spark, sf_dir)
+    land_notices(t.notices_by_number(), os.path.join(root, "notices"), STREAM_CHUNKS)
+    tables = StaticTables(
+        blocks=lambda: C.blocks(spark, sf_dir),
+        transactions=lambda: C.transactions(spark, sf_dir),
+        receipts=lambda: C.receipts(spark, sf_dir),
+        logs=lambda: C.logs(spark, sf_dir),
+    )
+    sink = os.path.join(root, "sink")
+    run_stream(spark, os.path.join(root, "notices"), tables, C.subscriptions(spark, sf_dir), sink,
+               os.path.join(root, "checkpoint"), decoder=typed_decoder, max_files_per_trigger=1)
+    ev = sinks.decoded_events(spark, sink)
+    return hexify(ev.select(*KEY_COLUMNS, *[f"p{i}" for i in range(7)]))
+
+
 # ---- announcements and block lookup: A1-A7, K5 ----------------------------
 
 def _shipdate_lookup(spark: SparkSession, sf_dir: str, mode: str) -> B.BlockLookup:
@@ -202,6 +235,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "k4_receipt_gaps": k4_receipt_gaps,
     "j1_first_subscription": j1_first_subscription,
     "d16_variant_events": d16_variant_events,
+    "o2_stream_decoded": o2_stream_decoded,
     "a4_block_lookup_by_number": a4_block_lookup_by_number,
     "a6_missing_block_by_number": a6_missing_block_by_number,
     "k5_progress_by_number": k5_progress_by_number,
