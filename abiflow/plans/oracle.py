@@ -76,6 +76,35 @@ SELECT {KEYS},
 FROM matches WHERE l_partkey % 13 <> 0
 """
 
+# the same rows keyed by polled batches: four consecutive block numbers per
+# announcement, positions in block order among the blocks that exist
+K1_HASH = CHAIN + f""",
+bpos AS (
+  SELECT block_number,
+         CAST(row_number() OVER (PARTITION BY block_number // 4 ORDER BY block_number) - 1 AS INTEGER) AS pos
+  FROM (SELECT DISTINCT {BN_ORDER} AS block_number FROM orders))
+SELECT block_number // 4 AS arrival_seq, pos AS arrival_pos, block_number, tx_index, tx_hash, log_index,
+  event_ord, event_name,
+  CAST(l_partkey AS DECIMAL(20,0)) AS p0, CAST(l_suppkey AS DECIMAL(20,0)) AS p1,
+  CAST(l_linenumber - 4 AS BIGINT) AS p2, l_linestatus = 'F' AS p3, {_addr('l_suppkey')} AS p4,
+  l_returnflag AS p5, sha256(CAST(l_partkey AS VARCHAR)) AS p6
+FROM matches JOIN bpos USING (block_number) WHERE l_partkey % 13 <> 0
+"""
+
+# VARIANT params rendered by to_json: keys in order, binary as base64
+D16 = CHAIN + f"""
+SELECT {KEYS},
+  CASE WHEN l_partkey % 13 = 0 THEN 'OutOfBounds' END AS error,
+  CASE WHEN l_partkey % 13 <> 0 THEN
+    '{{"p0":' || CAST(l_partkey AS VARCHAR) || ',"p1":' || CAST(l_suppkey AS VARCHAR) ||
+    ',"p2":' || CAST(l_linenumber - 4 AS VARCHAR) ||
+    ',"p3":' || CASE WHEN l_linestatus = 'F' THEN 'true' ELSE 'false' END ||
+    ',"p4":"' || {_addr('l_suppkey')} || '","p5":"' || l_returnflag ||
+    '","p6":"' || to_base64(unhex(sha256(CAST(l_partkey AS VARCHAR)))) || '"}}'
+  END AS params_json
+FROM matches
+"""
+
 K2 = CHAIN + f"""
 SELECT {KEYS}, 'OutOfBounds' AS error, left({EVENT_HEX}, 200) AS data_hex
 FROM matches WHERE l_partkey % 13 = 0
@@ -250,7 +279,9 @@ FROM lineitem
 ORACLE_SQL: dict[str, str] = {
     "k1_decoded_events": K1,
     "o2_stream_decoded": K1,
+    "o2_stream_by_hash": K1_HASH,
     "k2_dead_letters": K2,
+    "d16_variant_events": D16,
     "k3_match_notices": K3,
     "j4_match_by_explode": K3,
     "k4_receipt_gaps": K4,

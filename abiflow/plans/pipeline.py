@@ -24,6 +24,7 @@ that needs it, never as a global sort.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -88,6 +89,11 @@ class RunOutput:
         """K2: rows that failed to decode, with the raw payload."""
         return self.events.where(F.col("error").isNotNull()).drop("params")
 
+    def consume(self, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """U2: a per-match consumer, as a DataFrame -> DataFrame function over
+        every (log, event filter) match with its raw ``data``."""
+        return self.matches.transform(fn)
+
     def match_notices(self) -> DataFrame:
         """K3: event name + tx hash per match, before decode."""
         return self.matches.select(*MATCH_COLUMNS)

@@ -128,6 +128,29 @@ def o2_stream_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hexify(ev.select(*KEY_COLUMNS, *[f"p{i}" for i in range(7)]))
 
 
+def o2_stream_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 + A3 + A7 in a stream: only a by-hash landing folder exists, so the
+    subscriber falls back to polled batches of block hashes."""
+    from ..streaming.stream import StaticTables, land_notices, run_subscriber
+
+    root = scratch_path(spark, "o2_stream_hash", uuid.uuid4().hex)
+    t = C.chain_tables(spark, sf_dir)
+    land_notices(t.notices_by_hash(), os.path.join(root, "by_hash"), STREAM_CHUNKS)
+    tables = StaticTables(
+        blocks=lambda: C.blocks(spark, sf_dir),
+        transactions=lambda: C.transactions(spark, sf_dir),
+        receipts=lambda: C.receipts(spark, sf_dir),
+        logs=lambda: C.logs(spark, sf_dir),
+    )
+    sink = os.path.join(root, "sink")
+    mode, _ = run_subscriber(spark, os.path.join(root, "by_number"), os.path.join(root, "by_hash"), tables,
+                             C.subscriptions(spark, sf_dir), sink, os.path.join(root, "checkpoint"),
+                             decoder=typed_decoder, max_files_per_trigger=1)
+    assert mode == B.HASH
+    ev = sinks.decoded_events(spark, sink)
+    return hexify(ev.select(*KEY_COLUMNS, *[f"p{i}" for i in range(7)]))
+
+
 # ---- announcements and block lookup: A1-A7, K5 ----------------------------
 
 def _shipdate_lookup(spark: SparkSession, sf_dir: str, mode: str) -> B.BlockLookup:
@@ -236,6 +259,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "j1_first_subscription": j1_first_subscription,
     "d16_variant_events": d16_variant_events,
     "o2_stream_decoded": o2_stream_decoded,
+    "o2_stream_by_hash": o2_stream_by_hash,
     "a4_block_lookup_by_number": a4_block_lookup_by_number,
     "a6_missing_block_by_number": a6_missing_block_by_number,
     "k5_progress_by_number": k5_progress_by_number,

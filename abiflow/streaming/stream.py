@@ -54,6 +54,24 @@ def notice_schema(mode: str) -> T.StructType:
     return NUMBER_NOTICE_SCHEMA if mode == B.NUMBER else HASH_NOTICE_SCHEMA
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    """Whether ``folder`` exists on its file system (any Hadoop scheme)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(path))
+
+
+def choose_mode(spark: SparkSession, number_folder: str | None, hash_folder: str | None) -> tuple[str, str]:
+    """A3: announcements by number (push) when that landing folder is there,
+    otherwise by hash (poll).  Returns ``(mode, folder)``."""
+    if number_folder and folder_exists(spark, number_folder):
+        return B.NUMBER, number_folder
+    if hash_folder and folder_exists(spark, hash_folder):
+        return B.HASH, hash_folder
+    raise FileNotFoundError(f"no announcement folder: {number_folder!r} or {hash_folder!r}")
+
+
 def read_notices(spark: SparkSession, folder: str, mode: str = B.NUMBER,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """A1/A2: the announcement stream over a landing folder."""
@@ -98,6 +116,14 @@ def run_stream(spark: SparkSession, notice_folder: str, tables: StaticTables, su
     return query
 
 
+def run_subscriber(spark: SparkSession, number_folder: str | None, hash_folder: str | None,
+                   tables: StaticTables, subscriptions: DataFrame, sink_root: str, checkpoint: str, **kw):
+    """A3 + O2: pick the announcement mode from the landing folders, then
+    run the stream.  Returns ``(mode, query)``."""
+    mode, folder = choose_mode(spark, number_folder, hash_folder)
+    return mode, run_stream(spark, folder, tables, subscriptions, sink_root, checkpoint, mode=mode, **kw)
+
+
 def land_notices(notices: DataFrame, folder: str, chunks: int) -> None:
     """Land announcements in arrival order as ``chunks`` files, one write
     each, so the file source sees them in order (test and bench helper)."""

@@ -56,3 +56,27 @@ def test_missing_block_stops_the_stream_after_the_prefix(spark):
     assert {r.block_number for r in stored.collect()} == {1, 2}
     [err] = sinks.read_table(spark, os.path.join(root, "out"), sinks.BLOCK_ERRORS).collect()
     assert err.error == "BlockNotFoundForNumber: 99"
+
+
+def test_mode_choice_prefers_number_then_falls_back_to_hash(spark):
+    from abiflow.operators import blocks as B
+    from abiflow.streaming.stream import choose_mode
+
+    root = tempfile.mkdtemp(prefix="abiflow-mode-", dir=os.environ.get("TMPDIR", "/tmp"))
+    by_number, by_hash = os.path.join(root, "n"), os.path.join(root, "h")
+    with pytest.raises(FileNotFoundError):
+        choose_mode(spark, by_number, by_hash)
+    os.makedirs(by_hash)
+    assert choose_mode(spark, by_number, by_hash) == (B.HASH, by_hash)
+    os.makedirs(by_number)
+    assert choose_mode(spark, by_number, by_hash) == (B.NUMBER, by_number)
+
+
+def test_consumer_sees_every_match_with_its_payload(spark):
+    from pyspark.sql import functions as F
+
+    inp = fixture(spark, [(i, b) for i, b in enumerate(range(1, 9))])
+    out = run_batch(inp)
+    sized = out.consume(lambda m: m.select("tx_hash", "log_index", "event_name", F.length("data").alias("n")))
+    assert sized.count() == out.matches.count() == out.events.count()
+    assert sized.where("n IS NULL").count() == 0
