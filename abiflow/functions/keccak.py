@@ -130,8 +130,7 @@ def sha3_256(messages: list[bytes]) -> list[bytes]:
     return _sponge(messages, 0x06)
 
 
-@F.pandas_udf(T.StringType())
-def keccak256_hex(text: pd.Series) -> pd.Series:
+def _keccak256_hex(text: pd.Series) -> pd.Series:
     """keccak-256 of the UTF-8 bytes of each string, as 64 lowercase hex digits."""
     mask = text.notna().to_numpy()
     result = pd.Series([None] * len(text), index=text.index, dtype=object)
@@ -139,3 +138,9 @@ def keccak256_hex(text: pd.Series) -> pd.Series:
         msgs = [s.encode("utf-8") for s in text[mask]]
         result[mask] = [d.hex() for d in keccak256(msgs)]
     return result
+
+
+# Marked non-deterministic only so the optimizer evaluates it once: filters
+# it infers on the hash (e.g. a join's ``IS NOT NULL``) are not pushed below
+# the projection that computes it, which would hash every signature twice.
+keccak256_hex = F.pandas_udf(_keccak256_hex, T.StringType()).asNondeterministic()

@@ -29,6 +29,7 @@ class BlockLookup:
     found: DataFrame  # (arrival_seq, arrival_pos, block_number, block_hash), before the cut
     progress: DataFrame  # K5: (arrival_seq, arrival_pos, block_number)
     missing: DataFrame  # A6 error row: (arrival_seq, arrival_pos, block_number, block_hash, error)
+    announcements: DataFrame  # one row per announced block (flattened notices)
 
 
 def flatten_hash_notices(notices: DataFrame) -> DataFrame:
@@ -75,4 +76,4 @@ def lookup_blocks(notices: DataFrame, blocks: DataFrame, mode: str = NUMBER) ->
         progress = looked.where(at_or_before).select("arrival_seq", "arrival_pos", "block_number")
     else:
         progress = found.select("arrival_seq", "arrival_pos", "block_number")
-    return BlockLookup(found, progress, missing)
+    return BlockLookup(found, progress, missing, announcements=n)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .broadcast import broadcast_if_bounded
+from .broadcast import broadcast_if, broadcast_if_bounded
 
 ARRIVAL = ["arrival_seq", "arrival_pos"]
 RECEIPT_NOT_FOUND = "ReceiptNotFound: "
@@ -33,9 +33,11 @@ def subscribed_transactions(transactions: DataFrame, addresses: DataFrame) -> Da
     return transactions.where(F.col("to").isNotNull()).join(subs, "to")
 
 
-def announced(sub_txs: DataFrame, found_blocks: DataFrame) -> DataFrame:
-    """Attach the announcement(s) that brought each block in."""
-    return sub_txs.join(found_blocks, ["block_number", "block_hash"])
+def announced(sub_txs: DataFrame, found_blocks: DataFrame, small: bool = False) -> DataFrame:
+    """Attach the announcement(s) that brought each block in.  ``small``:
+    the announcements are proven few, so the found blocks are broadcast and
+    the transaction side keeps its partitioning."""
+    return sub_txs.join(broadcast_if(found_blocks, small), ["block_number", "block_hash"])
 
 
 def with_receipts(rows: DataFrame, receipts: DataFrame) -> DataFrame:
@@ -46,20 +48,24 @@ def with_receipts(rows: DataFrame, receipts: DataFrame) -> DataFrame:
     )
 
 
-def receipt_gap_cut(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def receipt_gap_cut(rows: DataFrame, small: bool = False) -> tuple[DataFrame, DataFrame]:
     """J5 + J6 + K4: per announced block, subscribed txs after the first
     missing receipt are dropped; one error row per such block.
 
     The gap is a grouped ``min`` (partial aggregation, one row per block with
     a gap) joined back on the announcement key -- no window, so a block with
-    very many subscribed txs is never gathered into one task."""
+    very many subscribed txs is never gathered into one task.  The gap table
+    has at most one row per announcement; with ``small`` (few announcements,
+    proven by the caller) it is broadcast, so the transaction rows are not
+    shuffled on the announcement key and keep their ``tx_hash``
+    partitioning for the log join.  Otherwise AQE chooses."""
     gaps = (
         rows.where(~F.col("has_receipt"))
         .groupBy(*ARRIVAL)
         .agg(F.min(F.struct("tx_index", "tx_hash", "block_number")).alias("gap"))
     )
     kept = (
-        rows.join(gaps, ARRIVAL, "left")
+        rows.join(broadcast_if(gaps, small), ARRIVAL, "left")
         .where(F.col("gap").isNull() | (F.col("tx_index") < F.col("gap.tx_index")))
         .drop("gap", "has_receipt")
     )

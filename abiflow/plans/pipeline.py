@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ..operators import blocks as B
 from ..operators import match as M
+from ..operators.broadcast import DEFAULT_MAX_ROWS, at_most
 from ..operators.decode_events import Decoder, decode_mixed
 from ..operators.subscriptions import Subscriptions, prepare
 
@@ -65,8 +66,8 @@ class PreparedSubscriptions:
 
 def prepare_subscriptions(subscriptions: DataFrame, strict: bool = True) -> PreparedSubscriptions:
     subs = prepare(subscriptions, strict=strict)
-    filters = subs.filters.where(F.col("hash").isNotNull())
-    rows = filters.select("hash", "type_key").distinct().collect()
+    # only valid subscriptions reach ``filters``, so every hash is set
+    rows = subs.filters.select("hash", "type_key").distinct().collect()
     return PreparedSubscriptions(subs, sorted({r.hash for r in rows}), sorted({r.type_key for r in rows}))
 
 
@@ -100,19 +101,24 @@ class RunOutput:
 
 
 def run_batch(inp: ChainInput, strict: bool = True, strategy: str = M.JOIN,
-              decoder: Decoder | None = None, prepared: PreparedSubscriptions | None = None) -> RunOutput:
+              decoder: Decoder | None = None, prepared: PreparedSubscriptions | None = None,
+              max_announcements: int = DEFAULT_MAX_ROWS) -> RunOutput:
     p = prepared if prepared is not None else prepare_subscriptions(inp.subscriptions, strict=strict)
     looked = B.lookup_blocks(inp.notices, inp.blocks, inp.mode)
 
     # F1 + F2 + J2 before anything is joined to the big tables: only txs sent
     # to a subscribed address go on to the receipt lookup.
     sub_txs = M.subscribed_transactions(inp.transactions, p.subs.addresses)
-    rows = M.announced(sub_txs, looked.found)
+    # The found blocks and the per-block receipt gaps each hold at most one
+    # row per announcement, so one bounded count of the (small) announcement
+    # table proves both broadcastable.  Then the tx rows are shuffled once,
+    # on tx_hash, for the receipt lookup and stay so for the log join.
+    small = at_most(looked.announcements, max_announcements)
+    rows = M.announced(sub_txs, looked.found, small)
     rows = M.with_receipts(rows, inp.receipts)
-    kept, receipt_errors = M.receipt_gap_cut(rows)
+    kept, receipt_errors = M.receipt_gap_cut(rows, small)
 
-    filters = p.subs.filters.where(F.col("hash").isNotNull())
-    matches = M.match_logs(kept, inp.logs, filters, p.hashes, strategy=strategy)
+    matches = M.match_logs(kept, inp.logs, p.subs.filters, p.hashes, strategy=strategy)
 
     events = (decoder or decode_mixed)(matches.select(*MATCH_COLUMNS, "data"), p.type_keys)
     return RunOutput(p.subs, p.type_keys, looked.progress, looked.missing, receipt_errors, matches, events, rows)
