@@ -30,6 +30,8 @@ class BlockLookup:
     progress: DataFrame  # K5: (arrival_seq, arrival_pos, block_number)
     missing: DataFrame  # A6 error row: (arrival_seq, arrival_pos, block_number, block_hash, error)
     announcements: DataFrame  # one row per announced block (flattened notices)
+    n_announcements: int | None = None  # known when the lookup was evaluated eagerly
+    stopped: bool | None = None  # whether an announced block is missing (eager only)
 
 
 def flatten_hash_notices(notices: DataFrame) -> DataFrame:
@@ -43,8 +45,14 @@ def number_notices(notices: DataFrame) -> DataFrame:
     return notices.select("arrival_seq", F.lit(0).alias("arrival_pos"), "block_number")
 
 
-def lookup_blocks(notices: DataFrame, blocks: DataFrame, mode: str = NUMBER) -> BlockLookup:
-    """Join announcements to the block table and apply the fail-stop."""
+def lookup_blocks(notices: DataFrame, blocks: DataFrame, mode: str = NUMBER, eager: bool = True) -> BlockLookup:
+    """Join announcements to the block table and apply the fail-stop.
+
+    ``eager`` (default): one aggregate job returns the announcement count and
+    the first missing announcement, which the plans then use as literals --
+    so writing several run tables does not re-run the lookup per table, and
+    the count bounds the broadcast sides.  Otherwise the first missing
+    announcement is a scalar subquery inside each plan."""
     heads = blocks.select("block_number", "block_hash")
     if mode == NUMBER:
         n = number_notices(notices)
@@ -65,15 +73,30 @@ def lookup_blocks(notices: DataFrame, blocks: DataFrame, mode: str = NUMBER) ->
 
     key = F.struct("arrival_seq", "arrival_pos")
     missing_all = looked.where(missing_flag)
-    first_missing = missing_all.select(F.min(key)).scalar()
-    before = first_missing.isNull() | (key < first_missing)
-    at_or_before = first_missing.isNull() | (key <= first_missing)
+    n_announcements = stopped = None
+    if eager:
+        r = looked.agg(F.count(F.lit(1)).alias("n"), F.min(F.when(missing_flag, key)).alias("first")).first()
+        n_announcements, stopped = r["n"], r["first"] is not None
+        first_missing = (
+            F.struct(F.lit(r["first"]["arrival_seq"]).cast("bigint").alias("arrival_seq"),
+                     F.lit(r["first"]["arrival_pos"]).cast("int").alias("arrival_pos"))
+            if stopped else F.lit(None)
+        )
+    else:
+        first_missing = missing_all.select(F.min(key)).scalar()
+    if eager and not stopped:
+        before = at_or_before = F.lit(True)
+        no_missing = F.lit(False)
+    else:
+        before = first_missing.isNull() | (key < first_missing)
+        at_or_before = first_missing.isNull() | (key <= first_missing)
+        no_missing = key == first_missing
 
     found = looked.where(~missing_flag & before)
-    missing = missing_all.where(key == first_missing).withColumn("error", message)
+    missing = missing_all.where(no_missing).withColumn("error", message)
     if mode == NUMBER:
         # the notice is logged before the lookup, so the missing one shows too
         progress = looked.where(at_or_before).select("arrival_seq", "arrival_pos", "block_number")
     else:
         progress = found.select("arrival_seq", "arrival_pos", "block_number")
-    return BlockLookup(found, progress, missing, announcements=n)
+    return BlockLookup(found, progress, missing, announcements=n, n_announcements=n_announcements, stopped=stopped)

@@ -26,10 +26,15 @@ EXPLODE = "explode"
 JOIN = "join"
 
 
-def subscribed_transactions(transactions: DataFrame, addresses: DataFrame) -> DataFrame:
+def _bcast(df: DataFrame, small: bool | None) -> DataFrame:
+    """Broadcast under a bound the caller proved, else count it here."""
+    return broadcast_if_bounded(df) if small is None else broadcast_if(df, small)
+
+
+def subscribed_transactions(transactions: DataFrame, addresses: DataFrame, small: bool | None = None) -> DataFrame:
     """F1 + F2 + J2: drop contract creations, keep txs sent to a subscribed
     address (first subscription per address, see J1)."""
-    subs = broadcast_if_bounded(addresses.withColumnRenamed("contract_address", "to"))
+    subs = _bcast(addresses.withColumnRenamed("contract_address", "to"), small)
     return transactions.where(F.col("to").isNotNull()).join(subs, "to")
 
 
@@ -88,7 +93,7 @@ def candidate_logs(logs: DataFrame, hashes: list[str]) -> DataFrame:
 
 
 def match_logs(kept: DataFrame, logs: DataFrame, filters: DataFrame, hashes: list[str],
-               strategy: str = JOIN) -> DataFrame:
+               strategy: str = JOIN, small_filters: bool | None = None) -> DataFrame:
     """A11 + F3 + J4 + F5: one row per (log, event filter) where the filter's
     hash is in the log's topics (any position, counted once per filter).
 
@@ -97,7 +102,7 @@ def match_logs(kept: DataFrame, logs: DataFrame, filters: DataFrame, hashes: lis
     ``array_contains``.  Same rows either way."""
     lg = candidate_logs(logs, hashes).select("tx_hash", "log_index", "topics", "data")
     tx_logs = kept.join(lg, "tx_hash")
-    f = broadcast_if_bounded(filters.withColumnRenamed("contract_address", "to").drop("subscription_ord"))
+    f = _bcast(filters.withColumnRenamed("contract_address", "to").drop("subscription_ord"), small_filters)
     if strategy == JOIN:
         exploded = tx_logs.withColumn("hash", F.explode(F.array_distinct("topics")))
         out = exploded.join(f, ["to", "hash"])
@@ -106,7 +111,7 @@ def match_logs(kept: DataFrame, logs: DataFrame, filters: DataFrame, hashes: lis
             F.collect_list(F.struct("event_ord", "signature", "event_name", "hash", "type_key")).alias("fs")
         )
         out = (
-            tx_logs.join(broadcast_if_bounded(per_tx), "to")
+            tx_logs.join(_bcast(per_tx, small_filters), "to")
             .withColumn("f", F.explode("fs"))
             .where(F.array_contains("topics", F.col("f.hash")))
             .select("*", "f.event_ord", "f.signature", "f.event_name", "f.hash", "f.type_key")

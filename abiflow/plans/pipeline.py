@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import blocks as B
+from pyspark import StorageLevel
+
 from ..operators import match as M
 from ..operators.broadcast import DEFAULT_MAX_ROWS, at_most
 from ..operators.decode_events import Decoder, decode_mixed
@@ -56,19 +58,41 @@ class ChainInput:
 
 @dataclass
 class PreparedSubscriptions:
-    """The subscription catalogue plus the two config-sized facts the plan
-    is built from: the subscribed hashes and the distinct type lists."""
+    """The subscription catalogue plus the config-sized facts the plan is
+    built from: the subscribed hashes, the distinct type lists, and the row
+    counts that bound the broadcast sides.  The catalogue is persisted (it
+    is small and every run reads it, so the keccak UDF runs once); call
+    ``unpersist`` when done."""
 
     subs: Subscriptions
     hashes: list[str]
     type_keys: list[str]
+    n_addresses: int
+    n_filters: int
+
+    def small(self, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+        return self.n_addresses <= max_rows and self.n_filters <= max_rows
+
+    def unpersist(self) -> None:
+        self.subs.addresses.unpersist()
+        self.subs.filters.unpersist()
 
 
 def prepare_subscriptions(subscriptions: DataFrame, strict: bool = True) -> PreparedSubscriptions:
     subs = prepare(subscriptions, strict=strict)
-    # only valid subscriptions reach ``filters``, so every hash is set
-    rows = subs.filters.select("hash", "type_key").distinct().collect()
-    return PreparedSubscriptions(subs, sorted({r.hash for r in rows}), sorted({r.type_key for r in rows}))
+    subs.addresses.persist(StorageLevel.MEMORY_AND_DISK)
+    subs.filters.persist(StorageLevel.MEMORY_AND_DISK)
+    # one pass over the (persisted) filters gives the hashes, the type lists
+    # and the filter count; only valid subscriptions reach ``filters``, so
+    # every hash is set
+    rows = subs.filters.groupBy("hash", "type_key").count().collect()
+    return PreparedSubscriptions(
+        subs,
+        sorted({r.hash for r in rows}),
+        sorted({r.type_key for r in rows}),
+        subs.addresses.count(),
+        sum(r["count"] for r in rows),
+    )
 
 
 @dataclass
@@ -81,6 +105,14 @@ class RunOutput:
     matches: DataFrame  # K3 (+ data, to decode)
     events: DataFrame  # every match + params + error
     tx_rows: DataFrame  # subscribed, announced txs with their receipt flag (shared by K1-K4)
+    prepared: PreparedSubscriptions | None = None
+    stopped: bool | None = None  # an announced block is missing (known when the lookup was eager)
+
+    def release(self) -> None:
+        """Drop the persisted subscription catalogue once the run's tables
+        have been read or written."""
+        if self.prepared is not None:
+            self.prepared.unpersist()
 
     def decoded(self) -> DataFrame:
         """K1: rows that decoded."""
@@ -108,17 +140,20 @@ def run_batch(inp: ChainInput, strict: bool = True, strategy: str = M.JOIN,
 
     # F1 + F2 + J2 before anything is joined to the big tables: only txs sent
     # to a subscribed address go on to the receipt lookup.
-    sub_txs = M.subscribed_transactions(inp.transactions, p.subs.addresses)
+    small_subs = p.small()
+    sub_txs = M.subscribed_transactions(inp.transactions, p.subs.addresses, small_subs)
     # The found blocks and the per-block receipt gaps each hold at most one
     # row per announcement, so one bounded count of the (small) announcement
     # table proves both broadcastable.  Then the tx rows are shuffled once,
     # on tx_hash, for the receipt lookup and stay so for the log join.
-    small = at_most(looked.announcements, max_announcements)
+    small = (looked.n_announcements <= max_announcements if looked.n_announcements is not None
+             else at_most(looked.announcements, max_announcements))
     rows = M.announced(sub_txs, looked.found, small)
     rows = M.with_receipts(rows, inp.receipts)
     kept, receipt_errors = M.receipt_gap_cut(rows, small)
 
-    matches = M.match_logs(kept, inp.logs, p.subs.filters, p.hashes, strategy=strategy)
+    matches = M.match_logs(kept, inp.logs, p.subs.filters, p.hashes, strategy=strategy, small_filters=small_subs)
 
     events = (decoder or decode_mixed)(matches.select(*MATCH_COLUMNS, "data"), p.type_keys)
-    return RunOutput(p.subs, p.type_keys, looked.progress, looked.missing, receipt_errors, matches, events, rows)
+    return RunOutput(p.subs, p.type_keys, looked.progress, looked.missing, receipt_errors, matches, events, rows,
+                     prepared=p if prepared is None else None, stopped=looked.stopped)

@@ -61,7 +61,7 @@ def write_run(out: RunOutput, root: str, batch_id: int = 0) -> int:
         _write(out.receipt_errors, os.path.join(root, RECEIPT_ERRORS), batch_id)
         _write(out.progress, os.path.join(root, PROGRESS), batch_id)
         # one row at most: the announcement lookup, no transaction data
-        n = out.block_error.count()
+        n = int(out.stopped) if out.stopped is not None else out.block_error.count()
         if n:
             _write(out.block_error, os.path.join(root, BLOCK_ERRORS), batch_id)
         return n

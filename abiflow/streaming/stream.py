@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -86,10 +87,16 @@ def batch_runner(tables: StaticTables, prepared: PreparedSubscriptions, sink_roo
     """U1: the per-micro-batch function given to ``foreachBatch``."""
 
     def run(notices: DataFrame, batch_id: int) -> None:
-        inp = ChainInput(notices, tables.blocks(), tables.transactions(), tables.receipts(), tables.logs(),
-                         prepared.subs.validated, mode)
-        out = run_batch(inp, strategy=strategy, decoder=decoder, prepared=prepared)
-        if write_run(out, sink_root, batch_id):
+        # several tables are written from one micro-batch: read it once
+        notices = notices.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            inp = ChainInput(notices, tables.blocks(), tables.transactions(), tables.receipts(), tables.logs(),
+                             prepared.subs.validated, mode)
+            out = run_batch(inp, strategy=strategy, decoder=decoder, prepared=prepared)
+            stopped = write_run(out, sink_root, batch_id)
+        finally:
+            notices.unpersist()
+        if stopped:
             raise BlockNotFound(f"micro-batch {batch_id}: an announced block is missing; run stopped")
 
     return run
@@ -101,9 +108,7 @@ def run_stream(spark: SparkSession, notice_folder: str, tables: StaticTables, su
                available_now: bool = True, strict: bool = True):
     """O2: start the stream; with ``available_now`` it processes what has
     landed and returns when done."""
-    prepared = prepare_subscriptions(subscriptions, strict=strict)
-    prepared.subs.addresses.cache()
-    prepared.subs.filters.cache()
+    prepared = prepare_subscriptions(subscriptions, strict=strict)  # persisted for the query's life
     writer = (
         read_notices(spark, notice_folder, mode, max_files_per_trigger)
         .writeStream.foreachBatch(batch_runner(tables, prepared, sink_root, mode, strategy, decoder))
@@ -112,7 +117,10 @@ def run_stream(spark: SparkSession, notice_folder: str, tables: StaticTables, su
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
     query = writer.start()
     if available_now:
-        query.awaitTermination()
+        try:
+            query.awaitTermination()
+        finally:
+            prepared.unpersist()
     return query
 
 
