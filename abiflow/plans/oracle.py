@@ -105,6 +105,10 @@ SELECT {KEYS},
 FROM matches
 """
 
+O3 = f"""
+SELECT *, CASE WHEN error IS NULL THEN 'decoded' ELSE 'failed' END AS status FROM ({D16})
+"""
+
 K2 = CHAIN + f"""
 SELECT {KEYS}, 'OutOfBounds' AS error, left({EVENT_HEX}, 200) AS data_hex
 FROM matches WHERE l_partkey % 13 = 0
@@ -282,6 +286,7 @@ ORACLE_SQL: dict[str, str] = {
     "o2_stream_by_hash": K1_HASH,
     "k2_dead_letters": K2,
     "d16_variant_events": D16,
+    "o3_batch_run_tables": O3,
     "k3_match_notices": K3,
     "j4_match_by_explode": K3,
     "k4_receipt_gaps": K4,

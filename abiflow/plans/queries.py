@@ -101,6 +101,19 @@ def d16_variant_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(*KEY_COLUMNS, "error", F.to_json("params").alias("params_json"))
 
 
+def o3_batch_run_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3 + K1/K2 as stored: the whole batch run written through the sinks,
+    the events table read back (decoded and failed rows, VARIANT params)."""
+    out = run_chain(spark, sf_dir)
+    root = scratch_path(spark, "o3_batch", uuid.uuid4().hex)
+    try:
+        sinks.write_run(out, root, 0)
+    finally:
+        out.release()
+    ev = sinks.read_table(spark, root, sinks.EVENTS)
+    return ev.select(*KEY_COLUMNS, "status", "error", F.to_json("params").alias("params_json"))
+
+
 def typed_decoder(matches: DataFrame, type_keys: list[str]) -> DataFrame:
     """U3: a replacement decoder -- typed columns for the shipped event list."""
     return decode_typed(matches, EVENT_TYPE_KEY)
@@ -260,6 +273,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "d16_variant_events": d16_variant_events,
     "o2_stream_decoded": o2_stream_decoded,
     "o2_stream_by_hash": o2_stream_by_hash,
+    "o3_batch_run_tables": o3_batch_run_tables,
     "a4_block_lookup_by_number": a4_block_lookup_by_number,
     "a6_missing_block_by_number": a6_missing_block_by_number,
     "k5_progress_by_number": k5_progress_by_number,
