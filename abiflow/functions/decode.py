@@ -87,6 +87,92 @@ class _Frame:
         return err, val
 
 
+def _dynamic(t: AbiType) -> bool:
+    """Whether decoding ``t`` needs per-element lambdas (an array inside)."""
+    if t.kind == "array":
+        return True
+    return t.kind == "struct" and any(_dynamic(f) for f in t.fields)
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once: bound to a lambda
+    variable through a one-element ``transform``.  Higher-order functions
+    are evaluated without subexpression elimination, so a shared subtree
+    used twice would be computed twice (and 2^depth times when nested)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _first_error(items: Column) -> Column:
+    return F.try_element_at(
+        F.transform(F.filter(items, lambda x: x["e"].isNotNull()), lambda x: x["e"]), F.lit(1)
+    )
+
+
+def _array_items(t: AbiType, fr: _Frame, at: Column, n: Column, head_err: Column) -> Column:
+    """Elements of an array whose length word is at ``at``: each decoded in
+    the frame that starts after the length word."""
+    inner_base = at + WORD
+    # Every element moves at least one word and needs at least two bytes,
+    # so an array longer than this must fail within the range.
+    cap = F.least(n, F.floor((fr.length - inner_base) / WORD) + 2)
+    count = F.when(head_err.isNull(), cap).otherwise(F.lit(0)).cast("int")
+    idx = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    h = t.elem.head
+    items = F.transform(idx, lambda i: _compile_packed(t.elem, fr, inner_base + i.cast("bigint") * h, inner_base))
+    return _let(items, lambda y: F.struct(
+        F.transform(y, lambda x: x["v"]).alias("v"), F.coalesce(head_err, _first_error(y)).alias("e")
+    ))
+
+
+def _compile_packed(t: AbiType, fr: _Frame, pos, base) -> Column:
+    """``struct<v, e>`` for type ``t``: value and error from one evaluation
+    of the element decoders."""
+    k = t.kind
+    if k == "array":
+        # head words bound once per array: every element position derives
+        # from the array's base, and lambdas get no subexpression elimination
+        ptr_err, ptr = fr.size_word(pos)
+
+        def with_len(a_):
+            len_err, n = fr.size_word(a_["at"])
+            return _let(F.struct(n.alias("n"), F.coalesce(a_["pe"], len_err).alias("he")),
+                        lambda b_: _array_items(t, fr, a_["at"], b_["n"], b_["he"]))
+
+        return _let(F.struct((base + ptr).alias("at"), ptr_err.alias("pe")), with_len)
+    if k in ("string", "bytes") and not isinstance(pos, int):
+        # an element inside an array: bind its pointer and length once
+        ptr_err, ptr = fr.size_word(pos)
+
+        def with_len(a_):
+            at = a_["at"]
+            len_err, n = fr.size_word(at)
+
+            def body(b_):
+                raw = fr.read(at + WORD, b_["n"])
+                err = F.coalesce(a_["pe"], b_["le"], F.when(~fr.fits(at + WORD, b_["n"]), F.lit(OUT_OF_BOUNDS)))
+                if k == "bytes":
+                    return F.struct(raw.alias("v"), err.alias("e"))
+                text = raw.cast("string")
+                return F.struct(text.alias("v"),
+                                F.coalesce(err, F.when(~F.is_valid_utf8(text), F.lit(UTF8_ERROR))).alias("e"))
+
+            return _let(F.struct(n.alias("n"), len_err.alias("le")), body)
+
+        return _let(F.struct((base + ptr).alias("at"), ptr_err.alias("pe")), with_len)
+    if k == "struct" and _dynamic(t):
+        packs, off = [], pos
+        for i, f in enumerate(t.fields):
+            packs.append(_compile_packed(f, fr, off, base).alias(f"f{i}"))
+            off = off + f.head
+        names = [f"f{i}" for i in range(len(t.fields))]
+        return _let(F.struct(*packs), lambda s_: F.struct(
+            F.struct(*[s_[n]["v"].alias(n) for n in names]).alias("v"),
+            F.coalesce(*[s_[n]["e"] for n in names], _no_error()).alias("e"),
+        ))
+    v, e = _compile(t, fr, pos, base)
+    return F.struct(v.alias("v"), e.alias("e"))
+
+
 def _compile(t: AbiType, fr: _Frame, pos: Column, base: Column):
     """(value, error) for type ``t`` at absolute offset ``pos`` in a frame
     starting at ``base``."""
@@ -127,32 +213,9 @@ def _compile(t: AbiType, fr: _Frame, pos: Column, base: Column):
             err = F.coalesce(err, F.when(~F.is_valid_utf8(text), F.lit(UTF8_ERROR)))
             return text, err
         return body, err
-    if k == "array":
-        ptr_err, ptr = fr.size_word(pos)
-        at = base + ptr
-        len_err, n = fr.size_word(at)
-        head_err = F.coalesce(ptr_err, len_err)
-        inner_base = at + WORD
-        # Every element moves at least one word and needs at least two
-        # bytes, so an array longer than this must fail within the range.
-        cap = F.least(n, F.floor((fr.length - inner_base) / WORD) + 2)
-        count = F.when(head_err.isNull(), cap).otherwise(F.lit(0)).cast("int")
-        idx = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(
-            F.array().cast("array<int>")
-        )
-        h = t.elem.head
-
-        def element(i):
-            v, e = _compile(t.elem, fr, inner_base + i.cast("bigint") * h, inner_base)
-            return F.struct(v.alias("v"), e.alias("e"))
-
-        items = F.transform(idx, element)
-        first_err = F.try_element_at(
-            F.transform(F.filter(items, lambda x: x["e"].isNotNull()), lambda x: x["e"]),
-            F.lit(1),
-        )
-        value = F.transform(items, lambda x: x["v"])
-        return value, F.coalesce(head_err, first_err)
+    if k == "array" or _dynamic(t):
+        packed = _compile_packed(t, fr, pos, base)
+        return packed["v"], packed["e"]
     if k == "struct":
         vals, errs, off = [], [], pos
         for i, f in enumerate(t.fields):
@@ -188,13 +251,28 @@ def decode_columns(data: Column, types) -> tuple[list[Column], Column]:
 def decode_frame(df: DataFrame, types, data_col: str = "data") -> DataFrame:
     """``df`` plus ``p0 .. pn`` (NULL where the row failed) and ``error``.
 
-    Two projections: the error is computed once as a column, then each value
-    is masked by a reference to it."""
-    values, error = decode_columns(F.col(data_col), types)
-    names = [f"p{i}" for i in range(len(values))]
-    raw = [v.alias(f"_raw_{n}") for v, n in zip(values, names)]
+    Parameters holding arrays are decoded first into one ``struct<v, e>``
+    column each, so their element decoders run once per row; then the error
+    is computed once as a column; then each value is masked by a reference
+    to it."""
+    if types and isinstance(types[0], str):
+        types = parse_type_list(types)
+    names = [f"p{i}" for i in range(len(types))]
+    fr = _Frame(F.col(data_col), F.length(data_col).cast("bigint"))
+    packs, values, errors, off = [], [], [], 0
+    for n, t in zip(names, types):
+        if _dynamic(t):
+            packs.append(_compile_packed(t, fr, off, 0).alias(f"_pk_{n}"))
+            v, e = F.col(f"_pk_{n}")["v"], F.col(f"_pk_{n}")["e"]
+        else:
+            v, e = _compile(t, fr, off, 0)
+        values.append(v.alias(f"_raw_{n}"))
+        errors.append(e)
+        off += t.head
+    error = (F.coalesce(*errors, _no_error()) if errors else _no_error()).alias("error")
     ok = F.col("error").isNull()
-    return df.select("*", *raw, error).select(
+    staged = df.select("*", *packs) if packs else df
+    return staged.select(*df.columns, *values, error).select(
         *df.columns, *[F.when(ok, F.col(f"_raw_{n}")).alias(n) for n in names], "error"
     )
 

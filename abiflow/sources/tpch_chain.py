@@ -2,7 +2,7 @@
 
 Every column is a deterministic formula over ``orders``, ``lineitem``,
 ``customer`` (and ``part`` / ``documents`` for the decoder jobs), written so
-the same formula exists in DuckDB (see ``plans/oracle_sql.py``).  Work grows
+the same formula exists in DuckDB (see ``plans/oracle.py``).  Work grows
 with the source tables; nothing is sampled or capped.
 
 * a block per order date: ``block_number`` = days since 1995-01-01;
