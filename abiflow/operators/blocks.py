@@ -32,6 +32,8 @@ class BlockLookup:
     announcements: DataFrame  # one row per announced block (flattened notices)
     n_announcements: int | None = None  # known when the lookup was evaluated eagerly
     stopped: bool | None = None  # whether an announced block is missing (eager only)
+    # (lowest, highest) number of the blocks found, eager only; None when none was found
+    block_range: tuple[int, int] | None = None
 
 
 def flatten_hash_notices(notices: DataFrame) -> DataFrame:
@@ -73,10 +75,15 @@ def lookup_blocks(notices: DataFrame, blocks: DataFrame, mode: str = NUMBER, eag
 
     key = F.struct("arrival_seq", "arrival_pos")
     missing_all = looked.where(missing_flag)
-    n_announcements = stopped = None
+    n_announcements = stopped = block_range = None
     if eager:
-        r = looked.agg(F.count(F.lit(1)).alias("n"), F.min(F.when(missing_flag, key)).alias("first")).first()
+        found_number = F.when(~missing_flag, F.col("block_number"))
+        r = looked.agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.when(missing_flag, key)).alias("first"),
+            F.min(found_number).alias("lo"), F.max(found_number).alias("hi"),
+        ).first()
         n_announcements, stopped = r["n"], r["first"] is not None
+        block_range = (r["lo"], r["hi"]) if r["lo"] is not None else None
         first_missing = (
             F.struct(F.lit(r["first"]["arrival_seq"]).cast("bigint").alias("arrival_seq"),
                      F.lit(r["first"]["arrival_pos"]).cast("int").alias("arrival_pos"))
@@ -99,4 +106,27 @@ def lookup_blocks(notices: DataFrame, blocks: DataFrame, mode: str = NUMBER, eag
         progress = looked.where(at_or_before).select("arrival_seq", "arrival_pos", "block_number")
     else:
         progress = found.select("arrival_seq", "arrival_pos", "block_number")
-    return BlockLookup(found, progress, missing, announcements=n, n_announcements=n_announcements, stopped=stopped)
+    return BlockLookup(found, progress, missing, announcements=n, n_announcements=n_announcements, stopped=stopped,
+                       block_range=block_range)
+
+
+# Landed chain tables may carry ``block_chunk = block_number DIV BLOCK_CHUNK``
+# as a partition column (see ``sources.landed``); the run prunes on it.
+BLOCK_CHUNK = 256
+
+
+def prune_to_blocks(df: DataFrame, lookup: BlockLookup) -> DataFrame:
+    """Keep only rows of the looked-up blocks' number range, when ``df`` has
+    a ``block_number`` column and the lookup was eager.  The range filter
+    reaches the Parquet scan (row-group skipping on block-clustered files),
+    and ``block_chunk`` partitions are pruned when present, so a micro-batch
+    of a few blocks reads those blocks' rows, not the whole history."""
+    if lookup.n_announcements is None or "block_number" not in df.columns:
+        return df
+    if lookup.block_range is None:
+        return df.where(F.lit(False))
+    lo, hi = lookup.block_range
+    cond = F.col("block_number").between(F.lit(lo), F.lit(hi))
+    if "block_chunk" in df.columns:
+        cond = cond & F.col("block_chunk").between(F.lit(lo // BLOCK_CHUNK), F.lit(hi // BLOCK_CHUNK))
+    return df.where(cond)

@@ -5,7 +5,10 @@ one on a cluster).  With ``buckets`` the three tables joined on ``tx_hash``
 -- transactions, receipts, logs -- are written as bucketed tables with the
 same bucket count on that key, so the receipt lookup and the log join read
 co-located buckets and plan without an exchange on either side; blocks and
-subscriptions stay plain Parquet.
+subscriptions stay plain Parquet.  Tables with a ``block_number`` column
+are also partitioned by ``block_chunk`` (``block_number DIV BLOCK_CHUNK``), so
+a run over a few announced blocks prunes to their partitions
+(``operators.blocks.prune_to_blocks``).
 
 ``Landed.table`` reads a landed table back; bucketed tables are read through
 the session catalog, where ``saveAsTable`` registered them as external
@@ -18,6 +21,9 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.blocks import BLOCK_CHUNK
 
 TX_KEYED = ("transactions", "receipts", "logs")
 PLAIN = ("blocks", "subscriptions")
@@ -40,15 +46,20 @@ def land(tables: dict[str, DataFrame], root: str, buckets: int | None = None,
     """Write ``tables`` (names as in ``TX_KEYED`` + ``PLAIN``) under ``root``."""
     for name, df in tables.items():
         path = os.path.join(root, name)
+        chunked = "block_number" in df.columns and name != "blocks"
+        if chunked:
+            df = df.withColumn("block_chunk", F.floor(F.col("block_number") / BLOCK_CHUNK).cast("bigint"))
+        parts = ["block_chunk"] if chunked else []
         if buckets and name in TX_KEYED:
             (
                 df.repartition(buckets, "tx_hash")
                 .write.mode("overwrite")
+                .partitionBy(*parts)
                 .bucketBy(buckets, "tx_hash")
                 .sortBy("tx_hash")
                 .option("path", path)
                 .saveAsTable(f"{prefix}_{name}")
             )
         else:
-            df.write.mode("overwrite").parquet(path)
+            df.write.mode("overwrite").partitionBy(*parts).parquet(path)
     return Landed(root, buckets, prefix)

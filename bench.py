@@ -46,8 +46,10 @@ BUCKETS = 4 * int(CPUS)
 def land_chain(spark, sf_dir):
     t = C.chain_tables(spark, sf_dir)
     root = scratch_path(spark, "bench", f"chain-{uuid.uuid4().hex}")
+    # logs carry their transaction's block number, as chain logs do
+    logs = t.logs.join(t.transactions.select("tx_hash", "block_number"), "tx_hash")
     tables = {"blocks": t.blocks, "subscriptions": t.subscriptions, "transactions": t.transactions,
-              "receipts": t.receipts, "logs": t.logs}
+              "receipts": t.receipts, "logs": logs}
     return L.land(tables, root, buckets=BUCKETS, prefix="bench_" + uuid.uuid4().hex[:8])
 
 

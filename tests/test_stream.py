@@ -80,3 +80,19 @@ def test_consumer_sees_every_match_with_its_payload(spark):
     sized = out.consume(lambda m: m.select("tx_hash", "log_index", "event_name", F.length("data").alias("n")))
     assert sized.count() == out.matches.count() == out.events.count()
     assert sized.where("n IS NULL").count() == 0
+
+
+def test_run_reads_only_the_announced_blocks(spark):
+    from abiflow.operators import blocks as B
+
+    inp = fixture(spark, [(0, 3), (1, 4)])
+    look = B.lookup_blocks(inp.notices, inp.blocks)
+    assert look.block_range == (3, 4) and look.n_announcements == 2 and not look.stopped
+    pruned = B.prune_to_blocks(inp.transactions, look)
+    assert {r.block_number for r in pruned.collect()} == {3, 4}
+    # no block found: nothing is read
+    none = B.lookup_blocks(spark.createDataFrame([(0, 99)], "arrival_seq bigint, block_number bigint"), inp.blocks)
+    assert none.stopped and B.prune_to_blocks(inp.transactions, none).count() == 0
+    # same rows as the whole-table run restricted to those blocks
+    out = run_batch(inp)
+    assert {r.block_number for r in out.events.collect()} <= {3, 4}
