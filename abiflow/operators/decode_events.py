@@ -19,13 +19,13 @@ the first error in parameter order otherwise (dead letters, K2).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.abi_types import parse_type_list
-from ..functions.decode import decode_frame, decode_struct
+from ..functions.decode import decode_frame, decode_packed
 
 # Spark's generated code for one projection is bounded; very many distinct
 # type lists are decoded in groups of this many branches and unioned.
@@ -39,37 +39,30 @@ def split_type_key(type_key: str) -> list[str]:
     return [t for t in type_key.split(",")] if type_key else []
 
 
-def _branches(type_keys: Iterable[str], build) -> tuple[Column, Column]:
-    value, error = None, None
-    for key in type_keys:
-        v, e = build(parse_type_list(split_type_key(key)))
-        hit = F.col("type_key") == F.lit(key)
-        value = F.when(hit, v) if value is None else value.when(hit, v)
-        error = F.when(hit, e) if error is None else error.when(hit, e)
-    return value, error
-
-
 def decode_mixed(matches: DataFrame, type_keys: list[str], data_col: str = "data") -> DataFrame:
-    """All matched rows with ``params VARIANT`` and ``error``."""
+    """All matched rows with ``params VARIANT`` and ``error``.
+
+    Each type list's branch yields one ``struct<v VARIANT, e STRING>``; it
+    is materialised as a column first, so the error and the value are taken
+    from one decode of the row."""
     keys = sorted(set(type_keys))
     if not keys:
         return matches.select("*", F.lit(None).cast("variant").alias("params"),
                               F.lit(None).cast("string").alias("error"))
     data = F.col(data_col)
-
-    def build(types):
-        st, err = decode_struct(data, types)
-        return F.to_variant_object(st), err
-
     parts = []
     for i in range(0, len(keys), MAX_BRANCHES):
         group = keys[i : i + MAX_BRANCHES]
-        value, error = _branches(group, build)
+        packed = None
+        for key in group:
+            branch = decode_packed(data, parse_type_list(split_type_key(key)), wrap=F.to_variant_object)
+            hit = F.col("type_key") == F.lit(key)
+            packed = F.when(hit, branch) if packed is None else packed.when(hit, branch)
         part = matches if len(keys) <= MAX_BRANCHES else matches.where(F.col("type_key").isin(group))
         parts.append(
-            part.select("*", error.alias("error"), value.alias("_v"))
-            .select("*", F.when(F.col("error").isNull(), F.col("_v")).alias("params"))
-            .drop("_v")
+            part.select("*", packed.alias("_pk"))
+            .select(*part.columns, F.col("_pk.e").alias("error"), F.col("_pk.v").alias("_v"))
+            .select(*part.columns, "error", F.when(F.col("error").isNull(), F.col("_v")).alias("params"))
         )
     out = parts[0]
     for p in parts[1:]:

@@ -160,3 +160,36 @@ def test_random_payloads_match_model(spark, seed):
             assert [normalise(v) for v in vals] == [normalise(v) for v in want_vals], (texts, data.hex())
         else:
             assert all(v is None for v in vals)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_variant_decode_equals_typed_decode(spark, seed):
+    from pyspark.sql import functions as F
+
+    from abiflow.operators.decode_events import decode_mixed
+
+    rnd = random.Random(100 + seed)
+    rows, keys = [], []
+    for k in range(3):
+        # event type lists: no structs (a signature cannot hold one)
+        texts = []
+        while len(texts) < rnd.randint(1, 3):
+            t = random_type(rnd)
+            if "(" not in t:
+                texts.append(t)
+        types = [parse_type(t) for t in texts]
+        key = ",".join(t.name for t in types)
+        keys.append((key, texts))
+        for _ in range(15):
+            data = mutate(rnd, model.encode(types, [random_value(rnd, t) for t in types]))
+            rows.append((len(rows), key, bytearray(data)))
+    df = spark.createDataFrame(rows, "i int, type_key string, data binary")
+    mixed = decode_mixed(df, [k for k, _ in keys]).select("i", "error", F.to_json("params").alias("j"))
+    typed = None
+    for key, texts in keys:
+        part = decode_frame(df.where(F.col("type_key") == key), parse_type_list(texts))
+        cols = [c for c in part.columns if c.startswith("p")]
+        part = part.select("i", "error", F.to_json(
+            F.when(F.col("error").isNull(), F.to_variant_object(F.struct(*cols)))).alias("j"))
+        typed = part if typed is None else typed.unionByName(part)
+    assert sorted(mixed.collect()) == sorted(typed.collect())
