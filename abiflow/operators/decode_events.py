@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.abi_types import parse_type_list
 from ..functions.decode import decode_frame, decode_packed
+from ..session import shared_dir
 
 # Spark's generated code for one projection is bounded; very many distinct
 # type lists are decoded in groups of this many branches and unioned.
@@ -50,6 +51,12 @@ def decode_mixed(matches: DataFrame, type_keys: list[str], data_col: str = "data
         return matches.select("*", F.lit(None).cast("variant").alias("params"),
                               F.lit(None).cast("string").alias("error"))
     data = F.col(data_col)
+    if len(keys) > MAX_BRANCHES:
+        # several parts read the matches: compute them once, into the shared
+        # checkpoint folder (reliable, survives executor loss), instead of
+        # re-running the joins per part
+        shared_dir(matches.sparkSession)
+        matches = matches.checkpoint(eager=True)
     parts = []
     for i in range(0, len(keys), MAX_BRANCHES):
         group = keys[i : i + MAX_BRANCHES]

@@ -84,11 +84,19 @@ def receipt_gap_cut(rows: DataFrame, small: bool = False) -> tuple[DataFrame, Da
     return kept, errors
 
 
+# Beyond this many distinct subscribed hashes the literal pre-filter is left
+# out (the plan would carry too many literals); the (to, hash) join that
+# follows filters exactly either way.
+MAX_PREFILTER_HASHES = 4096
+
+
 def candidate_logs(logs: DataFrame, hashes: list[str]) -> DataFrame:
     """Logs that carry at least one subscribed hash in any topic position.
     A pure pre-filter: a log without one can match no filter."""
     if not hashes:
         return logs.where(F.lit(False))
+    if len(hashes) > MAX_PREFILTER_HASHES:
+        return logs
     return logs.where(F.arrays_overlap("topics", F.array(*[F.lit(h) for h in hashes])))
 
 

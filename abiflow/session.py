@@ -32,12 +32,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a private one only if unset."""
-    path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    """The cluster's shared checkpoint folder; a private one only if unset.
+    Also makes it the SparkContext's checkpoint folder (``checkpoint()``)."""
+    sc = spark.sparkContext
+    path = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="abiflow-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-        spark.sparkContext.setCheckpointDir(path)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 

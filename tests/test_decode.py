@@ -193,3 +193,24 @@ def test_variant_decode_equals_typed_decode(spark, seed):
             F.when(F.col("error").isNull(), F.to_variant_object(F.struct(*cols)))).alias("j"))
         typed = part if typed is None else typed.unionByName(part)
     assert sorted(mixed.collect()) == sorted(typed.collect())
+
+
+def test_many_type_lists_are_decoded_in_checkpointed_parts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from abiflow.operators import decode_events as DE
+
+    monkeypatch.setattr(DE, "MAX_BRANCHES", 2)
+    lists = [["uint256"] * k for k in range(1, 6)]
+    rows = []
+    for k, types in enumerate(lists):
+        for v in range(3):
+            rows.append((len(rows), ",".join(types), bytearray(b"".join(w(10 * k + v) for _ in types))))
+    df = spark.createDataFrame(rows, "i int, type_key string, data binary")
+    out = DE.decode_mixed(df, [",".join(t) for t in lists]).select("i", "error", F.to_json("params").alias("j"))
+    got = {r.i: (r.error, r.j) for r in out.collect()}
+    assert len(got) == len(rows)
+    for i, key, _ in rows:
+        n = len(key.split(","))
+        val = 10 * (n - 1) + (i - sum(3 for _ in range(n - 1)))
+        assert got[i] == (None, "{" + ",".join(f'"p{j}":{val}' for j in range(n)) + "}")
