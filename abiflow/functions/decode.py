@@ -45,6 +45,15 @@ ONE = b"\x01"
 HIGH_BIT = b"\x80"
 
 
+def evaluate_here(c: Column) -> Column:
+    """``c`` behind an always-true guard that the optimizer treats as
+    non-deterministic, so it is evaluated once, in the projection that
+    defines it: a filter on it (``error IS NULL``) is not rewritten into a
+    copy of the whole decode pushed below the joins, and collapsed
+    projections do not inline it twice."""
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
 def _no_error() -> Column:
     return F.lit(None).cast("string")
 
@@ -262,14 +271,14 @@ def decode_frame(df: DataFrame, types, data_col: str = "data") -> DataFrame:
     packs, values, errors, off = [], [], [], 0
     for n, t in zip(names, types):
         if _dynamic(t):
-            packs.append(_compile_packed(t, fr, off, 0).alias(f"_pk_{n}"))
+            packs.append(evaluate_here(_compile_packed(t, fr, off, 0)).alias(f"_pk_{n}"))
             v, e = F.col(f"_pk_{n}")["v"], F.col(f"_pk_{n}")["e"]
         else:
             v, e = _compile(t, fr, off, 0)
         values.append(v.alias(f"_raw_{n}"))
         errors.append(e)
         off += t.head
-    error = (F.coalesce(*errors, _no_error()) if errors else _no_error()).alias("error")
+    error = evaluate_here(F.coalesce(*errors, _no_error()) if errors else _no_error()).alias("error")
     ok = F.col("error").isNull()
     staged = df.select("*", *packs) if packs else df
     return staged.select(*df.columns, *values, error).select(

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.abi_types import parse_type_list
-from ..functions.decode import decode_frame, decode_packed
+from ..functions.decode import decode_frame, decode_packed, evaluate_here
 from ..session import shared_dir
 
 # Spark's generated code for one projection is bounded; very many distinct
@@ -67,7 +67,7 @@ def decode_mixed(matches: DataFrame, type_keys: list[str], data_col: str = "data
             packed = F.when(hit, branch) if packed is None else packed.when(hit, branch)
         part = matches if len(keys) <= MAX_BRANCHES else matches.where(F.col("type_key").isin(group))
         parts.append(
-            part.select("*", packed.alias("_pk"))
+            part.select("*", evaluate_here(packed).alias("_pk"))
             .select(*part.columns, F.col("_pk.e").alias("error"), F.col("_pk.v").alias("_v"))
             .select(*part.columns, "error", F.when(F.col("error").isNull(), F.col("_v")).alias("params"))
         )
