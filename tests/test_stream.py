@@ -96,3 +96,23 @@ def test_run_reads_only_the_announced_blocks(spark):
     # same rows as the whole-table run restricted to those blocks
     out = run_batch(inp)
     assert {r.block_number for r in out.events.collect()} <= {3, 4}
+
+
+def test_landed_bucketed_tables_give_the_same_run(spark):
+    import uuid
+
+    from abiflow.plans.pipeline import ChainInput
+    from abiflow.sources import landed as L
+
+    inp = fixture(spark, [(i, b) for i, b in enumerate(range(1, 9))])
+    root = tempfile.mkdtemp(prefix="abiflow-landed-", dir=os.environ.get("TMPDIR", "/tmp"))
+    logs = inp.logs.join(inp.transactions.select("tx_hash", "block_number"), "tx_hash")
+    ld = L.land({"blocks": inp.blocks, "subscriptions": inp.subscriptions, "transactions": inp.transactions,
+                 "receipts": inp.receipts, "logs": logs}, root, buckets=4, prefix="t" + uuid.uuid4().hex[:8])
+    g = lambda n: ld.table(spark, n)
+    assert "block_chunk" in g("transactions").columns
+    landed = run_batch(ChainInput(inp.notices, g("blocks"), g("transactions"), g("receipts"), g("logs"),
+                                  g("subscriptions")))
+    assert event_keys(landed.events) == event_keys(run_batch(inp).events)
+    plan = landed.events._jdf.queryExecution().executedPlan().toString()
+    assert "block_chunk" in plan  # partition pruning reached the scans
