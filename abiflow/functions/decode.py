@@ -45,6 +45,24 @@ ONE = b"\x01"
 HIGH_BIT = b"\x80"
 
 
+_COMPILED: dict = {}
+_COMPILED_MAX = 256
+
+
+def compiled(key, build):
+    """``build()`` memoised per SparkContext and ``key``.  Column expressions
+    are unresolved trees, reusable by any DataFrame; a stream compiles its
+    decoders once instead of once per micro-batch (thousands of JVM calls)."""
+    from pyspark import SparkContext
+
+    k = (id(SparkContext._active_spark_context), key)
+    if k not in _COMPILED:
+        if len(_COMPILED) >= _COMPILED_MAX:
+            _COMPILED.clear()
+        _COMPILED[k] = build()
+    return _COMPILED[k]
+
+
 def evaluate_here(c: Column) -> Column:
     """``c`` behind an always-true guard that the optimizer treats as
     non-deterministic, so it is evaluated once, in the projection that
@@ -266,6 +284,13 @@ def decode_frame(df: DataFrame, types, data_col: str = "data") -> DataFrame:
     to it."""
     if types and isinstance(types[0], str):
         types = parse_type_list(types)
+    packs, values, error, masked = compiled(("frame", tuple(t.name for t in types), data_col),
+                                            lambda: _frame_columns(types, data_col))
+    staged = df.select("*", *packs) if packs else df
+    return staged.select(*df.columns, *values, error).select(*df.columns, *masked, "error")
+
+
+def _frame_columns(types, data_col: str):
     names = [f"p{i}" for i in range(len(types))]
     fr = _Frame(F.col(data_col), F.length(data_col).cast("bigint"))
     packs, values, errors, off = [], [], [], 0
@@ -280,10 +305,8 @@ def decode_frame(df: DataFrame, types, data_col: str = "data") -> DataFrame:
         off += t.head
     error = evaluate_here(F.coalesce(*errors, _no_error()) if errors else _no_error()).alias("error")
     ok = F.col("error").isNull()
-    staged = df.select("*", *packs) if packs else df
-    return staged.select(*df.columns, *values, error).select(
-        *df.columns, *[F.when(ok, F.col(f"_raw_{n}")).alias(n) for n in names], "error"
-    )
+    masked = [F.when(ok, F.col(f"_raw_{n}")).alias(n) for n in names]
+    return packs, values, error, masked
 
 
 def decode_struct(data: Column, types) -> tuple[Column, Column]:

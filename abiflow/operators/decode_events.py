@@ -21,11 +21,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.abi_types import parse_type_list
-from ..functions.decode import decode_frame, decode_packed, evaluate_here
+from ..functions.decode import compiled, decode_frame, decode_packed, evaluate_here
 from ..session import shared_dir
 
 # Spark's generated code for one projection is bounded; very many distinct
@@ -50,7 +50,6 @@ def decode_mixed(matches: DataFrame, type_keys: list[str], data_col: str = "data
     if not keys:
         return matches.select("*", F.lit(None).cast("variant").alias("params"),
                               F.lit(None).cast("string").alias("error"))
-    data = F.col(data_col)
     if len(keys) > MAX_BRANCHES:
         # several parts read the matches: compute them once, into the shared
         # checkpoint folder (reliable, survives executor loss), instead of
@@ -58,16 +57,11 @@ def decode_mixed(matches: DataFrame, type_keys: list[str], data_col: str = "data
         shared_dir(matches.sparkSession)
         matches = matches.checkpoint(eager=True)
     parts = []
-    for i in range(0, len(keys), MAX_BRANCHES):
-        group = keys[i : i + MAX_BRANCHES]
-        packed = None
-        for key in group:
-            branch = decode_packed(data, parse_type_list(split_type_key(key)), wrap=F.to_variant_object)
-            hit = F.col("type_key") == F.lit(key)
-            packed = F.when(hit, branch) if packed is None else packed.when(hit, branch)
+    for group, packed in compiled(("mixed", tuple(keys), data_col, MAX_BRANCHES),
+                                  lambda: _mixed_branches(keys, data_col)):
         part = matches if len(keys) <= MAX_BRANCHES else matches.where(F.col("type_key").isin(group))
         parts.append(
-            part.select("*", evaluate_here(packed).alias("_pk"))
+            part.select("*", packed.alias("_pk"))
             .select(*part.columns, F.col("_pk.e").alias("error"), F.col("_pk.v").alias("_v"))
             .select(*part.columns, "error", F.when(F.col("error").isNull(), F.col("_v")).alias("params"))
         )
@@ -77,6 +71,22 @@ def decode_mixed(matches: DataFrame, type_keys: list[str], data_col: str = "data
     return out
 
 
+def _mixed_branches(keys: list[str], data_col: str) -> list[tuple[list[str], Column]]:
+    """Per group of at most ``MAX_BRANCHES`` type lists: the packed
+    ``struct<v VARIANT, e STRING>`` selected by ``CASE type_key``."""
+    data = F.col(data_col)
+    out = []
+    for i in range(0, len(keys), MAX_BRANCHES):
+        group = keys[i : i + MAX_BRANCHES]
+        packed = None
+        for key in group:
+            branch = decode_packed(data, parse_type_list(split_type_key(key)), wrap=F.to_variant_object)
+            hit = F.col("type_key") == F.lit(key)
+            packed = F.when(hit, branch) if packed is None else packed.when(hit, branch)
+        out.append((group, evaluate_here(packed)))
+    return out
+
+
 def decode_typed(matches: DataFrame, type_key: str, data_col: str = "data") -> DataFrame:
     """Rows of one type list with typed parameter columns ``p0 .. pn``."""
     rows = matches.where(F.col("type_key") == type_key)
