@@ -55,12 +55,14 @@ def compiled(key, build):
     decoders once instead of once per micro-batch (thousands of JVM calls)."""
     from pyspark import SparkContext
 
-    k = (id(SparkContext._active_spark_context), key)
+    sc = SparkContext._active_spark_context
+    k = (id(sc), key)
     if k not in _COMPILED:
         if len(_COMPILED) >= _COMPILED_MAX:
             _COMPILED.clear()
-        _COMPILED[k] = build()
-    return _COMPILED[k]
+        # the entry holds the context, so its id cannot be reused by a new one
+        _COMPILED[k] = (sc, build())
+    return _COMPILED[k][1]
 
 
 def evaluate_here(c: Column) -> Column:
