@@ -134,13 +134,16 @@ class RunOutput:
 
 def run_batch(inp: ChainInput, strict: bool = True, strategy: str = M.JOIN,
               decoder: Decoder | None = None, prepared: PreparedSubscriptions | None = None,
-              max_announcements: int = DEFAULT_MAX_ROWS) -> RunOutput:
+              max_broadcast_rows: int = DEFAULT_MAX_ROWS) -> RunOutput:
+    """The whole plan over ``inp``.  ``max_broadcast_rows`` bounds every
+    broadcast side (subscriptions, found blocks, receipt gaps); beyond it
+    the joins are shuffle joins planned by Spark and AQE."""
     p = prepared if prepared is not None else prepare_subscriptions(inp.subscriptions, strict=strict)
     looked = B.lookup_blocks(inp.notices, inp.blocks, inp.mode)
 
     # F1 + F2 + J2 before anything is joined to the big tables: only txs sent
     # to a subscribed address go on to the receipt lookup.
-    small_subs = p.small()
+    small_subs = p.small(max_broadcast_rows)
     # only the announced blocks' rows are read (a micro-batch touches a few
     # blocks, not the whole history)
     transactions = B.prune_to_blocks(inp.transactions, looked)
@@ -151,8 +154,8 @@ def run_batch(inp: ChainInput, strict: bool = True, strategy: str = M.JOIN,
     # row per announcement, so one bounded count of the (small) announcement
     # table proves both broadcastable.  Then the tx rows are shuffled once,
     # on tx_hash, for the receipt lookup and stay so for the log join.
-    small = (looked.n_announcements <= max_announcements if looked.n_announcements is not None
-             else at_most(looked.announcements, max_announcements))
+    small = (looked.n_announcements <= max_broadcast_rows if looked.n_announcements is not None
+             else at_most(looked.announcements, max_broadcast_rows))
     rows = M.announced(sub_txs, looked.found, small)
     rows = M.with_receipts(rows, receipts)
     kept, receipt_errors = M.receipt_gap_cut(rows, small)

@@ -168,3 +168,34 @@ def test_invalid_configuration_fails_the_load(spark):
     out = run_batch(chain(spark, txs, [], [(0, A1, ["T(uint24)"]), (1, A2, [SIG_T])]), strict=False)
     bad = [(r.subscription_ord, r.error) for r in out.subscriptions.validated.where("not is_valid").collect()]
     assert bad == [(0, "InvalidEvent: T(uint24): UnsupportedDataType: uint24")]
+
+
+@pytest.mark.parametrize("strategy", [M.JOIN, M.EXPLODE])
+def test_shuffle_path_beyond_broadcast_bounds_gives_the_same_rows(spark, strategy):
+    """One hot block holds most transactions (and a missing receipt); with
+    every broadcast bound at zero and Spark's own broadcasts off, the plan
+    uses shuffle joins (AQE may split the hot partition) and must give the
+    same rows as the broadcast plan."""
+    txs = [(1, "h1", i, f"a{i}", A1 if i % 3 else A2) for i in range(60)]
+    txs += [(b, f"h{b}", i, f"b{b}_{i}", A1) for b in range(2, 6) for i in range(2)]
+    logs = [(t[3], j, A1, [H_T] if j % 2 else [H_U, H_T], payload(t[2] * 10 + j)) for t in txs for j in range(3)]
+    receipts = [t[3] for t in txs if t[3] != "a40"]
+    inp = chain(spark, txs, logs, [(0, A1, [SIG_T, SIG_U]), (1, A2, [SIG_U])], receipts=receipts)
+    want = run_batch(inp, strategy=strategy)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = run_batch(inp, strategy=strategy, max_broadcast_rows=0)
+        assert "SortMergeJoin" in got.events._jdf.queryExecution().executedPlan().toString()
+        assert keys(got) == keys(want)
+        assert sorted(got.receipt_errors.collect()) == sorted(want.receipt_errors.collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert [r.tx_hash for r in want.receipt_errors.collect()] == ["a40"]
+    assert {r.tx_hash for r in want.events.collect()} >= {"a39"} and "a41" not in {r.tx_hash for r in want.events.collect()}
