@@ -76,3 +76,14 @@ def catalogue(signatures: DataFrame, signature_col: str = "signature") -> DataFr
         .withColumn("hash", F.when(ok, keccak256_hex(sig)))
         .drop("_types")
     )
+
+
+def catalogue_distinct(df: DataFrame, signature_col: str = "signature") -> DataFrame:
+    """``catalogue(df)`` computed once per distinct signature and joined
+    back (null-safe, so a missing signature is still reported).  Many
+    subscriptions share a few signatures; the parse and the hash then run
+    once per signature, and the tiny catalogue side is broadcast at run
+    time by AQE."""
+    cat = catalogue(df.select(F.col(signature_col).alias("_sig")).distinct(), "_sig")
+    joined = df.join(cat, df[signature_col].eqNullSafe(cat["_sig"]), "left")
+    return joined.drop("_sig")

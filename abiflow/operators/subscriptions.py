@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .catalogue import catalogue
+from .catalogue import catalogue_distinct
 
 ADDRESS_PATTERN = r"\A(0x)?[0-9a-fA-F]{40}\z"
 
@@ -41,7 +41,7 @@ def validate(subs: DataFrame) -> DataFrame:
         subs.select("subscription_ord", F.posexplode_outer("events").alias("event_ord", "signature"))
         .where(F.col("signature").isNotNull() | F.col("event_ord").isNotNull())
     )
-    cat = catalogue(events)
+    cat = catalogue_distinct(events)
     bad_event = cat.where(~F.col("is_valid")).groupBy("subscription_ord").agg(
         F.min_by(F.concat_ws(": ", F.col("signature"), F.col("error")), F.col("event_ord")).alias("event_error")
     )
@@ -82,7 +82,7 @@ def prepare(subs: DataFrame, strict: bool = True) -> Subscriptions:
         F.min_by(F.struct("subscription_ord", "events"), F.col("subscription_ord")).alias("s")
     ).select("contract_address", "s.subscription_ord", "s.events")
     addresses = first.select("contract_address", "subscription_ord")
-    filters = catalogue(
+    filters = catalogue_distinct(
         first.select(
             "contract_address",
             "subscription_ord",
