@@ -199,3 +199,20 @@ def test_shuffle_path_beyond_broadcast_bounds_gives_the_same_rows(spark, strateg
             spark.conf.set(k, v)
     assert [r.tx_hash for r in want.receipt_errors.collect()] == ["a40"]
     assert {r.tx_hash for r in want.events.collect()} >= {"a39"} and "a41" not in {r.tx_hash for r in want.events.collect()}
+
+
+def test_null_or_bad_signature_makes_the_subscription_invalid(spark):
+    from abiflow.operators.subscriptions import ConfigurationError, prepare, validate
+
+    subs = spark.createDataFrame(
+        [(0, A1, [SIG_T, None]), (1, A2, [SIG_T, "Bad(uint24)"]), (2, A3, [SIG_T, SIG_T]), (3, A3, None)], SUB)
+    got = {r.subscription_ord: (r.is_valid, r.error) for r in validate(subs).collect()}
+    assert got[0] == (False, "InvalidEvent: InvalidSignatureFormat")
+    assert got[1] == (False, "InvalidEvent: Bad(uint24): UnsupportedDataType: uint24")
+    assert got[2] == (True, None)
+    assert got[3] == (False, "MissingField: events")
+    with pytest.raises(ConfigurationError):
+        prepare(subs)
+    lenient = prepare(subs, strict=False)
+    assert [(r.contract_address, r.signature) for r in lenient.filters.orderBy("event_ord").collect()] == [
+        (A3, SIG_T), (A3, SIG_T)]
