@@ -34,8 +34,6 @@ def test_permutation_against_hashlib_sha3():
 
 
 def test_keccak_udf(spark):
-    from pyspark.sql import functions as F
-
     from abiflow.functions.keccak import keccak256_hex
 
     df = spark.createDataFrame([(t,) for t in VECTORS] + [(None,)], "s string")
