@@ -58,9 +58,17 @@ def lookup_blocks(notices: DataFrame, blocks: DataFrame, mode: str = NUMBER, eag
     heads = blocks.select("block_number", "block_hash")
     if mode == NUMBER:
         n = number_notices(notices)
-        looked = n.join(heads, "block_number", "left").select(
-            "arrival_seq", "arrival_pos", "block_number", "block_hash"
-        )
+        if "block_chunk" in blocks.columns:
+            # read only the announced chunks of the block table: the notices'
+            # number range as scalar subqueries, applied to the partition
+            # column when the scan runs
+            lo = n.select(F.min("block_number")).scalar()
+            hi = n.select(F.max("block_number")).scalar()
+            heads = heads.where(
+                (blocks["block_chunk"] >= F.floor(lo / BLOCK_CHUNK)) & (blocks["block_chunk"] <= F.floor(hi / BLOCK_CHUNK))
+            )
+        looked = n.join(heads, "block_number", "left")
+        looked = looked.select("arrival_seq", "arrival_pos", "block_number", "block_hash")
         missing_flag = F.col("block_hash").isNull()
         message = F.concat(F.lit("BlockNotFoundForNumber: "), F.col("block_number").cast("string"))
     elif mode == HASH:

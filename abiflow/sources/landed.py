@@ -46,7 +46,7 @@ def land(tables: dict[str, DataFrame], root: str, buckets: int | None = None,
     """Write ``tables`` (names as in ``TX_KEYED`` + ``PLAIN``) under ``root``."""
     for name, df in tables.items():
         path = os.path.join(root, name)
-        chunked = "block_number" in df.columns and name != "blocks"
+        chunked = "block_number" in df.columns
         if chunked:
             df = df.withColumn("block_chunk", F.floor(F.col("block_number") / BLOCK_CHUNK).cast("bigint"))
         parts = ["block_chunk"] if chunked else []
