@@ -47,6 +47,16 @@ def number_notices(notices: DataFrame) -> DataFrame:
     return notices.select("arrival_seq", F.lit(0).alias("arrival_pos"), "block_number")
 
 
+# Below this size (Spark's estimate from the files) the block table is
+# scanned whole: one more small job would cost more than it saves.
+PRUNE_BLOCKS_ABOVE_BYTES = 64 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (from file sizes; no job)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def lookup_blocks(notices: DataFrame, blocks: DataFrame, mode: str = NUMBER, eager: bool = True) -> BlockLookup:
     """Join announcements to the block table and apply the fail-stop.
 
@@ -58,14 +68,19 @@ def lookup_blocks(notices: DataFrame, blocks: DataFrame, mode: str = NUMBER, eag
     heads = blocks.select("block_number", "block_hash")
     if mode == NUMBER:
         n = number_notices(notices)
-        if "block_chunk" in blocks.columns:
+        if "block_chunk" in blocks.columns and estimated_bytes(blocks) > PRUNE_BLOCKS_ABOVE_BYTES:
             # read only the announced chunks of the block table: the notices'
-            # number range as scalar subqueries, applied to the partition
-            # column when the scan runs
-            lo = n.select(F.min("block_number")).scalar()
-            hi = n.select(F.max("block_number")).scalar()
+            # number range, applied to the partition column
+            if eager:  # one tiny job; literals also reach the Parquet scan
+                r = n.agg(F.min("block_number").alias("lo"), F.max("block_number").alias("hi")).first()
+                lo, hi = F.lit(r["lo"]), F.lit(r["hi"])
+            else:
+                lo = n.select(F.min("block_number")).scalar()
+                hi = n.select(F.max("block_number")).scalar()
             heads = heads.where(
-                (blocks["block_chunk"] >= F.floor(lo / BLOCK_CHUNK)) & (blocks["block_chunk"] <= F.floor(hi / BLOCK_CHUNK))
+                (blocks["block_chunk"] >= F.floor(lo / BLOCK_CHUNK))
+                & (blocks["block_chunk"] <= F.floor(hi / BLOCK_CHUNK))
+                & F.col("block_number").between(lo, hi)
             )
         looked = n.join(heads, "block_number", "left")
         looked = looked.select("arrival_seq", "arrival_pos", "block_number", "block_hash")
