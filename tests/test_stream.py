@@ -98,12 +98,17 @@ def test_run_reads_only_the_announced_blocks(spark):
     assert {r.block_number for r in out.events.collect()} <= {3, 4}
 
 
-def test_landed_bucketed_tables_give_the_same_run(spark):
+@pytest.mark.parametrize("prune_blocks", [False, True])
+def test_landed_bucketed_tables_give_the_same_run(spark, monkeypatch, prune_blocks):
     import uuid
 
+    from abiflow.operators import blocks as B
     from abiflow.plans.pipeline import ChainInput
     from abiflow.sources import landed as L
 
+    if prune_blocks:  # as for a large block table
+        monkeypatch.setattr(B, "PRUNE_BLOCKS_ABOVE_BYTES", 0)
+
     inp = fixture(spark, [(i, b) for i, b in enumerate(range(1, 9))])
     root = tempfile.mkdtemp(prefix="abiflow-landed-", dir=os.environ.get("TMPDIR", "/tmp"))
     logs = inp.logs.join(inp.transactions.select("tx_hash", "block_number"), "tx_hash")
