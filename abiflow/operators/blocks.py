@@ -50,6 +50,7 @@ def number_notices(notices: DataFrame) -> DataFrame:
 # Below this size (Spark's estimate from the files) the block table is
 # scanned whole: one more small job would cost more than it saves.
 PRUNE_BLOCKS_ABOVE_BYTES = 64 << 20
+MAX_HASH_IN_LIST = 10_000  # a poll batch's hashes; beyond this the scan is whole
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -88,6 +89,14 @@ def lookup_blocks(notices: DataFrame, blocks: DataFrame, mode: str = NUMBER, eag
         message = F.concat(F.lit("BlockNotFoundForNumber: "), F.col("block_number").cast("string"))
     elif mode == HASH:
         n = flatten_hash_notices(notices)
+        if eager and estimated_bytes(blocks) > PRUNE_BLOCKS_ABOVE_BYTES:
+            # a large block table: the batch's hashes (a bounded list) as an
+            # IN filter reach the Parquet scan, where the block_hash bloom
+            # filter written at landing skips row groups without them
+            hashes = [r[0] for r in n.select("block_hash").where(F.col("block_hash").isNotNull())
+                      .distinct().limit(MAX_HASH_IN_LIST + 1).collect()]
+            if len(hashes) <= MAX_HASH_IN_LIST:
+                heads = heads.where(F.col("block_hash").isin(hashes))
         looked = n.join(heads, "block_hash", "left").select(
             "arrival_seq", "arrival_pos", "block_number", "block_hash"
         )
