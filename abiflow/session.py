@@ -1,9 +1,8 @@
 """Session helpers: a local session for tests and the bench, and the shared
 folder for checkpoints and intermediate tables.
 
-On a cluster the folder comes from ``spark.checkpoint.dir`` as the cluster
-sets it; a private folder is made only when the setting is absent (local
-tests and benches).
+The folder comes from ``spark.checkpoint.dir`` as the cluster sets it.  A
+local session made here sets one of its own where none is set.
 """
 
 from __future__ import annotations
@@ -11,14 +10,18 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "abiflow") -> SparkSession:
+    builder = SparkSession.builder
+    if not SparkConf().contains(CHECKPOINT_CONF):
+        builder = builder.config(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="abiflow-ckpt-"))
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -32,13 +35,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a private one only if unset.
-    Also makes it the SparkContext's checkpoint folder (``checkpoint()``)."""
+    """The cluster's shared checkpoint folder, also made the SparkContext's
+    (``checkpoint()``); an error if the session has none."""
     sc = spark.sparkContext
     path = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="abiflow-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
