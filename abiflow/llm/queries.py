@@ -21,9 +21,7 @@ def _remainder(n: int) -> Column:
 
 
 def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    # the text isn't carried along: only its size and hashes are used
-    placed = sharding.hilbert_shards(docs)
+    placed = sharding.hilbert_shards(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return placed.select(
         "doc_id", "_place.size", "_place.text_crc32", F.lit(sharding.LAW).alias("law"), "_place.shard", "_place.slot",
         F.lit(None).cast("int").alias("grown_shard"),

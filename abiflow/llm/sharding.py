@@ -87,13 +87,13 @@ def _before(*order: str, within: tuple[str, ...] = ()) -> Column:
     return F.coalesce(F.sum("n").over(window), F.lit(0))
 
 
-def hilbert_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
-    """``docs`` with struct column ``_place``: size, text_crc32, curve,
-    shard, slot."""
+def hilbert_shards(docs: DataFrame, shards: int = 24, keep: list[str] | None = None) -> DataFrame:
+    """The columns to keep (all of ``docs``; what isn't kept isn't shuffled)
+    with struct column ``_place``: size, text_crc32, curve, shard, slot."""
     spark: SparkSession = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select(
-        F.struct("*").alias("_row"),
+        F.struct(*(docs.columns if keep is None else keep)).alias("_row"),
         "doc_id",
         F.struct(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source")).alias("names"),
         (F.octet_length(text) + 8).cast("long").alias("size"),
@@ -111,6 +111,9 @@ def hilbert_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
         .withColumn("part", F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(1 << COPY_BITS)).cast("int"))
     )
     levels = ["curve", "bucket", "text_id", "part"]
+    # dealt anew by all levels, so that the join above can split a text that
+    # many rows share
+    keyed = keyed.repartition(*levels)
     parts = keyed.groupBy(*levels).agg(F.count(F.lit(1)).alias("n"))
     sums = {k: parts.groupBy(*levels[:k]).agg(F.sum("n").alias("n")) for k in (1, 2, 3)} | {4: parts}
     at = sums[1].select("curve", _before("curve").alias("b1"), F.sum("n").over(Window.partitionBy()).alias("total"))
