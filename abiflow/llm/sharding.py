@@ -102,7 +102,10 @@ def hilbert_shards(docs: DataFrame, shards: int = 24, keep: list[str] | None = N
     )
     # copies take one cell; their names combine before the shuffle
     named = keyed.groupBy("text_id").agg(F.min("names").alias("cell_names"))
-    keyed = keyed.join(named, "text_id")
+    # a key of its own: both sides are then plain shuffles, of which the
+    # adaptive join can split the part that a much copied text fills
+    named = named.select(F.reverse("text_id").alias("copy_key"), "cell_names")
+    keyed = keyed.withColumn("copy_key", F.reverse("text_id")).join(named, "copy_key")
     cell = (_step(F.col("cell_names.lang")) * (1 << BITS) + _step(F.col("cell_names.source"))) * (1 << BITS) + _size_step(F.col("size"))
     curve = spark.createDataFrame(curve_table(), "cell bigint, curve int")
     keyed = (
