@@ -128,7 +128,7 @@ def sample(docs: DataFrame, labels: DataFrame, learn: F.Column, rows: int = MAX_
 
 def train(examples: DataFrame) -> np.ndarray:
     """Weights, the intercept last; at most 2**BITS + 1 come to the driver."""
-    dealt = examples.select("label", "text").mapInArrow(_examples, "label double, at array<int>, count array<float>").repartition(SHARDS, F.xxhash64("at", "label"))
+    dealt = examples.select("label", "text").mapInArrow(_examples, "label double, at array<int>, count array<float>").repartition(SHARDS)
     sums = {r["at"]: r["w"] for r in dealt.mapInArrow(_lead, "at int, w double").groupBy("at").agg(F.sum("w").alias("w")).collect()}
     w = np.zeros((1 << BITS) + 1)
     shards = sums.pop(-2, 1.0)
