@@ -1,10 +1,12 @@
 """Token ids of whole texts by a tokenizers-library file, word by word.
 
-Both files used here never merge across white space, so the ids of a text
-are the ids of its words in turn; a word seen before is looked up instead of
-tokenized again.  Where a text has white space that the cut below does not
-cover, the whole text goes through the tokenizer as it is.  Special-token
-strings inside a text are ordinary text, as the files' description asks.
+Both files used here first cut a text into words by a pattern and never
+merge across them, so the ids of a text are the ids of its words in turn; a
+word seen before is looked up instead of tokenized again.  The patterns are
+stated here for Latin-1 texts, where character classes are short; a text
+with other characters is cut at blanks where that is safe, or goes through
+the tokenizer as it is.  Special-token strings inside a text are ordinary
+text, as the files' description asks.
 """
 
 from __future__ import annotations
@@ -14,10 +16,18 @@ import re
 
 import numpy as np
 
-# A single blank goes with the word behind it, a line feed stands alone.
+# Letters and numbers of Latin-1, and the white space the patterns below
+# expect; \x00, \x1c-\x1f, \x85 and \xa0 aren't left to them.
+_L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r\x20"
+_ODD = re.compile("[\x00\x1c-\x1f\x85\xa0]")
+# The files' own patterns (fixed values), in these classes.
+_SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
+_BYTE_WORDS = re.compile(f"{_SHORT}| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_BLANK_WORDS = re.compile(f"{_SHORT}|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
+# Other texts: a single blank goes with the word behind it, a line feed
+# stands alone.
 _PIECES = re.compile(r" ?[^ \n]+|\n")
 _UNSAFE = re.compile(r"\s\s|[^\S \n]")
-_ODD_SPACE = re.compile("[\x00\x1c-\x1f]")
 
 BYTE_LEVEL = "byte"
 WORD_ENDS = "word"
@@ -29,6 +39,14 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Encoder:
     """``layout``: BYTE_LEVEL keeps white space in the ids, WORD_ENDS drops
     it.  ``remembered`` bounds the words kept; the memory is then emptied."""
@@ -46,7 +64,7 @@ class Encoder:
         self._forget()
 
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _forget(self) -> None:
         self.code: dict[str | None, int] = {None: 0, "\n": 1}
@@ -55,8 +73,8 @@ class Encoder:
 
     def _learn(self, words: list[str], whole: set[str]) -> None:
         """New words go through the tokenizer together, whole texts alone."""
-        alone = [w for w in words if w in whole]
-        words = [w for w in words if w not in whole]
+        alone = [w for w in words if w in whole or w.isspace()]
+        words = [w for w in words if w not in whole and not w.isspace()]
         flat, lengths = [], []
         for lo in range(0, len(words), 4000):
             ids = np.array(self._ids(self.between.join(words[lo : lo + 4000])), np.uint32)
@@ -77,9 +95,13 @@ class Encoder:
 
     def pieces(self, text: str) -> list[str] | None:
         """The text cut into words; None if it must stay whole."""
+        odd = _ODD.search(text)
+        if not odd and (text.isascii() or _latin(text)):
+            # this layout's file lower-cases, which in Latin-1 is one to one
+            return _BLANK_WORDS.findall(text.lower()) if self.layout == WORD_ENDS else _BYTE_WORDS.findall(text)
         if self.layout == WORD_ENDS:
-            return None if _ODD_SPACE.search(text) else text.split()
-        if _UNSAFE.search(text):
+            return None if odd else text.split()
+        if odd or _UNSAFE.search(text):
             return None
         out = _PIECES.findall(text)
         return out if sum(map(len, out)) == len(text) else None
