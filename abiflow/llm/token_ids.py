@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import repeat
 
 import numpy as np
 
@@ -122,9 +123,11 @@ class Encoder:
                 pieces += [t] if words is None else words
             pieces.append(None)
             until.append(len(pieces))
-        if new := list(set(pieces).difference(self.code)):
-            self._learn(new, whole)
-        codes = np.fromiter(map(self.code.__getitem__, pieces), np.int64, len(pieces))
+        codes = np.fromiter(map(self.code.get, pieces, repeat(-1)), np.int64, len(pieces))
+        unknown = np.flatnonzero(codes < 0).tolist()
+        if unknown:
+            self._learn(list(dict.fromkeys(pieces[k] for k in unknown)), whole)
+            codes[unknown] = [self.code[pieces[k]] for k in unknown]
         begins = self.at[codes]
         lengths = self.at[codes + 1] - begins
         ends = np.cumsum(lengths)
