@@ -10,9 +10,12 @@ link when ``100 * intersection >= percent * union``.
    first, by hash.  Any order gives the same links; this one keeps passages
    that many texts share out of the prefixes.
 2. Candidates: two sets that link share an n-gram among the first
-   ``size - ceil(least overlap) + 1`` of each (prefix filter, no cap).  Texts
-   with a common prefix n-gram form families (components of star edges, so
-   that a common n-gram costs one row per text and not one per pair).
+   ``size - ceil(least overlap) + 1`` of each (prefix filter, no cap).  Where
+   up to ``PAIRED`` sets share one, their pairs are tested by size and by
+   parity bitmaps: bits that differ are n-grams that differ, so a pair with
+   too many of them can't link.  Where more share one, a star of one row per
+   set stands for the pairs.  Pairs left and stars form families (their
+   connected components), which hold all links.
 3. Vertical partitioning: a family's n-grams, in global order, are cut into
    fragments of ``FRAGMENT`` columns; each fragment's partial overlaps are
    counted separately as products of bit rows, and summed per pair.  A
@@ -47,6 +50,9 @@ FREQUENT_FROM = 32
 FREQUENT = 1_000_000
 #: Parts that a frequent prefix n-gram's texts are dealt to.
 SALTS = 64
+#: Sets that share a prefix n-gram, up to which their pairs are tested one by
+#: one; beyond, the block tasks test them all.
+PAIRED = 32
 #: A task's block: n-grams and sets at most, on average.
 BLOCK_GRAMS = 400_000
 BLOCK_SETS = 1024
@@ -88,6 +94,25 @@ def fingerprint(grams: np.ndarray) -> int:
     return int(mix(np.array([total], U64)).astype(np.int64)[0])
 
 
+def parity_bitmap(grams: np.ndarray) -> bytes:
+    """For each residue of the hashes whether an odd number of n-grams has
+    it; as many bits as half the set's size, rounded up to a power of two."""
+    width = max(64, 1 << max(0, (len(grams) // 2 - 1).bit_length()))
+    odd = np.bincount((grams & U64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """At most the number of n-grams that one set has and the other not;
+    the wider bitmap is folded to the narrower one's residues."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if len(x) != len(y):
+        narrow = min(len(x), len(y))
+        x = np.bitwise_xor.reduce(x.reshape(-1, narrow), 0)
+        y = np.bitwise_xor.reduce(y.reshape(-1, narrow), 0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _frequent(texts: DataFrame, n: int, percent: int) -> np.ndarray:
     """The n-grams that come last, sorted by hash.  Counted over all texts,
     among the first 1.5 prefixes of each in the order by hash alone."""
@@ -117,32 +142,35 @@ def _frequent(texts: DataFrame, n: int, percent: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, fp, keys: the prefix in global order, given once
-    for equal sets of a task."""
+    """doc_id, n_shingles, fp, keys (the prefix in global order) and bits (the
+    parity bitmap), both given once for equal sets of a task."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, told = shared.value, set()
         for b in batches:
-            size, fps, keys = [], [], []
+            size, fps, keys, bits = [], [], [], []
             for _, grams in shingle_sets(b.column(1), n):
                 size.append(len(grams))
                 fps.append(fingerprint(grams))
-                key = grams[:0]
+                key, bit = grams[:0], None
                 if len(grams) and fps[-1] not in told:
                     told.add(fps[-1])
+                    bit = parity_bitmap(grams)
                     want = prefix_length(len(grams), percent)
                     late = _among(grams, last)
                     key = grams[~late][:want]
                     if len(key) < want:
                         key = np.concatenate([key, grams[late][: want - len(key)]])
                 keys.append(key.view(np.int64))
+                bits.append(bit)
             yield pa.record_batch(
-                [b.column(0), pa.array(size, pa.int64()), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "fp", "keys"]
+                [b.column(0), pa.array(size, pa.int64()), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                names=["doc_id", "n_shingles", "fp", "keys", "bits"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles bigint, fp bigint, keys array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles bigint, fp bigint, keys array<bigint>, bits binary")
 
 
 def _among(grams: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -152,20 +180,39 @@ def _among(grams: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[at] == grams
 
 
-def _families(sets: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(fp, family) of all sets that share a prefix n-gram with another."""
-    keys = sets.select("fp", F.explode("keys").alias("key"))
+def _families(sets: DataFrame, frequent: DataFrame, percent: int) -> DataFrame:
+    """(fp, family) of all sets that may link with another."""
+    keys = sets.select("fp", F.col("n_shingles").cast("int").alias("n"), F.explode("keys").alias("key"))
     # the texts of a frequent n-gram are dealt to SALTS groups
     keys = keys.join(F.broadcast(frequent), "key", "left")
     keys = keys.withColumn("part", F.when(F.col("often"), F.pmod(F.xxhash64("fp"), F.lit(SALTS))).otherwise(0))
     group = Window.partitionBy("key", "part")
-    stars = keys.withColumn("hub", F.min("fp").over(group)).where(F.col("often") | (F.col("hub") != F.col("fp")))
-    stars = checkpointed(stars.select("fp", "hub", "key", "often"))
-    # and the groups of one frequent n-gram are joined at their hubs
+    held = keys.withColumn("hub", F.min("fp").over(group)).withColumn("far", F.max("fp").over(group)).withColumn("rows", F.count(F.lit(1)).over(group))
+    held = held.where(F.col("often") | (F.col("hub") != F.col("far")))
+    held = checkpointed(held.select("fp", "n", "hub", "key", (F.col("often").isNotNull() | (F.col("rows") > PAIRED)).alias("star"), "often"))
+    stars = held.where("star")
+    # the groups of one frequent n-gram are joined at their hubs
     hubs = stars.where("often").select("key", "hub").distinct()
-    least = hubs.groupBy("key").agg(F.min("hub").alias("top"))
-    across = hubs.join(least, "key").where("hub <> top").select(F.col("hub").alias("fp"), F.col("top").alias("hub"))
-    return components(stars.select("fp", "hub").union(across), "fp", "hub").select(F.col("node").alias("fp"), F.col("root").alias("family"))
+    least = hubs.groupBy(F.col("key").alias("k")).agg(F.min("hub").alias("top"))
+    across = hubs.join(least, F.col("key") == F.col("k")).select("hub", "top")
+    # pairs of the few sets that share an n-gram, larger set first
+    few = held.where("not star").groupBy("key").agg(F.sort_array(F.collect_set(F.struct("n", "fp")), asc=False).alias("sets"))
+    small = F.filter(F.slice("sets", F.col("pos") + 2, PAIRED), lambda x: x["n"] * 100 >= F.col("a")["n"] * percent)
+    pairs = few.select("sets", F.posexplode("sets").alias("pos", "a")).select("a", F.explode(small).alias("b")).distinct()
+    bitmap = checkpointed(sets.where("bits is not null").groupBy("fp").agg(F.first("bits").alias("bits")))
+    of = lambda x: bitmap.select(F.col("fp").alias(f"fp_{x}"), F.col("bits").alias(f"bits_{x}"))
+    pairs = pairs.select(F.col("a.fp").alias("fp_a"), F.col("b.fp").alias("fp_b"), (F.col("a.n") + F.col("b.n")).alias("n")).join(of("a"), "fp_a").join(of("b"), "fp_b")
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.column(2).to_numpy().astype(np.int64)
+            most = n - 2 * least_overlap(n, percent)
+            diff = np.fromiter((differing(x, y) for x, y in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)), np.int64, len(n))
+            yield b.select([0, 1]).filter(pa.array(diff <= most))
+
+    pairs = pairs.select("fp_a", "fp_b", "n", "bits_a", "bits_b").mapInArrow(alike, "fp_a bigint, fp_b bigint")
+    edges = stars.select("fp", "hub").union(across).union(pairs)
+    return components(edges, "fp", "hub").select(F.col("node").alias("fp"), F.col("root").alias("family"))
 
 
 def _size_class(n: F.Column, percent: int) -> F.Column:
@@ -217,10 +264,11 @@ def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame
 
     kind = "fp bigint, copies bigint, mine string, family bigint, tasks array<struct<c1:int,b1:int,c2:int,b2:int>>, grams array<bigint>"
     rows = rows.select("text", "fp", "copies", "mine", "family", "tasks").mapInArrow(hashed, kind)
-    rows = rows.dropDuplicates(["fp"]).select("fp", "copies", "mine", "family", "grams", F.explode("tasks").alias("task"))
+    rows = rows.select("fp", "copies", "mine", "family", "grams", F.explode("tasks").alias("task"))
 
     def link(table: pa.Table) -> pa.Table:
-        fp = table.column("fp").to_numpy()
+        fp, once = np.unique(table.column("fp").to_numpy(), return_index=True)
+        table = table.take(pa.array(once))  # a repeated row may bring a set twice
         grams = [x.values.to_numpy().view(U64) for x in table.column("grams")]
         task = table.column("task")[0].as_py()
         sides = table.column("mine").to_pylist()
@@ -312,7 +360,7 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     _prefixes(docs, n, percent, frequent).write.parquet(path)
     sets = spark.read.parquet(path)
     late = spark.createDataFrame(pa.table({"key": pa.array(frequent.view(np.int64)), "often": pa.array(np.ones(len(frequent), bool))}))
-    family = checkpointed(_families(sets, late))
+    family = checkpointed(_families(sets, late, percent))
     # one row per set, counted in each task before the shuffle
     by_set = sets.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"))
     by_set = checkpointed(by_set)

@@ -510,3 +510,11 @@ def test_pipeline_keeps_clean_documents(spark):
     assert kept[1] >= {1, 2, 3, 6} and 4 not in kept[1]
     assert 6 not in kept[2] and kept[2] >= {1, 2, 3}
     assert {r["doc_id"] for r in cp.run(spark, base).select("doc_id").distinct().collect()} == kept[-1]
+
+
+def test_bitmaps_never_rule_out_a_link():
+    rng = np.random.default_rng(2)
+    for _ in range(500):
+        common = rng.integers(0, 2**63, rng.integers(1, 900)).astype(np.uint64)
+        a, b = (np.unique(np.concatenate([common, rng.integers(0, 2**63, rng.integers(0, 200)).astype(np.uint64)])) for _ in range(2))
+        assert jaccard.differing(jaccard.parity_bitmap(a), jaccard.parity_bitmap(b)) <= len(np.setxor1d(a, b))
