@@ -57,8 +57,9 @@ PAIRED = 32
 BLOCK_GRAMS = 400_000
 BLOCK_SETS = 1024
 FRAGMENT = 1 << 14
-#: Rows up to which a table of ids (8 bytes each) is broadcast; beyond: a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Rows up to which the table of family members (about 150 bytes each) is
+#: broadcast; beyond: a shuffle.
+BROADCAST_ROWS = 250_000
 
 
 def least_overlap(sizes: np.ndarray | int, percent: int):  # noqa: ANN201
