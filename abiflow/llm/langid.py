@@ -25,11 +25,10 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .textbytes import LOWER, chunks
@@ -209,10 +208,15 @@ def with_language(docs: DataFrame, trees: Trees) -> DataFrame:
     """``docs`` as it is with struct column ``_language`` (lang_pred, score,
     bits_per_byte)."""
     shared = docs.sparkSession.sparkContext.broadcast(trees)
+    at = docs.columns.index("text")
 
-    def run(texts: pd.Series) -> pd.DataFrame:
-        names, score, rate = predict_batch(shared.value, pa.array(texts, pa.string(), from_pandas=True))
-        return pd.DataFrame({"lang_pred": names, "score": score, "bits_per_byte": rate})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 1024):
+                part = b.slice(lo, 1024)
+                names, score, rate = predict_batch(shared.value, part.column(at))
+                found = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score), pa.array(rate)], names=["lang_pred", "score", "bits_per_byte"])
+                yield pa.record_batch([*part.columns, found], names=[*part.schema.names, "_language"])
 
-    udf = pandas_udf(run, "lang_pred string, score double, bits_per_byte double")
-    return docs.withColumn("_language", udf(F.col("text")))
+    found = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())])
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_language", found)]))

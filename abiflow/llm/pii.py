@@ -255,7 +255,7 @@ def span_digest(docs: DataFrame) -> DataFrame:
     counts = [f"n_{k}" for k in KINDS]
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x.slice(lo, 1024) for x in batches for lo in range(0, x.num_rows, 1024)):
             rows = []
             for t in b.column(1).to_pylist():
                 spans = find_spans(t)

@@ -52,7 +52,7 @@ class Encoder:
     """``layout``: BYTE_LEVEL keeps white space in the ids, WORD_ENDS drops
     it.  ``remembered`` bounds the words kept; the memory is then emptied."""
 
-    def __init__(self, path: str, layout: str, end_id: int = 1, remembered: int = 1_000_000) -> None:
+    def __init__(self, path: str, layout: str, end_id: int = 1, remembered: int = 300_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
