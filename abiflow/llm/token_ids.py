@@ -50,9 +50,10 @@ def _latin(text: str) -> bool:
 
 class Encoder:
     """``layout``: BYTE_LEVEL keeps white space in the ids, WORD_ENDS drops
-    it.  ``remembered`` bounds the words kept; the memory is then emptied."""
+    it.  ``remembered`` bounds the words kept; beyond it the rarer half and
+    all words met only once are forgotten."""
 
-    def __init__(self, path: str, layout: str, end_id: int = 1, remembered: int = 300_000) -> None:
+    def __init__(self, path: str, layout: str, end_id: int = 1, remembered: int = 700_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
@@ -62,15 +63,23 @@ class Encoder:
         # what stands between words that are tokenized in one go, and its id
         self.between = " \0 " if layout == WORD_ENDS else "\n"
         (self.between_id,) = self._ids(self.between)
-        self._forget()
+        self.code: dict[str | None, int] = {None: 0, "\n": 1}
+        self.flat = np.array([self.end_id, self.between_id], np.uint32)
+        self.at = np.array([0, 1, 2], np.int64)
+        self.met = np.full(2, np.iinfo(np.int64).max // 2)  # never forgotten
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _forget(self) -> None:
-        self.code: dict[str | None, int] = {None: 0, "\n": 1}
-        self.flat = np.array([self.end_id, self.between_id], np.uint32)
-        self.at = np.array([0, 1, 2], np.int64)
+        least = max(2, int(np.partition(self.met, len(self.met) // 2)[len(self.met) // 2]) + 1)
+        kept = self.met >= least
+        number = np.cumsum(kept) - 1
+        self.code = {w: int(number[k]) for w, k in self.code.items() if kept[k]}
+        lengths = np.diff(self.at)
+        self.flat = self.flat[np.repeat(kept, lengths)]
+        self.at = np.concatenate([[0], np.cumsum(lengths[kept])])
+        self.met = np.where(self.met[kept] > 1 << 60, self.met[kept], 1)
 
     def _learn(self, words: list[str], whole: set[str]) -> None:
         """New words go through the tokenizer together, whole texts alone."""
@@ -93,6 +102,7 @@ class Encoder:
         self.code.update(zip(words, range(len(self.at) - 1, len(self.at) - 1 + len(words)), strict=True))
         self.flat = np.concatenate([self.flat, *flat])
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(lengths)])
+        self.met = np.concatenate([self.met, np.zeros(len(words), np.int64)])
 
     def pieces(self, text: str) -> list[str] | None:
         """The text cut into words; None if it must stay whole."""
@@ -128,6 +138,7 @@ class Encoder:
         if unknown:
             self._learn(list(dict.fromkeys(pieces[k] for k in unknown)), whole)
             codes[unknown] = [self.code[pieces[k]] for k in unknown]
+        self.met[2:] += np.bincount(codes, minlength=len(self.met))[2:]
         begins = self.at[codes]
         lengths = self.at[codes + 1] - begins
         ends = np.cumsum(lengths)
