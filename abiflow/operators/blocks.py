@@ -47,15 +47,14 @@ def number_notices(notices: DataFrame) -> DataFrame:
     return notices.select("arrival_seq", F.lit(0).alias("arrival_pos"), "block_number")
 
 
-# Below this size (Spark's estimate from the files) the block table is
-# scanned whole: one more small job would cost more than it saves.
-PRUNE_BLOCKS_ABOVE_BYTES = 64 << 20
-MAX_HASH_IN_LIST = 10_000  # a poll batch's hashes; beyond this the scan is whole
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df`` (from file sizes; no job)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def _one_block(looked: DataFrame, key: str, value: str) -> DataFrame:
+    """At most one block for each announcement: of several rows found for it
+    (a landing that was retried, a number that was reorganised) the one with
+    the highest ``version``, where the block table has that column, then the
+    highest value.  Only the announcements' rows are grouped."""
+    best = F.max(F.struct("version", value))[value]
+    one = looked.groupBy("arrival_seq", "arrival_pos", key).agg(best.alias(value))
+    return one.select("arrival_seq", "arrival_pos", "block_number", "block_hash")
 
 
 def lookup_blocks(notices: DataFrame, blocks: DataFrame, mode: str = NUMBER, eager: bool = True) -> BlockLookup:
@@ -66,42 +65,18 @@ def lookup_blocks(notices: DataFrame, blocks: DataFrame, mode: str = NUMBER, eag
     so writing several run tables does not re-run the lookup per table, and
     the count bounds the broadcast sides.  Otherwise the first missing
     announcement is a scalar subquery inside each plan."""
-    heads = blocks.select("block_number", "block_hash")
+    version = F.col("version") if "version" in blocks.columns else F.lit(None).cast("bigint")
+    heads = blocks.select("block_number", "block_hash", version.alias("version"))
     if mode == NUMBER:
         n = number_notices(notices)
-        if "block_chunk" in blocks.columns and estimated_bytes(blocks) > PRUNE_BLOCKS_ABOVE_BYTES:
-            # read only the announced chunks of the block table: the notices'
-            # number range, applied to the partition column
-            if eager:  # one tiny job; literals also reach the Parquet scan
-                r = n.agg(F.min("block_number").alias("lo"), F.max("block_number").alias("hi")).first()
-                lo, hi = F.lit(r["lo"]), F.lit(r["hi"])
-            else:
-                lo = n.select(F.min("block_number")).scalar()
-                hi = n.select(F.max("block_number")).scalar()
-            heads = heads.where(
-                (blocks["block_chunk"] >= F.floor(lo / BLOCK_CHUNK))
-                & (blocks["block_chunk"] <= F.floor(hi / BLOCK_CHUNK))
-                & F.col("block_number").between(lo, hi)
-            )
-        looked = n.join(heads, "block_number", "left")
-        looked = looked.select("arrival_seq", "arrival_pos", "block_number", "block_hash")
+        looked = _one_block(n.join(heads, "block_number", "left"), "block_number", "block_hash")
         missing_flag = F.col("block_hash").isNull()
-        message = F.concat(F.lit("BlockNotFoundForNumber: "), F.col("block_number").cast("string"))
+        message = F.concat(F.lit("BlockNotFoundForNumber: "), F.coalesce(F.col("block_number").cast("string"), F.lit("null")))
     elif mode == HASH:
         n = flatten_hash_notices(notices)
-        if eager and estimated_bytes(blocks) > PRUNE_BLOCKS_ABOVE_BYTES:
-            # a large block table: the batch's hashes (a bounded list) as an
-            # IN filter reach the Parquet scan, where the block_hash bloom
-            # filter written at landing skips row groups without them
-            hashes = [r[0] for r in n.select("block_hash").where(F.col("block_hash").isNotNull())
-                      .distinct().limit(MAX_HASH_IN_LIST + 1).collect()]
-            if len(hashes) <= MAX_HASH_IN_LIST:
-                heads = heads.where(F.col("block_hash").isin(hashes))
-        looked = n.join(heads, "block_hash", "left").select(
-            "arrival_seq", "arrival_pos", "block_number", "block_hash"
-        )
+        looked = _one_block(n.join(heads, "block_hash", "left"), "block_hash", "block_number")
         missing_flag = F.col("block_number").isNull()
-        message = F.concat(F.lit("BlockNotFound: "), F.col("block_hash"))
+        message = F.concat(F.lit("BlockNotFound: "), F.coalesce(F.col("block_hash"), F.lit("null")))
     else:
         raise ValueError(f"unknown notice mode {mode!r}")
 
@@ -149,7 +124,9 @@ BLOCK_CHUNK = 256
 
 def prune_to_blocks(df: DataFrame, lookup: BlockLookup) -> DataFrame:
     """Keep only rows of the looked-up blocks' number range, when ``df`` has
-    a ``block_number`` column and the lookup was eager.  The range filter
+    a ``block_number`` column and the lookup was eager.  For transactions
+    only: they are joined to the blocks by that number, while receipts and
+    logs are found by ``tx_hash`` alone, wherever they are filed.  The range filter
     reaches the Parquet scan (row-group skipping on block-clustered files),
     and ``block_chunk`` partitions are pruned when present, so a micro-batch
     of a few blocks reads those blocks' rows, not the whole history."""

@@ -46,8 +46,9 @@ def announced(sub_txs: DataFrame, found_blocks: DataFrame, small: bool = False)
 
 
 def with_receipts(rows: DataFrame, receipts: DataFrame) -> DataFrame:
-    """A10 + J3: left lookup of the receipt, ``has_receipt`` false when absent."""
-    r = receipts.select("tx_hash", F.lit(True).alias("has_receipt"))
+    """A10 + J3: left lookup of the receipt, ``has_receipt`` false when
+    absent.  A receipt that was landed twice counts once."""
+    r = receipts.select("tx_hash").distinct().withColumn("has_receipt", F.lit(True))
     return rows.join(r, "tx_hash", "left").withColumn(
         "has_receipt", F.coalesce(F.col("has_receipt"), F.lit(False))
     )
@@ -84,23 +85,16 @@ def receipt_gap_cut(rows: DataFrame, small: bool = False) -> tuple[DataFrame, Da
     return kept, errors
 
 
-# Beyond this many distinct subscribed hashes the literal pre-filter is left
-# out (the plan would carry too many literals); the (to, hash) join that
-# follows filters exactly either way.
-MAX_PREFILTER_HASHES = 4096
+def candidate_topics(logs: DataFrame, filters: DataFrame, small: bool | None) -> DataFrame:
+    """One row per log and subscribed hash among its distinct topics.  Logs
+    without one match no filter and are gone before any shuffle: the hashes
+    are config-sized and broadcast under the filters' bound."""
+    hashes = _bcast(filters.select("hash").distinct(), small)
+    topics = logs.select("tx_hash", "log_index", "data", F.explode(F.array_distinct("topics")).alias("hash"))
+    return topics.join(hashes, "hash")
 
 
-def candidate_logs(logs: DataFrame, hashes: list[str]) -> DataFrame:
-    """Logs that carry at least one subscribed hash in any topic position.
-    A pure pre-filter: a log without one can match no filter."""
-    if not hashes:
-        return logs.where(F.lit(False))
-    if len(hashes) > MAX_PREFILTER_HASHES:
-        return logs
-    return logs.where(F.arrays_overlap("topics", F.array(*[F.lit(h) for h in hashes])))
-
-
-def match_logs(kept: DataFrame, logs: DataFrame, filters: DataFrame, hashes: list[str],
+def match_logs(kept: DataFrame, logs: DataFrame, filters: DataFrame,
                strategy: str = JOIN, small_filters: bool | None = None) -> DataFrame:
     """A11 + F3 + J4 + F5: one row per (log, event filter) where the filter's
     hash is in the log's topics (any position, counted once per filter).
@@ -108,18 +102,16 @@ def match_logs(kept: DataFrame, logs: DataFrame, filters: DataFrame, hashes: lis
     ``join``: explode the distinct topics and equi-join (address, hash) to
     the broadcast filters; ``explode``: explode each tx's filters and test
     ``array_contains``.  Same rows either way."""
-    lg = candidate_logs(logs, hashes).select("tx_hash", "log_index", "topics", "data")
-    tx_logs = kept.join(lg, "tx_hash")
     f = _bcast(filters.withColumnRenamed("contract_address", "to").drop("subscription_ord"), small_filters)
     if strategy == JOIN:
-        exploded = tx_logs.withColumn("hash", F.explode(F.array_distinct("topics")))
-        out = exploded.join(f, ["to", "hash"])
+        topics = candidate_topics(logs, filters, small_filters)
+        out = kept.join(topics, "tx_hash").join(f, ["to", "hash"])
     elif strategy == EXPLODE:
         per_tx = f.groupBy("to").agg(
             F.collect_list(F.struct("event_ord", "signature", "event_name", "hash", "type_key")).alias("fs")
         )
         out = (
-            tx_logs.join(_bcast(per_tx, small_filters), "to")
+            kept.join(logs.select("tx_hash", "log_index", "topics", "data"), "tx_hash").join(_bcast(per_tx, small_filters), "to")
             .withColumn("f", F.explode("fs"))
             .where(F.array_contains("topics", F.col("f.hash")))
             .select("*", "f.event_ord", "f.signature", "f.event_name", "f.hash", "f.type_key")

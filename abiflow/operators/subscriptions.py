@@ -36,24 +36,33 @@ def normalise_address(text) -> F.Column:
 
 def validate(subs: DataFrame) -> DataFrame:
     """Per subscription: normalised address, catalogue of each event, and the
-    first error (missing field, bad address, first bad signature)."""
+    first error (missing or repeated position, missing field, bad address,
+    first bad signature).  An event's error finds its row by the row's
+    content, so rows without a position or with the same one don't mix."""
+    subs = subs.select("*", F.sha2(F.to_json(F.struct("subscription_ord", "contract_address", "events"), {"ignoreNullFields": "false"}), 256).alias("_row"))
     events = (
-        subs.select("subscription_ord", F.posexplode_outer("events").alias("event_ord", "signature"))
+        subs.select("_row", F.posexplode_outer("events").alias("event_ord", "signature"))
         .where(F.col("signature").isNotNull() | F.col("event_ord").isNotNull())
     )
     cat = catalogue_distinct(events)
-    bad_event = cat.where(~F.col("is_valid")).groupBy("subscription_ord").agg(
+    bad_event = cat.where(~F.col("is_valid")).groupBy("_row").agg(
         F.min_by(F.concat_ws(": ", F.col("signature"), F.col("error")), F.col("event_ord")).alias("event_error")
     )
+    repeated = (
+        subs.where(F.col("subscription_ord").isNotNull()).groupBy("subscription_ord").count().where("count > 1")
+        .select("subscription_ord", F.lit(True).alias("_repeated"))
+    )
     addr = F.col("contract_address")
     error = (
-        F.when(addr.isNull(), F.lit("MissingField: contract_address"))
+        F.when(F.col("subscription_ord").isNull(), F.lit("MissingField: subscription_ord"))
+        .when(F.col("_repeated"), F.concat(F.lit("RepeatedField: subscription_ord "), F.col("subscription_ord").cast("string")))
+        .when(addr.isNull(), F.lit("MissingField: contract_address"))
         .when(F.col("events").isNull(), F.lit("MissingField: events"))
         .when(normalise_address(addr).isNull(), F.concat(F.lit("InvalidAddress: "), addr))
         .when(F.col("event_error").isNotNull(), F.concat(F.lit("InvalidEvent: "), F.col("event_error")))
     )
     return (
-        subs.join(bad_event, "subscription_ord", "left")
+        subs.join(bad_event, "_row", "left").join(repeated, "subscription_ord", "left")
         .select(
             "subscription_ord",
             normalise_address(addr).alias("contract_address"),
@@ -72,9 +81,11 @@ def prepare(subs: DataFrame, strict: bool = True) -> Subscriptions:
     visible in ``validated``."""
     validated = validate(subs)
     if strict:
-        bad = validated.where(~F.col("is_valid")).select("subscription_ord", "error").limit(5).collect()
+        wrong = validated.where(~F.col("is_valid")).select("subscription_ord", "error")
+        bad = wrong.limit(5).collect()
         if bad:
-            raise ConfigurationError("; ".join(f"#{r.subscription_ord}: {r.error}" for r in bad))
+            named = "; ".join(f"#{r.subscription_ord}: {r.error}" for r in bad)
+            raise ConfigurationError(f"first {len(bad)} of {wrong.count()}: {named}")
     good = validated.where(F.col("is_valid"))
     # J1: one subscription per address, the lowest position wins.  An
     # aggregate with map-side combine, no window sort.

@@ -144,11 +144,9 @@ def run_batch(inp: ChainInput, strict: bool = True, strategy: str = M.JOIN,
     # F1 + F2 + J2 before anything is joined to the big tables: only txs sent
     # to a subscribed address go on to the receipt lookup.
     small_subs = p.small(max_broadcast_rows)
-    # only the announced blocks' rows are read (a micro-batch touches a few
-    # blocks, not the whole history)
+    # only the announced blocks' transactions are read; receipts and logs are
+    # found by tx_hash, whatever block they are filed under
     transactions = B.prune_to_blocks(inp.transactions, looked)
-    receipts = B.prune_to_blocks(inp.receipts, looked)
-    logs = B.prune_to_blocks(inp.logs, looked)
     sub_txs = M.subscribed_transactions(transactions, p.subs.addresses, small_subs)
     # The found blocks and the per-block receipt gaps each hold at most one
     # row per announcement, so one bounded count of the (small) announcement
@@ -157,10 +155,10 @@ def run_batch(inp: ChainInput, strict: bool = True, strategy: str = M.JOIN,
     small = (looked.n_announcements <= max_broadcast_rows if looked.n_announcements is not None
              else at_most(looked.announcements, max_broadcast_rows))
     rows = M.announced(sub_txs, looked.found, small)
-    rows = M.with_receipts(rows, receipts)
+    rows = M.with_receipts(rows, inp.receipts)
     kept, receipt_errors = M.receipt_gap_cut(rows, small)
 
-    matches = M.match_logs(kept, logs, p.subs.filters, p.hashes, strategy=strategy, small_filters=small_subs)
+    matches = M.match_logs(kept, inp.logs, p.subs.filters, strategy=strategy, small_filters=small_subs)
 
     events = (decoder or decode_mixed)(matches.select(*MATCH_COLUMNS, "data"), p.type_keys)
     return RunOutput(p.subs, p.type_keys, looked.progress, looked.missing, receipt_errors, matches, events, rows,

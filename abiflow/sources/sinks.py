@@ -1,16 +1,16 @@
 """Run records as Parquet tables (K1-K5, A6).
 
 One run (a batch, or one micro-batch of a stream) writes four tables under a
-root folder, each partitioned by ``batch_id``:
+root folder, each to its own folder ``batch_id=<k>``:
 
-* ``events``: every match, partitioned also by ``status`` -- ``decoded``
+* ``events``: every match with its ``status`` -- ``decoded``
   rows carry the decoded values (K1), ``failed`` rows the error and the raw
   payload (K2); the match notices (K3) are this table's key columns;
 * ``receipt_errors`` (K4), ``block_errors`` (A6), ``progress`` (K5).
 
-Writes replace the partitions of their ``batch_id`` (dynamic partition
-overwrite), so a replayed micro-batch rewrites its own rows and never
-appends duplicates.  The subscribed-transaction rows shared by the events
+Every run writes every table, also one without rows, and each write replaces
+the whole folder of its ``batch_id``: a replayed batch leaves nothing of its
+earlier run.  The subscribed-transaction rows shared by the events
 and the receipt errors are persisted for the duration of the writes, so the
 transaction and receipt scans run once per run.
 """
@@ -33,14 +33,8 @@ DECODED = "decoded"
 FAILED = "failed"
 
 
-def _write(df: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", *partitions)
-        .parquet(path)
-    )
+def _write(df: DataFrame, path: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
 
 
 def event_records(out: RunOutput) -> DataFrame:
@@ -57,14 +51,12 @@ def write_run(out: RunOutput, root: str, batch_id: int = 0) -> int:
     which the caller uses to stop a stream."""
     shared = out.tx_rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _write(event_records(out), os.path.join(root, EVENTS), batch_id, "status")
+        _write(event_records(out), os.path.join(root, EVENTS), batch_id)
         _write(out.receipt_errors, os.path.join(root, RECEIPT_ERRORS), batch_id)
         _write(out.progress, os.path.join(root, PROGRESS), batch_id)
         # one row at most: the announcement lookup, no transaction data
-        n = int(out.stopped) if out.stopped is not None else out.block_error.count()
-        if n:
-            _write(out.block_error, os.path.join(root, BLOCK_ERRORS), batch_id)
-        return n
+        _write(out.block_error, os.path.join(root, BLOCK_ERRORS), batch_id)
+        return int(out.stopped) if out.stopped is not None else out.block_error.count()
     finally:
         shared.unpersist()
 
