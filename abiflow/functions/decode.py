@@ -65,13 +65,12 @@ def compiled(key, build):
     return _COMPILED[k][1]
 
 
-def evaluate_here(c: Column) -> Column:
-    """``c`` behind an always-true guard that the optimizer treats as
-    non-deterministic, so it is evaluated once, in the projection that
-    defines it: a filter on it (``error IS NULL``) is not rewritten into a
-    copy of the whole decode pushed below the joins, and collapsed
-    projections do not inline it twice."""
-    return F.when(F.spark_partition_id() >= 0, c)
+def once(df: DataFrame, fields: list[Column]) -> DataFrame:
+    """``df`` plus the named fields, evaluated once per row by a generator
+    of one row.  A filter on a field stays above it, so the fields are not
+    copied below the joins, and a filter on the columns of ``df`` passes
+    through it to the scans."""
+    return df.select("*", F.inline(F.array(F.struct(*fields)))) if fields else df
 
 
 def _no_error() -> Column:
@@ -288,8 +287,7 @@ def decode_frame(df: DataFrame, types, data_col: str = "data") -> DataFrame:
         types = parse_type_list(types)
     packs, values, error, masked = compiled(("frame", tuple(t.name for t in types), data_col),
                                             lambda: _frame_columns(types, data_col))
-    staged = df.select("*", *packs) if packs else df
-    return staged.select(*df.columns, *values, error).select(*df.columns, *masked, "error")
+    return once(once(df, packs), [*values, error]).select(*df.columns, *masked, "error")
 
 
 def _frame_columns(types, data_col: str):
@@ -298,14 +296,14 @@ def _frame_columns(types, data_col: str):
     packs, values, errors, off = [], [], [], 0
     for n, t in zip(names, types):
         if _dynamic(t):
-            packs.append(evaluate_here(_compile_packed(t, fr, off, 0)).alias(f"_pk_{n}"))
+            packs.append(_compile_packed(t, fr, off, 0).alias(f"_pk_{n}"))
             v, e = F.col(f"_pk_{n}")["v"], F.col(f"_pk_{n}")["e"]
         else:
             v, e = _compile(t, fr, off, 0)
         values.append(v.alias(f"_raw_{n}"))
         errors.append(e)
         off += t.head
-    error = evaluate_here(F.coalesce(*errors, _no_error()) if errors else _no_error()).alias("error")
+    error = (F.coalesce(*errors, _no_error()) if errors else _no_error()).alias("error")
     ok = F.col("error").isNull()
     masked = [F.when(ok, F.col(f"_raw_{n}")).alias(n) for n in names]
     return packs, values, error, masked

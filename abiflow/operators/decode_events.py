@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.abi_types import parse_type_list
-from ..functions.decode import compiled, decode_frame, decode_packed, evaluate_here
+from ..functions.decode import compiled, decode_frame, decode_packed, once
 from ..session import shared_dir
 
 # Spark's generated code for one projection is bounded; very many distinct
@@ -61,7 +61,7 @@ def decode_mixed(matches: DataFrame, type_keys: list[str], data_col: str = "data
                                   lambda: _mixed_branches(keys, data_col)):
         part = matches if len(keys) <= MAX_BRANCHES else matches.where(F.col("type_key").isin(group))
         parts.append(
-            part.select("*", packed.alias("_pk"))
+            once(part, [packed.alias("_pk")])
             .select(*part.columns, F.col("_pk.e").alias("error"), F.col("_pk.v").alias("_v"))
             .select(*part.columns, "error", F.when(F.col("error").isNull(), F.col("_v")).alias("params"))
         )
@@ -83,7 +83,7 @@ def _mixed_branches(keys: list[str], data_col: str) -> list[tuple[list[str], Col
             branch = decode_packed(data, parse_type_list(split_type_key(key)), wrap=F.to_variant_object)
             hit = F.col("type_key") == F.lit(key)
             packed = F.when(hit, branch) if packed is None else packed.when(hit, branch)
-        out.append((group, evaluate_here(packed)))
+        out.append((group, packed))
     return out
 
 

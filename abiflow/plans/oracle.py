@@ -287,6 +287,10 @@ ORACLE_SQL: dict[str, str] = {
     "k2_dead_letters": K2,
     "d16_variant_events": D16,
     "o3_batch_run_tables": O3,
+    "a10_receipts_filed_elsewhere": K1,
+    "j3_rows_landed_twice": K1,
+    "o3_replayed_events": O3,
+    "k4_replayed_receipt_gaps": K4,
     "k3_match_notices": K3,
     "j4_match_by_explode": K3,
     "k4_receipt_gaps": K4,

@@ -164,6 +164,69 @@ def o2_stream_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hexify(ev.select(*KEY_COLUMNS, *[f"p{i}" for i in range(7)]))
 
 
+# ---- landings that were retried, filed elsewhere or replayed ---------------
+
+def _some(key: str, every: int) -> F.Column:
+    """A fixed share of the rows, by their key."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % every == 0
+
+
+def a10_receipts_filed_elsewhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receipts are found by transaction hash: a third is filed under another
+    block, a third under none.  The events are those of ``k1``."""
+    inp = chain_input(spark, sf_dir)
+    number = F.col("block_number")
+    elsewhere = F.when(_some("tx_hash", 3), number + 7).when(~_some("tx_hash", 2), number)
+    inp.receipts = inp.receipts.withColumn("block_number", elsewhere)
+    inp.logs = inp.logs.withColumn("block_number", F.when(_some("tx_hash", 2), F.lit(1)).cast("bigint"))
+    ev = typed_events(run_batch(inp))
+    return hexify(ev.where(F.col("error").isNull()).select(*KEY_COLUMNS, *[f"p{i}" for i in range(7)]))
+
+
+def j3_rows_landed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth receipt and block row stands twice, and each third number
+    has an older block of another hash: each lookup still finds one."""
+    inp = chain_input(spark, sf_dir)
+    inp.receipts = inp.receipts.union(inp.receipts.where(_some("tx_hash", 5)))
+    now = inp.blocks.select("block_number", "block_hash", F.lit(2).cast("bigint").alias("version"))
+    older = now.where(_some("block_number", 3)).select("block_number", F.concat(F.lit("ff"), F.substring("block_hash", 3, 64)).alias("block_hash"), F.lit(1).cast("bigint").alias("version"))
+    inp.blocks = now.union(now.where(_some("block_hash", 5))).union(older)
+    ev = typed_events(run_batch(inp))
+    return hexify(ev.where(F.col("error").isNull()).select(*KEY_COLUMNS, *[f"p{i}" for i in range(7)]))
+
+
+def _replayed(spark: SparkSession, sf_dir: str) -> str:
+    """One batch written twice under one number: first without a third of the
+    receipts and every block from the middle on, then complete."""
+    root = scratch_path(spark, "o3_replay", uuid.uuid4().hex)
+    inp = chain_input(spark, sf_dir)
+    early = chain_input(spark, sf_dir)
+    early.receipts = inp.receipts.where(~_some("tx_hash", 3))
+    middle = inp.blocks.select(F.expr("percentile_disc(0.5) within group (order by block_number)")).scalar()
+    early.blocks = inp.blocks.where(F.col("block_number") < middle)
+    for one in (early, inp):
+        out = run_batch(one)
+        try:
+            sinks.write_run(out, root, 0)
+        finally:
+            out.release()
+    return root
+
+
+def o3_replayed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equals ``o3_batch_run_tables``: nothing of the first run is left."""
+    ev = sinks.read_table(spark, _replayed(spark, sf_dir), sinks.EVENTS)
+    return ev.select(*KEY_COLUMNS, "status", "error", F.to_json("params").alias("params_json"))
+
+
+def k4_replayed_receipt_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equals ``k4_receipt_gaps``; the stop of the first run is gone, too."""
+    root = _replayed(spark, sf_dir)
+    gaps = sinks.read_table(spark, root, sinks.RECEIPT_ERRORS).drop("batch_id")
+    # a stop that was left would be a row more
+    return gaps.unionByName(sinks.read_table(spark, root, sinks.BLOCK_ERRORS).select("arrival_seq", "arrival_pos", "block_number", "error"), allowMissingColumns=True)
+
+
 # ---- announcements and block lookup: A1-A7, K5 ----------------------------
 
 def _shipdate_lookup(spark: SparkSession, sf_dir: str, mode: str) -> B.BlockLookup:
@@ -274,6 +337,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "o2_stream_decoded": o2_stream_decoded,
     "o2_stream_by_hash": o2_stream_by_hash,
     "o3_batch_run_tables": o3_batch_run_tables,
+    "a10_receipts_filed_elsewhere": a10_receipts_filed_elsewhere,
+    "j3_rows_landed_twice": j3_rows_landed_twice,
+    "o3_replayed_events": o3_replayed_events,
+    "k4_replayed_receipt_gaps": k4_replayed_receipt_gaps,
     "a4_block_lookup_by_number": a4_block_lookup_by_number,
     "a6_missing_block_by_number": a6_missing_block_by_number,
     "k5_progress_by_number": k5_progress_by_number,
