@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 13
-THRESHOLD = -0.3
+THRESHOLD = -0.08
 SPACE = r"[\x20\x09-\x0D]+"
 #: Labels up to which they are broadcast (16 bytes each); beyond: a shuffle.
 BROADCAST_ROWS = 1_000_000
