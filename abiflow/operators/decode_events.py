@@ -19,6 +19,7 @@ the first error in parameter order otherwise (dead letters, K2).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -26,18 +27,19 @@ from pyspark.sql import functions as F
 
 from ..functions.abi_types import parse_type_list
 from ..functions.decode import compiled, decode_frame, decode_packed, once
-from ..session import shared_dir
 
 # Spark's generated code for one projection is bounded; very many distinct
-# type lists are decoded in groups of this many branches and unioned.
+# type lists are decoded in groups of this many branches, one after another
+# over the same rows.
 MAX_BRANCHES = 48
 
 Decoder = Callable[[DataFrame, list[str]], DataFrame]
 
 
 def split_type_key(type_key: str) -> list[str]:
-    """Canonical type names of a ``type_key`` (comma-joined, no spaces)."""
-    return [t for t in type_key.split(",")] if type_key else []
+    """Canonical type names of a ``type_key`` (comma-joined, no spaces); a
+    comma inside a struct's parentheses joins its fields."""
+    return re.split(r",(?![^(]*\))", type_key) if type_key else []
 
 
 def decode_mixed(matches: DataFrame, type_keys: list[str], data_col: str = "data") -> DataFrame:
@@ -50,28 +52,17 @@ def decode_mixed(matches: DataFrame, type_keys: list[str], data_col: str = "data
     if not keys:
         return matches.select("*", F.lit(None).cast("variant").alias("params"),
                               F.lit(None).cast("string").alias("error"))
-    if len(keys) > MAX_BRANCHES:
-        # several parts read the matches: compute them once, into the shared
-        # checkpoint folder (reliable, survives executor loss), instead of
-        # re-running the joins per part
-        shared_dir(matches.sparkSession)
-        matches = matches.checkpoint(eager=True)
-    parts = []
-    for group, packed in compiled(("mixed", tuple(keys), data_col, MAX_BRANCHES),
-                                  lambda: _mixed_branches(keys, data_col)):
-        part = matches if len(keys) <= MAX_BRANCHES else matches.where(F.col("type_key").isin(group))
-        parts.append(
-            once(part, [packed.alias("_pk")])
-            .select(*part.columns, F.col("_pk.e").alias("error"), F.col("_pk.v").alias("_v"))
-            .select(*part.columns, "error", F.when(F.col("error").isNull(), F.col("_v")).alias("params"))
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    groups = compiled(("mixed", tuple(keys), data_col, MAX_BRANCHES), lambda: _mixed_branches(keys, data_col))
+    out = matches
+    for i, packed in enumerate(groups):
+        out = once(out, [packed.alias(f"_pk{i}")])
+    # a row's type list is in one group: NULL in all others
+    first = lambda field: F.coalesce(*[F.col(f"_pk{i}")[field] for i in range(len(groups))])
+    out = out.select(*matches.columns, first("e").alias("error"), first("v").alias("_v"))
+    return out.select(*matches.columns, "error", F.when(F.col("error").isNull(), F.col("_v")).alias("params"))
 
 
-def _mixed_branches(keys: list[str], data_col: str) -> list[tuple[list[str], Column]]:
+def _mixed_branches(keys: list[str], data_col: str) -> list[Column]:
     """Per group of at most ``MAX_BRANCHES`` type lists: the packed
     ``struct<v VARIANT, e STRING>`` selected by ``CASE type_key``."""
     data = F.col(data_col)
@@ -83,7 +74,7 @@ def _mixed_branches(keys: list[str], data_col: str) -> list[tuple[list[str], Col
             branch = decode_packed(data, parse_type_list(split_type_key(key)), wrap=F.to_variant_object)
             hit = F.col("type_key") == F.lit(key)
             packed = F.when(hit, branch) if packed is None else packed.when(hit, branch)
-        out.append((group, packed))
+        out.append(packed)
     return out
 
 

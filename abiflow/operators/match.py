@@ -97,7 +97,8 @@ def candidate_topics(logs: DataFrame, filters: DataFrame, small: bool | None) ->
 def match_logs(kept: DataFrame, logs: DataFrame, filters: DataFrame,
                strategy: str = JOIN, small_filters: bool | None = None) -> DataFrame:
     """A11 + F3 + J4 + F5: one row per (log, event filter) where the filter's
-    hash is in the log's topics (any position, counted once per filter).
+    hash is in the log's topics (any position, counted once per filter), one
+    row also where a log was landed twice (of differing payloads the greatest).
 
     ``join``: explode the distinct topics and equi-join (address, hash) to
     the broadcast filters; ``explode``: explode each tx's filters and test
@@ -119,8 +120,10 @@ def match_logs(kept: DataFrame, logs: DataFrame, filters: DataFrame,
         )
     else:
         raise ValueError(f"unknown match strategy {strategy!r}")
-    return out.select(
-        *ARRIVAL, "block_number", "tx_index", "tx_hash", "log_index", "to",
-        "subscription_ord", "event_ord", "event_name", "signature", "type_key", "data",
-    )
+    # A transaction or log that was landed twice counts once.  The rows are
+    # already partitioned by tx_hash, so this moves nothing; everything but
+    # the payload is a grouping key, so filters pass below it.
+    keys = [*ARRIVAL, "block_number", "tx_index", "tx_hash", "log_index", "to",
+            "subscription_ord", "event_ord", "event_name", "signature", "type_key"]
+    return out.groupBy(*keys).agg(F.max("data").alias("data"))
 

@@ -12,10 +12,12 @@ from __future__ import annotations
 
 from ..functions.abi_types import SCALAR_TYPES
 from ..sources import tpch_chain as C
+from ..sources.tpch_payloads import MIXED_KINDS
 from .queries import TYPE_CHOICES
 
 BN_ORDER = "datediff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE))"
 BN_SHIP = "datediff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE))"
+# Fixed value: the shape of an event signature.
 SHAPE = r"^(\w+)\(([^)]+)\)$"
 
 
@@ -280,6 +282,132 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
 FROM lineitem
 """
 
+K5_HASH = f"""
+SELECT arrival_seq, arrival_pos, block_number FROM ({A5})
+"""
+
+U1 = f"""
+SELECT DISTINCT {BN_ORDER} AS arrival_seq, 0 AS arrival_pos, {BN_ORDER} AS block_number,
+  sha256('block:' || CAST({BN_ORDER} AS VARCHAR)) AS block_hash
+FROM orders
+"""
+
+U2 = CHAIN + f"""
+SELECT {KEYS}, CAST(CASE WHEN l_partkey % 13 = 0 THEN 100 ELSE length({EVENT_HEX}) // 2 END AS BIGINT) AS data_len
+FROM matches
+"""
+
+# transaction indices are positions in the block, not order keys
+A9 = CHAIN + f""",
+places AS (SELECT tx_index AS o_key, row_number() OVER (PARTITION BY block_number ORDER BY tx_index) - 1 AS place FROM txs)
+SELECT block_number AS arrival_seq, 0 AS arrival_pos, block_number, place AS tx_index, tx_hash, log_index,
+  event_ord, event_name, signature
+FROM matches JOIN places ON o_key = tx_index
+"""
+
+A11 = f"""
+WITH li AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey
+       ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) - 1 AS INTEGER) AS log_index
+  FROM lineitem WHERE l_orderkey % 97 <> 0),
+logs AS (
+  SELECT sha256(CAST(l_orderkey AS VARCHAR)) AS tx_hash, log_index, {_addr('l_suppkey')} AS address,
+    CASE l_returnflag WHEN 'A' THEN '{C.CREATED_HASH}' WHEN 'R' THEN '{C.UPDATED_HASH}' ELSE '{C.TRANSFER_HASH}' END
+      || CASE WHEN l_linestatus = 'F' THEN ',{C.UPDATED_HASH}' ELSE '' END AS topics,
+    CASE WHEN l_partkey % 13 = 0 THEN left({EVENT_HEX}, 200) ELSE {EVENT_HEX} END AS data_hex, l_orderkey
+  FROM li JOIN (SELECT DISTINCT o_orderkey FROM orders) ON o_orderkey = l_orderkey)
+SELECT tx_hash, log_index, address, topics, data_hex FROM logs
+UNION ALL
+SELECT tx_hash, log_index, address, topics, data_hex FROM logs WHERE l_orderkey % 5 = 0
+"""
+
+D16_MIXED = f"""
+WITH v AS (
+  SELECT *, [
+    CAST(l_partkey AS VARCHAR),
+    CASE WHEN l_returnflag = 'R' THEN 'true' ELSE 'false' END,
+    CAST(l_linenumber - 4 AS VARCHAR),
+    '"' || l_returnflag || l_linestatus || '"',
+    '[' || l_partkey || ',' || l_suppkey || ']',
+    '[[' || l_partkey || '],[' || l_suppkey || ',' || l_linenumber || ']]',
+    '["' || to_base64(encode(l_returnflag)) || '","' || to_base64(encode(l_linestatus)) || '"]',
+    '{{"f0":' || l_suppkey || ',"f1":["' || l_returnflag || '"]}}'] AS j,
+    {_sql_list(MIXED_KINDS)} AS t,
+    CAST(l_partkey % 8 + 1 AS INTEGER) AS a, CAST(l_suppkey % 8 + 1 AS INTEGER) AS b
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, t[a] || ',' || t[b] AS type_key, CAST(NULL AS VARCHAR) AS error,
+  '{{"p0":' || j[a] || ',"p1":' || j[b] || '}}' AS params_json
+FROM v
+"""
+
+# Keccak-f[1600], fixed values: rotation of lane x + 5y, and the constant of each round.
+KECCAK_ROTATIONS = [
+    0, 1, 62, 28, 27, 36, 44, 6, 55, 20, 3, 10, 43, 25, 39, 41, 45, 15, 21, 8, 18, 2, 61, 56, 14,
+]
+KECCAK_ROUNDS = [
+    0x0000000000000001, 0x0000000000008082, 0x800000000000808A, 0x8000000080008000,
+    0x000000000000808B, 0x0000000080000001, 0x8000000080008081, 0x8000000000008009,
+    0x000000000000008A, 0x0000000000000088, 0x0000000080008009, 0x000000008000000A,
+    0x000000008000808B, 0x800000000000008B, 0x8000000000008089, 0x8000000000008003,
+    0x8000000000008002, 0x8000000000000080, 0x000000000000800A, 0x800000008000000A,
+    0x8000000080008081, 0x8000000000008080, 0x0000000080000001, 0x8000000080008008,
+]
+ONES = "18446744073709551615::UBIGINT"
+
+
+def _rotated(lane: str, by: int) -> str:
+    """A lane turned left; the bits that leave are masked off first, since
+    the shift refuses to overflow."""
+    if by == 0:
+        return lane
+    return f"((({lane}) & {(1 << (64 - by)) - 1}::UBIGINT) << {by}::UBIGINT) | (({lane}) >> {64 - by}::UBIGINT)"
+
+
+def _keccak_round() -> list[str]:
+    """Column lists of the three steps of a round over lanes a0 .. a24."""
+    column = [f"xor(xor(xor(xor(a{x}, a{x + 5}), a{x + 10}), a{x + 15}), a{x + 20}) AS c{x}" for x in range(5)]
+    mixed = [f"xor(c{(x + 4) % 5}, {_rotated(f'c{(x + 1) % 5}', 1)}) AS d{x}" for x in range(5)]
+    moved = []
+    for x in range(5):
+        for y in range(5):
+            lane = f"xor(a{x + 5 * y}, d{x})"
+            moved.append(f"{_rotated(lane, KECCAK_ROTATIONS[x + 5 * y])} AS b{y + 5 * ((2 * x + 3 * y) % 5)}")
+    out = []
+    for y in range(5):
+        for x in range(5):
+            row = [f"b{(x + k) % 5 + 5 * y}" for k in range(3)]
+            lane = f"xor({row[0]}, xor({row[1]}, {ONES}) & {row[2]})"
+            out.append(f"xor({lane}, rc[r + 1])" if x == y == 0 else lane)
+    return [", ".join(column), ", ".join(mixed), ", ".join(moved), ", ".join(f"{e} AS a{i}" for i, e in enumerate(out))]
+
+
+def _turned(i: int) -> str:
+    """Lane i of the padded message: its eight bytes, the last one first."""
+    byte = ", ".join(f"substr(m, {16 * i + 2 * k + 1}, 2)" for k in range(7, -1, -1))
+    return f"CAST(concat('0x', {byte}) AS UBIGINT)"
+
+
+_C, _D, _B, _A = _keccak_round()
+_LANES = ", ".join(f"a{i}" for i in range(25))
+
+# one block of 136 bytes: the signatures of the job are far shorter
+G8 = f"""
+WITH RECURSIVE sig AS (SELECT DISTINCT signature FROM ({CATALOGUE}) WHERE is_valid),
+padded AS (SELECT signature, rpad(lower(hex(encode(signature))) || '01', 270, '0') || '80' AS m FROM sig),
+k AS (
+  SELECT signature, 0 AS r, {", ".join(f"{_turned(i) if i < 17 else '0::UBIGINT'} AS a{i}" for i in range(25))}
+  FROM padded
+  UNION ALL
+  SELECT signature, r + 1 AS r, {_A}
+  FROM (SELECT signature, r, {_B} FROM (SELECT *, {_D} FROM (SELECT *, {_C} FROM k WHERE r < 24))),
+       (SELECT [{", ".join(f"{c}::UBIGINT" for c in KECCAK_ROUNDS)}] AS rc)),
+hashes AS (
+  SELECT signature, lower(array_to_string(list_transform([a0, a1, a2, a3], lambda v: array_to_string(
+      list_transform(range(0, 8), lambda i: lpad(hex((v >> (8 * i)::UBIGINT) & 255::UBIGINT), 2, '0')), '')), '')) AS hash
+  FROM k WHERE r = 24)
+SELECT c.p_partkey, c.signature, h.hash FROM ({CATALOGUE}) c JOIN hashes h ON h.signature = c.signature WHERE c.is_valid
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "k1_decoded_events": K1,
     "o2_stream_decoded": K1,
@@ -300,7 +428,14 @@ ORACLE_SQL: dict[str, str] = {
     "k5_progress_by_number": K5,
     "a5_block_lookup_by_hash": A5,
     "a6_missing_block_by_hash": A6_HASH,
+    "k5_progress_by_hash": K5_HASH,
+    "u1_block_consumer": U1,
+    "u2_match_consumer": U2,
+    "a9_nested_blocks": A9,
+    "a11_nested_receipts": A11,
+    "d16_mixed_types": D16_MIXED,
     "g_signature_catalogue": CATALOGUE,
+    "g8_event_hash": G8,
     "a8_subscription_validation": A8,
     "d_scalar_roundtrip": D_SCALAR,
     "d5_string_roundtrip": D5,

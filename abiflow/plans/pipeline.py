@@ -104,6 +104,7 @@ class RunOutput:
     receipt_errors: DataFrame  # K4
     matches: DataFrame  # K3 (+ data, to decode)
     events: DataFrame  # every match + params + error
+    blocks: DataFrame  # U1: every announced block that was found, before the stop
     tx_rows: DataFrame  # subscribed, announced txs with their receipt flag (shared by K1-K4)
     prepared: PreparedSubscriptions | None = None
     stopped: bool | None = None  # an announced block is missing (known when the lookup was eager)
@@ -161,5 +162,5 @@ def run_batch(inp: ChainInput, strict: bool = True, strategy: str = M.JOIN,
     matches = M.match_logs(kept, inp.logs, p.subs.filters, strategy=strategy, small_filters=small_subs)
 
     events = (decoder or decode_mixed)(matches.select(*MATCH_COLUMNS, "data"), p.type_keys)
-    return RunOutput(p.subs, p.type_keys, looked.progress, looked.missing, receipt_errors, matches, events, rows,
+    return RunOutput(p.subs, p.type_keys, looked.progress, looked.missing, receipt_errors, matches, events, looked.found, rows,
                      prepared=p if prepared is None else None, stopped=looked.stopped)

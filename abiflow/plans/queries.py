@@ -26,7 +26,7 @@ from ..operators.subscriptions import prepare, validate
 from ..sources import tpch_chain as C
 from ..sources import tpch_payloads as P
 from ..session import scratch_path
-from ..sources import sinks
+from ..sources import nested, sinks
 from .pipeline import MATCH_COLUMNS, ChainInput, RunOutput, run_batch
 
 STREAM_CHUNKS = 4
@@ -164,6 +164,56 @@ def o2_stream_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hexify(ev.select(*KEY_COLUMNS, *[f"p{i}" for i in range(7)]))
 
 
+def _streamed(spark: SparkSession, sf_dir: str, root: str, **consumers) -> None:
+    """Four micro-batches of announcements through the stream."""
+    from ..streaming.stream import StaticTables, land_notices, run_stream
+
+    t = C.chain_tables(spark, sf_dir)
+    land_notices(t.notices_by_number(), os.path.join(root, "notices"), STREAM_CHUNKS)
+    tables = StaticTables(lambda: t.blocks, lambda: t.transactions, lambda: t.receipts, lambda: t.logs)
+    run_stream(spark, os.path.join(root, "notices"), tables, t.subscriptions, os.path.join(root, "sink"),
+               os.path.join(root, "checkpoint"), max_files_per_trigger=1, **consumers)
+
+
+def u1_block_consumer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1: a consumer given to the stream gets every block found."""
+    root = scratch_path(spark, "u1_blocks", uuid.uuid4().hex)
+    seen = os.path.join(root, "seen")
+    _streamed(spark, sf_dir, root, on_blocks=lambda df, k: df.write.mode("overwrite").parquet(f"{seen}/batch_id={k}"))
+    return spark.read.parquet(seen).select("arrival_seq", "arrival_pos", "block_number", "block_hash")
+
+
+def u2_match_consumer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U2: a consumer given to the stream gets every match with its payload."""
+    root = scratch_path(spark, "u2_matches", uuid.uuid4().hex)
+    seen = os.path.join(root, "seen")
+
+    def consumer(matches: DataFrame, batch_id: int) -> None:
+        sized = matches.select(*KEY_COLUMNS, F.length("data").cast("bigint").alias("data_len"))
+        sized.write.mode("overwrite").parquet(f"{seen}/batch_id={batch_id}")
+
+    _streamed(spark, sf_dir, root, on_matches=consumer)
+    return spark.read.parquet(seen).drop("batch_id")
+
+
+# ---- nested sources: A9, A11 -------------------------------------------------
+
+def a9_nested_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run over nested blocks and receipts, some landed twice, with
+    hex as a node writes it: transaction and log indices are positions."""
+    t = C.chain_tables(spark, sf_dir)
+    inp = nested.nested_input(t.notices_by_number(), C.nested_blocks(spark, sf_dir),
+                              C.nested_receipts(spark, sf_dir), t.subscriptions)
+    return run_batch(inp).match_notices().drop("type_key")
+
+
+def a11_nested_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logs of all receipts as landed (some twice), in order."""
+    g = nested.receipt_logs(C.nested_receipts(spark, sf_dir))
+    return g.select("tx_hash", "log_index", "address", F.array_join("topics", ",").alias("topics"),
+                    F.lower(F.hex("data")).alias("data_hex"))
+
+
 # ---- landings that were retried, filed elsewhere or replayed ---------------
 
 def _some(key: str, every: int) -> F.Column:
@@ -255,6 +305,10 @@ def a6_missing_block_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shipdate_lookup(spark, sf_dir, B.HASH).missing.drop("block_number")
 
 
+def k5_progress_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shipdate_lookup(spark, sf_dir, B.HASH).progress
+
+
 # ---- configuration: A8, G1-G11 -------------------------------------------
 
 def signature_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,6 +380,14 @@ def d15_decode_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("data")
 
 
+def d16_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """64 type lists in one table, with nested arrays, ``bytes[]`` and a
+    struct of an array: more than one group of decode branches."""
+    out = decode_mixed(P.mixed_payloads(spark, sf_dir), P.MIXED_TYPE_KEYS)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "type_key", "error",
+                      F.to_json("params").alias("params_json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "k1_decoded_events": k1_decoded_events,
     "k2_dead_letters": k2_dead_letters,
@@ -344,6 +406,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a4_block_lookup_by_number": a4_block_lookup_by_number,
     "a6_missing_block_by_number": a6_missing_block_by_number,
     "k5_progress_by_number": k5_progress_by_number,
+    "k5_progress_by_hash": k5_progress_by_hash,
+    "u1_block_consumer": u1_block_consumer,
+    "u2_match_consumer": u2_match_consumer,
+    "a9_nested_blocks": a9_nested_blocks,
+    "a11_nested_receipts": a11_nested_receipts,
+    "d16_mixed_types": d16_mixed_types,
     "a5_block_lookup_by_hash": a5_block_lookup_by_hash,
     "a6_missing_block_by_hash": a6_missing_block_by_hash,
     "g_signature_catalogue": g_signature_catalogue,

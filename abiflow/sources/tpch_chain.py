@@ -178,6 +178,36 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _typed(hex_text) -> F.Column:
+    """Hex as a node writes it: ``0x``, here with capitals."""
+    return F.concat(F.lit("0x"), F.upper(hex_text))
+
+
+def nested_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per block with its transactions in key order, every fifth
+    block (by number) landed twice.  A group is one order date."""
+    items = F.struct("tx_index", _typed(F.col("tx_hash")).alias("tx_hash"), _typed(F.col("to")).alias("to"))
+    b = transactions(spark, sf_dir).groupBy("block_number", _typed(F.col("block_hash")).alias("block_hash")).agg(
+        F.array_sort(F.collect_list(items)).alias("transactions")
+    )
+    return b.union(b.where(F.col("block_number") % 5 == 0))
+
+
+def nested_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per receipt with its logs in order, ``data`` as hex text,
+    every receipt of a key divisible by 5 landed twice; a group is one
+    order's lines."""
+    items = F.struct(
+        "log_index", _typed(F.col("address")).alias("address"),
+        F.transform("topics", _typed).alias("topics"), _typed(F.hex("data")).alias("data"),
+    )
+    g = logs(spark, sf_dir).groupBy("tx_hash").agg(F.array_sort(F.collect_list(items)).alias("logs"))
+    o = read(spark, sf_dir, "orders").where(F.col("o_orderkey") % NO_RECEIPT_MOD != 0)
+    r = o.select("o_orderkey", tx_hash_of(F.col("o_orderkey")).alias("tx_hash")).join(g, "tx_hash", "left")
+    r = r.withColumn("tx_hash", _typed(F.col("tx_hash")))
+    return r.union(r.where(F.col("o_orderkey") % 5 == 0)).drop("o_orderkey")
+
+
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "customer")
     # address text as a user would type it: 0x prefix, upper-case hex

@@ -127,3 +127,46 @@ def defect_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     full = E.payload(uint_word, ptr_word, E.word_bool(c("l_linestatus") == "F"), tail)
     data = F.when(r == 1, F.substring(full, 1, 40)).otherwise(full)
     return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", data.alias("data"))
+
+
+# The kinds of parameter that the mixed payloads pair up.
+MIXED_KINDS = ["uint256", "bool", "int256", "string", "uint256[]", "uint256[][]", "bytes[]", "(uint256,string[])"]
+MIXED_TYPE_KEYS = [f"{a},{b}" for a in MIXED_KINDS for b in MIXED_KINDS]
+
+
+def mixed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two parameters per line item, each of one of eight kinds, by
+    ``l_partkey`` and ``l_suppkey``: 64 type lists in one table (D16)."""
+    li = read(spark, sf_dir, "lineitem")
+    c, word, none = F.col, lambda n: E.word_uint(F.lit(n)), F.lit("")
+    part, supp, line = (E.word_uint(c(x)) for x in ("l_partkey", "l_suppkey", "l_linenumber"))
+    flag, status = E.tail_string(c("l_returnflag")), E.tail_string(c("l_linestatus"))
+    # (words in the head before a pointer, tail the pointer leads to)
+    kinds = [
+        (part, none),
+        (E.word_bool(c("l_returnflag") == "R"), none),
+        (E.word_int(c("l_linenumber") - 4), none),
+        (none, E.tail_string(F.concat("l_returnflag", "l_linestatus"))),
+        (none, F.concat(word(2), part, supp)),
+        (none, F.concat(word(2), word(64), word(128), word(1), part, word(2), supp, line)),
+        (none, F.concat(word(2), word(64), word(128), flag, status)),
+        (supp, F.concat(word(1), word(32), flag)),
+    ]
+    heads, tails = (F.array(*[k[i] for k in kinds]) for i in (0, 1))
+    n = len(kinds)
+    first, second = (c("l_partkey") % n).cast("int"), (c("l_suppkey") % n).cast("int")
+    d = li.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.get(F.array(*[F.lit(t) for t in MIXED_KINDS]), first).alias("t0"),
+        F.get(F.array(*[F.lit(t) for t in MIXED_KINDS]), second).alias("t1"),
+        F.get(heads, first).alias("h0"), F.get(heads, second).alias("h1"),
+        F.get(tails, first).alias("d0"), F.get(tails, second).alias("d1"),
+    )
+    words = lambda h, t: F.length(h) + F.when(F.length(t) > 0, F.lit(64)).otherwise(F.lit(0))
+    head = ((words("h0", "d0") + words("h1", "d1")) / 2).cast("bigint")
+    pointer = lambda t, at: F.when(F.length(t) > 0, E.word_uint(at)).otherwise(none)
+    data = E.payload(
+        c("h0"), pointer("d0", head), c("h1"), pointer("d1", head + (F.length("d0") / 2).cast("bigint")), c("d0"), c("d1")
+    )
+    return d.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                    F.concat_ws(",", "t0", "t1").alias("type_key"), data.alias("data"))

@@ -6,7 +6,7 @@ source and runs the batch plan on every micro-batch inside
 ``foreachBatch``: the block, transaction, receipt and log tables are read as
 tables when the micro-batch runs (the reference likewise looks blocks and
 receipts up at processing time; no stream-stream join waits for late
-receipts).  The plan needs non-time windows and a whole-batch cut, which a
+receipts).  The plan needs several aggregates and a whole-batch cut, which a
 streaming DataFrame refuses but a micro-batch DataFrame allows.
 
 A missing block stops the stream: the micro-batch writes everything
@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from ..operators import blocks as B
 from ..operators import match as M
 from ..operators.decode_events import Decoder
-from ..plans.pipeline import ChainInput, PreparedSubscriptions, prepare_subscriptions, run_batch
+from ..plans.pipeline import ChainInput, PreparedSubscriptions, RunOutput, prepare_subscriptions, run_batch
 from ..sources.sinks import write_run
 
 NUMBER_NOTICE_SCHEMA = T.StructType(
@@ -37,6 +37,11 @@ HASH_NOTICE_SCHEMA = T.StructType(
 )
 
 
+#: A consumer of a micro-batch's rows: called with them and the batch number,
+#: again with the same number when the micro-batch is replayed.
+Consumer = Callable[[DataFrame, int], None]
+
+
 class BlockNotFound(RuntimeError):
     """An announced block is not in the block table: the run stops."""
 
@@ -83,8 +88,18 @@ def read_notices(spark: SparkSession, folder: str, mode: str = B.NUMBER,
 
 
 def batch_runner(tables: StaticTables, prepared: PreparedSubscriptions, sink_root: str,
-                 mode: str = B.NUMBER, strategy: str = M.JOIN, decoder: Decoder | None = None):
-    """U1: the per-micro-batch function given to ``foreachBatch``."""
+                 mode: str = B.NUMBER, strategy: str = M.JOIN, decoder: Decoder | None = None,
+                 on_blocks: Consumer | None = None, on_matches: Consumer | None = None):
+    """The per-micro-batch function given to ``foreachBatch``: writes the run
+    tables, then hands the blocks found to ``on_blocks`` (U1) and every
+    (log, event filter) match with its raw ``data`` to ``on_matches`` (U2).
+    An exception of a consumer fails the micro-batch, which is replayed."""
+
+    def consume(out: RunOutput, batch_id: int) -> None:
+        if on_blocks is not None:
+            on_blocks(out.blocks, batch_id)
+        if on_matches is not None:
+            on_matches(out.matches, batch_id)
 
     def run(notices: DataFrame, batch_id: int) -> None:
         # several tables are written from one micro-batch: read it once
@@ -94,6 +109,7 @@ def batch_runner(tables: StaticTables, prepared: PreparedSubscriptions, sink_roo
                              prepared.subs.validated, mode)
             out = run_batch(inp, strategy=strategy, decoder=decoder, prepared=prepared)
             stopped = write_run(out, sink_root, batch_id)
+            consume(out, batch_id)
         finally:
             notices.unpersist()
         if stopped:
@@ -105,16 +121,18 @@ def batch_runner(tables: StaticTables, prepared: PreparedSubscriptions, sink_roo
 def run_stream(spark: SparkSession, notice_folder: str, tables: StaticTables, subscriptions: DataFrame,
                sink_root: str, checkpoint: str, mode: str = B.NUMBER, strategy: str = M.JOIN,
                decoder: Decoder | None = None, max_files_per_trigger: int | None = None,
-               available_now: bool = True, strict: bool = True):
+               available_now: bool = True, strict: bool = True, every: str = "5 seconds",
+               on_blocks: Consumer | None = None, on_matches: Consumer | None = None):
     """O2: start the stream; with ``available_now`` it processes what has
-    landed and returns when done."""
+    landed and returns when done, otherwise it looks for new announcements
+    ``every`` so often."""
     prepared = prepare_subscriptions(subscriptions, strict=strict)  # persisted for the query's life
     writer = (
         read_notices(spark, notice_folder, mode, max_files_per_trigger)
-        .writeStream.foreachBatch(batch_runner(tables, prepared, sink_root, mode, strategy, decoder))
+        .writeStream.foreachBatch(batch_runner(tables, prepared, sink_root, mode, strategy, decoder, on_blocks, on_matches))
         .option("checkpointLocation", checkpoint)
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
     query = writer.start()
     if available_now:
         try:

@@ -195,7 +195,7 @@ def test_variant_decode_equals_typed_decode(spark, seed):
     assert sorted(mixed.collect()) == sorted(typed.collect())
 
 
-def test_many_type_lists_are_decoded_in_checkpointed_parts(spark, monkeypatch):
+def test_many_type_lists_are_decoded_in_groups_over_the_same_rows(spark, monkeypatch):
     from pyspark.sql import functions as F
 
     from abiflow.operators import decode_events as DE
