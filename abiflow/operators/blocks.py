@@ -117,25 +117,17 @@ def lookup_blocks(notices: DataFrame, blocks: DataFrame, mode: str = NUMBER, eag
                        block_range=block_range)
 
 
-# Landed chain tables may carry ``block_chunk = block_number DIV BLOCK_CHUNK``
-# as a partition column (see ``sources.landed``); the run prunes on it.
-BLOCK_CHUNK = 256
-
-
 def prune_to_blocks(df: DataFrame, lookup: BlockLookup) -> DataFrame:
     """Keep only rows of the looked-up blocks' number range, when ``df`` has
     a ``block_number`` column and the lookup was eager.  For transactions
     only: they are joined to the blocks by that number, while receipts and
     logs are found by ``tx_hash`` alone, wherever they are filed.  The range filter
-    reaches the Parquet scan (row-group skipping on block-clustered files),
-    and ``block_chunk`` partitions are pruned when present, so a micro-batch
-    of a few blocks reads those blocks' rows, not the whole history."""
+    reaches the Parquet scan, where files clustered by block number
+    (``sources.landed``) are skipped by their statistics, so a micro-batch of
+    a few blocks reads those blocks' rows, not the whole history."""
     if lookup.n_announcements is None or "block_number" not in df.columns:
         return df
     if lookup.block_range is None:
         return df.where(F.lit(False))
     lo, hi = lookup.block_range
-    cond = F.col("block_number").between(F.lit(lo), F.lit(hi))
-    if "block_chunk" in df.columns:
-        cond = cond & F.col("block_chunk").between(F.lit(lo // BLOCK_CHUNK), F.lit(hi // BLOCK_CHUNK))
-    return df.where(cond)
+    return df.where(F.col("block_number").between(F.lit(lo), F.lit(hi)))

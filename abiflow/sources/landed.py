@@ -1,18 +1,23 @@
-"""Landed chain tables: the layout the engine reads in production.
-
-``land`` writes the chain tables once as Parquet under a folder (a shared
-one on a cluster).  With ``buckets`` the three tables joined on ``tx_hash``
--- transactions, receipts, logs -- are written as bucketed tables with the
-same bucket count on that key, so the receipt lookup and the log join read
-co-located buckets and plan without an exchange on either side; blocks and
-subscriptions stay plain Parquet.  Tables with a ``block_number`` column
-are also partitioned by ``block_chunk`` (``block_number DIV BLOCK_CHUNK``), so
-a run over a few announced blocks prunes to their partitions
-(``operators.blocks.prune_to_blocks``).
-
-``Landed.table`` reads a landed table back; bucketed tables are read through
-the session catalog, where ``saveAsTable`` registered them as external
-tables over their folder (the catalog carries the bucket spec).
+"""Landed chain tables: the layouts the engine reads in production.
+
+``land`` writes the chain tables as Parquet under a folder (a shared one on
+a cluster), or appends newly arrived rows to them.
+
+* Default, for a subscriber that reads a few new blocks at a time: each table
+  is clustered by range of its ``block_number`` (without one, ``tx_hash``), and
+  sorted by it, in files of Spark's advisory partition size, so a run's block
+  range skips files and row groups by their statistics.  ``tx_hash`` carries a
+  bloom filter.  The joins on ``tx_hash`` shuffle the announced blocks' rows.
+* ``buckets``, for runs over the whole history: transactions, receipts and
+  logs are bucketed and sorted by ``tx_hash`` with the same count, so the
+  receipt lookup and the log join read co-located buckets without an exchange.
+  A write makes at most ``buckets`` files per table; append rarely, or land
+  anew, since every append adds as many.
+
+The number of files follows the data's size (or ``buckets``), never the
+number of blocks.  ``Landed.table`` needs no table of an earlier session: a
+bucketed table's layout is declared to the session's catalog over its folder
+where it isn't known yet.
 """
 
 from __future__ import annotations
@@ -21,9 +26,6 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..operators.blocks import BLOCK_CHUNK
 
 TX_KEYED = ("transactions", "receipts", "logs")
 PLAIN = ("blocks", "subscriptions")
@@ -36,36 +38,45 @@ class Landed:
     prefix: str  # table-name prefix in the session catalog (bucketed layout)
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
-        if self.buckets and name in TX_KEYED:
-            return spark.table(f"{self.prefix}_{name}")
-        return spark.read.parquet(os.path.join(self.root, name))
+        path = os.path.join(self.root, name)
+        if not (self.buckets and name in TX_KEYED):
+            return spark.read.parquet(path)
+        known = f"{self.prefix}_{name}"
+        if not spark.catalog.tableExists(known):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+            spark.sql(f"CREATE TABLE {known} ({columns}) USING parquet CLUSTERED BY (tx_hash) SORTED BY (tx_hash) "
+                      f"INTO {self.buckets} BUCKETS LOCATION '{path}'")
+        return spark.table(known)
+
+
+def _write_bucketed(df: DataFrame, path: str, table: str, buckets: int, mode: str) -> None:
+    writer = df.repartition(buckets, "tx_hash").write.mode(mode).bucketBy(buckets, "tx_hash").sortBy("tx_hash")
+    writer.option("path", path).saveAsTable(table)
+
+
+def _write_clustered(df: DataFrame, path: str, mode: str) -> None:
+    key = next((c for c in ("block_number", "tx_hash") if c in df.columns), None)
+    if key is not None:
+        # no number of partitions: adaptive execution sizes them
+        df = df.repartitionByRange(key).sortWithinPartitions(key)
+    writer = df.write.mode(mode).option("parquet.bloom.filter.adaptive.enabled", "true")
+    for c in ("tx_hash", "block_hash"):  # looked up by value
+        if c in df.columns:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer.parquet(path)
 
 
 def land(tables: dict[str, DataFrame], root: str, buckets: int | None = None,
-         prefix: str = "chain") -> Landed:
-    """Write ``tables`` (names as in ``TX_KEYED`` + ``PLAIN``) under ``root``."""
+         prefix: str = "chain", mode: str = "overwrite") -> Landed:
+    """Write ``tables`` (names as in ``TX_KEYED`` + ``PLAIN``) under ``root``;
+    ``mode`` "append" adds rows that arrived since."""
+    landed = Landed(root, buckets, prefix)
     for name, df in tables.items():
         path = os.path.join(root, name)
-        chunked = "block_number" in df.columns
-        if chunked:
-            df = df.withColumn("block_chunk", F.floor(F.col("block_number") / BLOCK_CHUNK).cast("bigint"))
-        parts = ["block_chunk"] if chunked else []
-        if buckets and name in TX_KEYED:
-            (
-                df.repartition(buckets, "tx_hash")
-                .write.mode("overwrite")
-                .partitionBy(*parts)
-                .bucketBy(buckets, "tx_hash")
-                .sortBy("tx_hash")
-                .option("path", path)
-                .saveAsTable(f"{prefix}_{name}")
-            )
-        else:
-            writer = df.write.mode("overwrite").partitionBy(*parts)
-            if name == "blocks":
-                # lookups by hash: lets an IN filter skip row groups
-                writer = writer.option("parquet.bloom.filter.enabled#block_hash", "true").option(
-                    "parquet.bloom.filter.adaptive.enabled", "true"  # sized to the file's distinct hashes
-                )
-            writer.parquet(path)
-    return Landed(root, buckets, prefix)
+        if not (buckets and name in TX_KEYED):
+            _write_clustered(df, path, mode)
+            continue
+        if mode == "append":
+            landed.table(df.sparkSession, name)  # declared, also in a new session
+        _write_bucketed(df, path, f"{prefix}_{name}", buckets, mode)
+    return landed

@@ -98,21 +98,102 @@ def test_run_reads_only_the_announced_blocks(spark):
     assert {r.block_number for r in out.events.collect()} <= {3, 4}
 
 
-def test_landed_bucketed_tables_give_the_same_run(spark):
+def landed_input(spark, ld, notices):
+    from abiflow.plans.pipeline import ChainInput
+
+    g = lambda n: ld.table(spark, n)
+    return ChainInput(notices, g("blocks"), g("transactions"), g("receipts"), g("logs"), g("subscriptions"))
+
+
+def parts_of(inp):
+    logs = inp.logs.join(inp.transactions.select("tx_hash", "block_number"), "tx_hash")
+    return {"blocks": inp.blocks, "subscriptions": inp.subscriptions, "transactions": inp.transactions,
+            "receipts": inp.receipts, "logs": logs}
+
+
+def files(root, name):
+    return [f for f in os.listdir(os.path.join(root, name)) if f.endswith(".parquet")]
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_landed_tables_give_the_same_run_also_after_an_append(spark, buckets):
     import uuid
 
-    from abiflow.plans.pipeline import ChainInput
     from abiflow.sources import landed as L
 
     inp = fixture(spark, [(i, b) for i, b in enumerate(range(1, 9))])
     root = tempfile.mkdtemp(prefix="abiflow-landed-", dir=os.environ.get("TMPDIR", "/tmp"))
-    logs = inp.logs.join(inp.transactions.select("tx_hash", "block_number"), "tx_hash")
-    ld = L.land({"blocks": inp.blocks, "subscriptions": inp.subscriptions, "transactions": inp.transactions,
-                 "receipts": inp.receipts, "logs": logs}, root, buckets=4, prefix="t" + uuid.uuid4().hex[:8])
-    g = lambda n: ld.table(spark, n)
-    assert "block_chunk" in g("transactions").columns
-    landed = run_batch(ChainInput(inp.notices, g("blocks"), g("transactions"), g("receipts"), g("logs"),
-                                  g("subscriptions")))
+    prefix = "t" + uuid.uuid4().hex[:8]
+    parts = parts_of(inp)
+    old = {n: df.where("block_number <= 5") if "block_number" in df.columns else df for n, df in parts.items()}
+    L.land(old, root, buckets, prefix)
+    assert all(len(files(root, n)) <= (buckets or 8) for n in parts)
+    # a later session knows nothing of the tables; it finds them by their folder
+    for n in L.TX_KEYED:
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}_{n}")
+    new = {n: parts[n].where("block_number > 5") for n in ("blocks", "transactions", "logs")}
+    ld = L.land(new, root, buckets, prefix, mode="append")
+    landed = run_batch(landed_input(spark, ld, inp.notices))
     assert event_keys(landed.events) == event_keys(run_batch(inp).events)
     plan = landed.events._jdf.queryExecution().executedPlan().toString()
-    assert "block_chunk" in plan  # partition pruning reached the scans
+    assert "GreaterThanOrEqual(block_number,1)" in plan  # the block range reaches the scan
+    assert ("Bucketed: true" in plan) == bool(buckets)
+
+
+def test_files_do_not_grow_with_the_number_of_blocks(spark):
+    from abiflow.sources import landed as L
+
+    root = tempfile.mkdtemp(prefix="abiflow-landed-", dir=os.environ.get("TMPDIR", "/tmp"))
+    many = spark.range(20_000).selectExpr("id AS block_number", "sha2(string(id), 256) AS tx_hash")
+    L.land({"transactions": many}, root)
+    assert len(files(root, "transactions")) <= 8
+
+
+def test_stream_hands_blocks_and_matches_to_consumers(spark):
+    root = tempfile.mkdtemp(prefix="abiflow-consumers-", dir=os.environ.get("TMPDIR", "/tmp"))
+    inp = fixture(spark, [(i, b) for i, b in enumerate(range(1, 9))])
+    land_notices(inp.notices, os.path.join(root, "in"), 2)
+    blocks, matches = {}, {}
+    run_stream(spark, os.path.join(root, "in"), tables(inp), inp.subscriptions, os.path.join(root, "out"),
+               os.path.join(root, "ckpt"), max_files_per_trigger=1,
+               on_blocks=lambda df, k: blocks.update({k: sorted(r.block_number for r in df.collect())}),
+               on_matches=lambda df, k: matches.update({k: df.count()}))
+    assert blocks == {0: [1, 2, 3, 4], 1: [5, 6, 7, 8]}
+    assert sum(matches.values()) == run_batch(inp).matches.count()
+
+
+def test_block_that_lands_after_the_stop_leaves_no_error(spark):
+    root = tempfile.mkdtemp(prefix="abiflow-stream-", dir=os.environ.get("TMPDIR", "/tmp"))
+    inp = fixture(spark, [(i, b) for i, b in enumerate(range(1, 9))])
+    land_notices(inp.notices, os.path.join(root, "in"), 1)
+    early = tables(inp)
+    early.blocks = lambda: inp.blocks.where("block_number <> 4")
+    rest = (inp.subscriptions, os.path.join(root, "out"), os.path.join(root, "ckpt"))
+    with pytest.raises(StreamingQueryException):
+        run_stream(spark, os.path.join(root, "in"), early, *rest)
+    run_stream(spark, os.path.join(root, "in"), tables(inp), *rest)
+    assert sinks.read_table(spark, os.path.join(root, "out"), sinks.BLOCK_ERRORS).count() == 0
+    stored = sinks.read_table(spark, os.path.join(root, "out"), sinks.EVENTS)
+    assert event_keys(stored) == event_keys(run_batch(inp).events)
+
+
+def test_nested_input_equals_flat_input(spark):
+    """Nulls, empty arrays, ``0x`` and capitals, rows landed twice."""
+    from pyspark.sql import functions as F
+
+    from abiflow.sources.nested import nested_input
+
+    inp = fixture(spark, [(i, b) for i, b in enumerate(range(1, 9))])
+    typed = lambda c: F.concat(F.lit("0X"), F.upper(c))
+    item = F.struct("tx_index", typed(F.col("tx_hash")).alias("tx_hash"), typed(F.col("to")).alias("to"))
+    blocks = inp.transactions.groupBy("block_number", "block_hash").agg(
+        F.concat(F.array_sort(F.collect_list(item)), F.array(F.lit(None))).alias("transactions")
+    )
+    empty = spark.createDataFrame([(50, "h50")], "block_number bigint, block_hash string")
+    blocks = blocks.union(blocks).unionByName(empty, allowMissingColumns=True)
+    log = F.struct("log_index", "address", F.transform("topics", typed).alias("topics"), typed(F.hex("data")).alias("data"))
+    logs = inp.logs.groupBy("tx_hash").agg(F.array_sort(F.collect_list(log)).alias("logs"))
+    receipts = inp.receipts.join(logs, "tx_hash", "left").withColumn("tx_hash", typed(F.col("tx_hash")))
+    got = run_batch(nested_input(inp.notices, blocks, receipts.union(receipts), inp.subscriptions))
+    assert event_keys(got.events) == event_keys(run_batch(inp).events)
+    assert [r.tx_hash for r in got.receipt_errors.collect()] == ["t5_2"]
