@@ -318,23 +318,12 @@ def decode_struct(data: Column, types) -> tuple[Column, Column]:
     return F.struct(*values), error
 
 
-def decode_packed(data: Column, types, wrap=None) -> Column:
-    """``struct<v, e>``: the parameters as a struct ``<p0, p1, ..>`` (passed
-    through ``wrap`` if given, e.g. ``to_variant_object``) and the first
-    error, from one evaluation of every array's element decoders."""
-    if types and isinstance(types[0], str):
-        types = parse_type_list(types)
-    wrap = wrap or (lambda c: c)
-    if not any(_dynamic(t) for t in types):
-        st, err = decode_struct(data, types)
-        return F.struct(wrap(st).alias("v"), err.alias("e"))
+def param_variant(data: Column, t, offset: int) -> Column:
+    """``struct<v VARIANT, e STRING>`` of one parameter of type ``t`` whose head
+    is at byte ``offset``."""
     fr = _Frame(data, F.length(data).cast("bigint"))
-    packs, off = [], 0
-    for i, t in enumerate(types):
-        packs.append(_compile_packed(t, fr, off, 0).alias(f"p{i}"))
-        off += t.head
-    names = [f"p{i}" for i in range(len(types))]
-    return _let(F.struct(*packs), lambda s_: F.struct(
-        wrap(F.struct(*[s_[n]["v"].alias(n) for n in names])).alias("v"),
-        F.coalesce(*[s_[n]["e"] for n in names], _no_error()).alias("e"),
-    ))
+    wrap = F.to_variant_object if t.kind in ("array", "struct") else (lambda v: v.cast("variant"))
+    if not _dynamic(t):
+        v, e = _compile(t, fr, offset, 0)
+        return F.struct(wrap(v).alias("v"), e.alias("e"))
+    return _let(_compile_packed(t, fr, offset, 0), lambda p: F.struct(wrap(p["v"]).alias("v"), p["e"].alias("e")))
