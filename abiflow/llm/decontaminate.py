@@ -1,10 +1,12 @@
 """Benchmark decontamination by canonical templates.
 
-Texts and benchmark items are brought into a canonical form: numbers, names
-(capitalised words inside a sentence) and units (a unit word behind a
-number) become typed placeholders, all else is lower case.  Windows of
-``WINDOW`` canonical words are hash-joined, so a question whose numbers or
-names were changed still meets its template.  Hits are gathered by item and
+Texts and benchmark items are brought into a canonical form: numbers (with
+sign, thousands and decimals), names (capitalised words inside a sentence)
+and units (a unit word behind a number) become typed placeholders, all else
+is lower case.  A capitalised word elsewhere, as at a sentence's start, is
+read both ways, as a word and as a name.  Windows of ``WINDOW`` canonical
+words are hash-joined, so a question whose numbers or names were changed
+still meets its template.  Hits are gathered by item and
 diagonal (place in the text - place in the item), and there the slots are
 checked: one value of the item must stand for one value of the text
 throughout.  Where it doesn't, only windows without slots count.
@@ -32,48 +34,92 @@ BROADCAST_ROWS = 200_000
 
 # Unit words (fixed values).
 UNITS = "mm cm km m mg kg g lb lbs oz ml l s sec min h hr hours hour minutes minute seconds second days day weeks week months month years year km/h mph kmh hz khz mhz ghz kb mb gb tb w kw kwh v ma usd eur gbp dollars dollar euros euro cents cent percent miles mile meters metres meter metre feet foot inches inch degrees".split()
-_NAME, _UNIT = "\x01", "\x02"
+_NAME, _UNIT, _MINUS, _DOT, _COMMA, _CAPITAL = "\x01", "\x02", "\x03", "\x04", "\x05", "\x06"
 _NAME_AT = r"(?<=[\p{Ll}\p{N},;:][\x20])(\p{Lu}\p{L}+)"
+# Any other capitalised word: a name or the start of a sentence.
+_CAPITAL_AT = r"(?<![\p{L}\p{N}\x01])(\p{Lu}\p{L}+)"
 _UNIT_AT = r"(?<=[0-9])[\x20]?(" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}])"
-_SEPARATOR = r"[^\p{L}\p{N}\x01\x02]+"
+_SEPARATOR = r"[^\p{L}\p{N}\x01-\x06]+"
+# Marks inside a number.  Thousands go; a point or comma in a chain that is
+# no number (12.05.2020, 1,2,3) or in a pair like (3,4) still separates.
+_THOUSANDS_AT = r"[,'’  ](?=[0-9]{3}(?:[,'’  ][0-9]{3})*+(?![0-9]|,[0-9]))(?<=(?<![0-9.,'’  ])[0-9]{1,3}(?:[,'’  ][0-9]{3}){0,6}.)"
+_POINT_AT = r"\.(?=[0-9]++(?!\.[0-9]))(?<=(?<![0-9.])[0-9]{1,18}\.)"
+_COMMA_AT = r",(?=[0-9]++(?!,[0-9]))(?<=(?<![0-9,(\[{])[0-9]{1,18},)"
+_MINUS_AT = r"(?<![\p{L}\p{N}.,)\]])[-−](?=[0-9])"
 
 
 def _marked_words(text: Column) -> Column:
-    """Words in lower case; names and units have a mark before them."""
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), "[\x01\x02]", " ")
+    """Words in lower case; names, units and other capitalised words have a
+    mark before them, a number with its sign and parts is one word."""
+    marked = F.regexp_replace(F.coalesce(text, F.lit("")), "[\x01-\x06]", " ")
+    marked = F.regexp_replace(marked, _THOUSANDS_AT, "")
+    marked = F.regexp_replace(marked, _POINT_AT, _DOT)
+    marked = F.regexp_replace(marked, _COMMA_AT, _COMMA)
+    marked = F.regexp_replace(marked, _MINUS_AT, _MINUS)
     marked = F.regexp_replace(marked, _NAME_AT, _NAME + "$1")
+    marked = F.regexp_replace(marked, _CAPITAL_AT, _CAPITAL + "$1")
     marked = F.regexp_replace(marked, _UNIT_AT, " " + _UNIT + "$1")
     return F.filter(F.split(F.lower(marked), _SEPARATOR, -1), lambda w: w != "")
 
 
-def _kind(word: Column) -> Column:
-    """The placeholder's letter for a name, unit or number, else null."""
-    c = F.ascii(word)
-    return F.when(c == 1, F.lit("N")).when(c == 2, F.lit("U")).when(c.between(48, 57), F.lit("#"))
+def _plain(word: Column) -> Column:
+    return F.translate(word, _NAME + _UNIT + _CAPITAL, "")
 
 
-def _windows(hashes: str, k: int) -> Column:
-    last = F.size(hashes) - k
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i + 1, k)))
+def _kind(word: Column, capitals: bool) -> Column:
+    """The placeholder's letter for a name, unit or number, else null.
+    ``capitals``: any capitalised word is a name."""
+    c = F.ascii(word)
+    name = c.isin(1, 6) if capitals else c == 1
+    return F.when(name, F.lit("N")).when(c == 2, F.lit("U")).when(c.between(48, 57) | (c == 3), F.lit("#"))
 
 
 def _canonical(rows: DataFrame, *keep: str) -> DataFrame:
-    """The columns to keep, w (marked words), h (hashes of canonical ones)."""
+    """The columns to keep, w (marked words), h (hashes of canonical ones)
+    and g (the same with all capitalised words as names, where any is)."""
     d = rows.select(*keep, _marked_words(F.col("text")).alias("w"))
-    return d.select(*keep, "w", F.transform("w", lambda w: F.xxhash64(F.coalesce(_kind(w), w))).alias("h"))
+    h = lambda capitals: F.transform("w", lambda w: F.xxhash64(F.coalesce(_kind(w, capitals), _plain(w))))
+    return d.select(*keep, "w", h(False).alias("h"), F.when(F.exists("w", lambda w: F.ascii(w) == 6), h(True)).alias("g"))
+
+
+def _places(first: Column, last: Column) -> Column:
+    return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+
+def _with_windows(d: DataFrame, k: int, *keep: str) -> DataFrame:
+    """The columns to keep, w, window (hash), word (its first) and reading of
+    every window of ``k`` words: 0 if both readings of its capitalised words
+    agree, else a row for each, 1 (literal) and 2 (names)."""
+    last = F.size("w") - k
+    near = F.transform(F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.ascii(F.get("w", i)) == 6), lambda i: _places(F.greatest(i - k + 1, F.lit(0)), F.least(i, last)))
+    d = d.where(last >= 0)
+    d = d.select(*keep, "w", "h", "g", _places(F.lit(0), last).alias("all"), F.when(F.col("g").isNotNull(), F.array_distinct(F.flatten(near))).otherwise(F.array().cast("array<int>")).alias("two"))
+    hashes = lambda places, of: F.transform(places, lambda i: F.xxhash64(F.slice(of, i + 1, k)))
+    # one array of hashes; where a hash stands says what it is of, so that the
+    # words and places are not looked at before the join
+    return d.select(*keep, "w", "two", F.posexplode(F.concat(hashes("all", "h"), hashes("two", "g"))).alias("place", "window"))
+
+
+def _placed(d: DataFrame, k: Column | int, word: str, reading: str) -> DataFrame:
+    """A row of ``_with_windows`` with its place told apart."""
+    n = F.size("w") - k + 1
+    at = F.when(F.col("place") < n, F.col("place")).otherwise(F.get("two", F.col("place") - n))
+    of = F.when(F.col("place") >= n, F.lit(2)).when(F.array_contains("two", F.col("place")), F.lit(1)).otherwise(F.lit(0))
+    return d.withColumn(word, at).withColumn(reading, of).drop("place", "two")
 
 
 def benchmark_windows(benchmark: DataFrame, k: int) -> DataFrame:
-    """h, item_id, at, k, n_windows, words, slots of windows of ``k`` words."""
+    """window, item_id, at, reading, k, n_windows, words, slots of windows of
+    ``k`` words."""
     items = _canonical(benchmark, "item_id").where(F.size("w") >= k)
     items = items if k == WINDOW else items.where(F.size("w") == k)
-    w = items.select("item_id", "w", F.posexplode(_windows("h", k)).alias("at", "window"))
-    w = w.withColumn("words", F.slice("w", F.col("at") + 1, k)).withColumn("slots", F.transform("words", _kind))
+    w = _placed(_with_windows(items, k, "item_id"), k, "at", "of_item").withColumn("words", F.slice("w", F.col("at") + 1, k))
+    kinds = lambda capitals: F.transform("words", lambda x: _kind(x, capitals))
+    w = w.withColumn("slots", F.when(F.col("of_item") == 2, kinds(True)).otherwise(kinds(False)))
     literal = F.size(F.filter("slots", lambda s: s.isNull()))
     w = w.where(literal * 2 >= k)
-    n = w.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
-    return w.join(n, "item_id").select("window", "item_id", "at", F.lit(k).alias("k"), "n_windows", "words", "slots")
+    n = w.groupBy("item_id").agg(F.count_distinct("at").alias("n_windows"))
+    return w.join(n, "item_id").select("window", "item_id", "at", "of_item", F.lit(k).alias("k"), "n_windows", "words", "slots")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -87,18 +133,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for k in sizes:
         known = benchmark_windows(benchmark, k)
         known = F.broadcast(known) if known.count() <= BROADCAST_ROWS else known
-        windows = each.select("_doc", "doc_id", "w", F.posexplode(_windows("h", k)).alias("word", "window"))
+        windows = _with_windows(each, k, "_doc", "doc_id")
         # only hits keep their words: the array is not copied before the join
-        hits = windows.join(known, "window").withColumn("here", F.slice("w", F.col("word") + 1, F.col("k"))).drop("w", "window")
+        hits = _placed(windows.join(known, "window"), k, "word", "of_text")
+        hits = hits.withColumn("here", F.slice("w", F.col("word") + 1, F.col("k"))).drop("w", "window")
         found = hits if found is None else found.union(hits)
     # slots of a window as (item's value, text's value)
     pairs = F.filter(F.arrays_zip(F.col("slots"), F.col("words"), F.col("here")), lambda x: x["slots"].isNotNull())
-    found = found.withColumn("pairs", F.transform(pairs, lambda x: F.struct(x["words"].alias("b"), x["here"].alias("d"))))
-    found = found.select("_doc", "doc_id", "item_id", "k", "n_windows", "at", "word", "pairs")
+    found = found.withColumn("pairs", F.transform(pairs, lambda x: F.struct(_plain(x["words"]).alias("b"), _plain(x["here"]).alias("d"))))
+    # slots are checked in each reading alone
+    literal = (F.col("of_text") != 2) & (F.col("of_item") != 2)
+    names = ~literal | ((F.col("of_text") == 0) & (F.col("of_item") == 0))
+    readings = F.filter(F.array(F.when(literal, 1), F.when(names, 2)), lambda x: x.isNotNull())
+    found = found.select("_doc", "doc_id", "item_id", "k", "n_windows", "at", "word", "pairs", F.explode(readings).alias("reading"))
     # all steps below group by document and more: one shuffle serves them
     found = found.repartition("_doc")
     item = ["_doc", "doc_id", "item_id", "k", "n_windows"]
-    diagonal = found.groupBy(*item, (F.col("word") - F.col("at")).alias("diagonal")).agg(
+    diagonal = found.groupBy(*item, "reading", (F.col("word") - F.col("at")).alias("diagonal")).agg(
         F.collect_list(F.struct("word", "at", F.size("pairs").alias("n"))).alias("hits"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("values")
     )
     one_to_one = F.size("values") == F.size(F.array_distinct(F.transform("values", lambda v: v["b"])))

@@ -414,6 +414,29 @@ def test_reworded_questions(spark, nothing):
     assert decontaminate.contaminated(docs, benchmark.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("item", "changed"),
+    [
+        ("A shop sells a shirt for $45 and a hat for $18 each. How much do 6 shirts and 4 hats cost?", "A shop sells a shirt for $12.50 and a hat for $8.75 each. How much do 3 shirts and 9 hats cost?"),
+        ("A factory made 900 chairs in May and 450 tables in June so how many pieces is that in all", "A factory made 1,200 chairs in May and 1,450 tables in June so how many pieces is that in all"),
+        ("Alice has 12 apples. Bob has 7 pears. Carol has 9 plums. Dora has 5 figs. How many fruits are there?", "Mark has 31 apples. Tom has 4 pears. Lucy has 8 plums. Rita has 6 figs. How many fruits are there?"),
+        ("the level went from 5 to -5 and later from 5 to -5 again before the gauge was read", "the level went from 3 to -4 and later from 3 to -4 again before the gauge was read"),
+    ],
+)
+def test_number_formats_and_names_at_sentence_starts(spark, item, changed):
+    benchmark = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, changed), (2, f"Some say, {item}"), (3, item.lower()), (4, "She has 12 apples. He was late, and that is all there is to say of it")], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert {1, 2} <= set(got) and 4 not in got
+    assert got[1]["reworded"] and got[1]["share"] == 1 and got[2]["share"] >= 0.5
+
+
+def test_marks_inside_numbers(spark):
+    texts = {"1,200 and 12.50 and 1,234,567.89": ["1200", "and", "12\x0450", "and", "1234567\x0489"], "-5, 10-5, 1,2,3 (3,4) on 12.05.2020.": ["\x035", "10", "5", "1", "2", "3", "3", "4", "on", "12", "05", "2020"]}
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert {r[0]: r[1] for r in docs.select("text", decontaminate._marked_words(F.col("text"))).collect()} == texts
+
+
 def test_planted_passages_and_clean_texts(spark):
     base = "/root/testdata/sf0.01"
     docs, benchmark = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/benchmark.parquet")
