@@ -13,8 +13,11 @@ throughout.  Where it doesn't, only windows without slots count.
 
 A text is contaminated by an item if the windows that count hold at least
 ``LEAST_SHARE`` of the item's, or ``LEAST_WORDS`` of its words in one run.
-Windows of mostly placeholders say nothing and aren't used.  Items of fewer
-words are looked up as a whole, by windows of their own length.
+Windows of mostly placeholders say nothing as templates: they are joined by
+their literal words, and the share is over all windows, of either sort (or,
+for an item whose templates are found reworded, over the templates alone).
+Items of fewer words are looked up as a whole, by windows of their own
+length.
 
 Null or empty texts and items match nothing.  Repeated rows: a result for
 each.  No rows on either side: no rows.
@@ -87,39 +90,52 @@ def _places(first: Column, last: Column) -> Column:
 
 
 def _with_windows(d: DataFrame, k: int, *keep: str) -> DataFrame:
-    """The columns to keep, w, window (hash), word (its first) and reading of
-    every window of ``k`` words: 0 if both readings of its capitalised words
-    agree, else a row for each, 1 (literal) and 2 (names)."""
+    """The columns to keep, w, two, many, place and window (hash) of every
+    window of ``k`` words: one if both readings of its capitalised words
+    agree, else one for each; and one of its literal words if most of them
+    are placeholders in any reading.  ``_placed`` tells the place apart."""
     last = F.size("w") - k
     near = F.transform(F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.ascii(F.get("w", i)) == 6), lambda i: _places(F.greatest(i - k + 1, F.lit(0)), F.least(i, last)))
     d = d.where(last >= 0)
-    d = d.select(*keep, "w", "h", "g", _places(F.lit(0), last).alias("all"), F.when(F.col("g").isNotNull(), F.array_distinct(F.flatten(near))).otherwise(F.array().cast("array<int>")).alias("two"))
+    d = d.select(*keep, "w", "h", "g", _places(F.lit(0), last).alias("all"), F.when(F.col("g").isNotNull(), F.array_distinct(F.flatten(near))).otherwise(F.array().cast("array<int>")).alias("two"),
+        F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: _kind(F.get("w", i), True).isNotNull()).alias("q"))
+    # more than half of a window are placeholders where so many lie within it
+    half = k // 2
+    dense = F.transform("q", lambda i, j: F.when(j + half < F.size("q"), _places(F.greatest(F.get("q", j + half) - k + 1, F.lit(0)), F.least(i, last))))
+    dense = F.filter(dense, lambda x: x.isNotNull() & (F.size(x) > 0))
+    d = d.withColumn("many", F.when(F.size("q") > half, F.array_distinct(F.flatten(dense))).otherwise(F.array().cast("array<int>")))
+    d = d.withColumn("plain", F.when(F.size("many") > 0, F.transform("w", lambda x: F.xxhash64(_plain(x)))))
     hashes = lambda places, of: F.transform(places, lambda i: F.xxhash64(F.slice(of, i + 1, k)))
     # one array of hashes; where a hash stands says what it is of, so that the
     # words and places are not looked at before the join
-    return d.select(*keep, "w", "two", F.posexplode(F.concat(hashes("all", "h"), hashes("two", "g"))).alias("place", "window"))
+    literal = F.transform("many", lambda i: F.xxhash64(F.lit("literal"), F.slice("plain", i + 1, k)))
+    return d.select(*keep, "w", "two", "many", F.posexplode(F.concat(hashes("all", "h"), hashes("two", "g"), literal)).alias("place", "window"))
 
 
 def _placed(d: DataFrame, k: Column | int, word: str, reading: str) -> DataFrame:
-    """A row of ``_with_windows`` with its place told apart."""
+    """word (the window's first) and reading: 0 if both readings agree, else
+    1 (capitalised words are words) or 2 (names); 3: literal words."""
     n = F.size("w") - k + 1
-    at = F.when(F.col("place") < n, F.col("place")).otherwise(F.get("two", F.col("place") - n))
-    of = F.when(F.col("place") >= n, F.lit(2)).when(F.array_contains("two", F.col("place")), F.lit(1)).otherwise(F.lit(0))
-    return d.withColumn(word, at).withColumn(reading, of).drop("place", "two")
+    n2 = n + F.size("two")
+    at = F.when(F.col("place") < n, F.col("place")).when(F.col("place") < n2, F.get("two", F.col("place") - n)).otherwise(F.get("many", F.col("place") - n2))
+    of = F.when(F.col("place") >= n2, F.lit(3)).when(F.col("place") >= n, F.lit(2)).when(F.array_contains("two", F.col("place")), F.lit(1)).otherwise(F.lit(0))
+    return d.withColumn(word, at).withColumn(reading, of).drop("place", "two", "many")
 
 
 def benchmark_windows(benchmark: DataFrame, k: int) -> DataFrame:
-    """window, item_id, at, reading, k, n_windows, words, slots of windows of
-    ``k`` words."""
+    """window, item_id, at, of_item, k, n_windows, n_templates, words, slots of
+    windows of ``k`` words."""
     items = _canonical(benchmark, "item_id").where(F.size("w") >= k)
     items = items if k == WINDOW else items.where(F.size("w") == k)
     w = _placed(_with_windows(items, k, "item_id"), k, "at", "of_item").withColumn("words", F.slice("w", F.col("at") + 1, k))
     kinds = lambda capitals: F.transform("words", lambda x: _kind(x, capitals))
-    w = w.withColumn("slots", F.when(F.col("of_item") == 2, kinds(True)).otherwise(kinds(False)))
+    none = F.transform("words", lambda x: F.lit(None).cast("string"))
+    w = w.withColumn("slots", F.when(F.col("of_item") == 3, none).when(F.col("of_item") == 2, kinds(True)).otherwise(kinds(False)))
     literal = F.size(F.filter("slots", lambda s: s.isNull()))
     w = w.where(literal * 2 >= k)
-    n = w.groupBy("item_id").agg(F.count_distinct("at").alias("n_windows"))
-    return w.join(n, "item_id").select("window", "item_id", "at", "of_item", F.lit(k).alias("k"), "n_windows", "words", "slots")
+    template = F.when(F.col("of_item") < 2, F.col("at"))
+    n = w.groupBy("item_id").agg(F.count_distinct("at").alias("n_windows"), F.count_distinct(template).alias("n_templates"))
+    return w.join(n, "item_id").select("window", "item_id", "at", "of_item", F.lit(k).alias("k"), "n_windows", "n_templates", "words", "slots")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -143,14 +159,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = found.withColumn("pairs", F.transform(pairs, lambda x: F.struct(_plain(x["words"]).alias("b"), _plain(x["here"]).alias("d"))))
     # slots are checked in each reading alone
     literal = (F.col("of_text") != 2) & (F.col("of_item") != 2)
-    names = ~literal | ((F.col("of_text") == 0) & (F.col("of_item") == 0))
+    names = ~literal | (F.col("of_text").isin(0, 3) & F.col("of_item").isin(0, 3))
     readings = F.filter(F.array(F.when(literal, 1), F.when(names, 2)), lambda x: x.isNotNull())
-    found = found.select("_doc", "doc_id", "item_id", "k", "n_windows", "at", "word", "pairs", F.explode(readings).alias("reading"))
+    found = found.select("_doc", "doc_id", "item_id", "k", "n_windows", "n_templates", "at", "word", "pairs", (F.col("of_item") < 2).alias("template"), F.explode(readings).alias("reading"))
     # all steps below group by document and more: one shuffle serves them
     found = found.repartition("_doc")
-    item = ["_doc", "doc_id", "item_id", "k", "n_windows"]
+    item = ["_doc", "doc_id", "item_id", "k", "n_windows", "n_templates"]
     diagonal = found.groupBy(*item, "reading", (F.col("word") - F.col("at")).alias("diagonal")).agg(
-        F.collect_list(F.struct("word", "at", F.size("pairs").alias("n"))).alias("hits"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("values")
+        F.collect_list(F.struct("word", "at", F.size("pairs").alias("n"), "template")).alias("hits"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("values")
     )
     one_to_one = F.size("values") == F.size(F.array_distinct(F.transform("values", lambda v: v["b"])))
     diagonal = diagonal.withColumn("good", F.sort_array(F.when(one_to_one, F.col("hits")).otherwise(F.filter("hits", lambda x: x["n"] == 0))))
@@ -159,12 +175,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     zero = F.struct(F.lit(0).alias("run"), F.lit(0).alias("best"), F.lit(-9).alias("last"))
 
     def longer(acc: Column, x: Column) -> Column:
-        run = F.when(x["word"] == acc["last"] + 1, acc["run"] + 1).otherwise(1)
+        # a window can be found as a template and by its literal words
+        run = F.when(x["word"] == acc["last"] + 1, acc["run"] + 1).when(x["word"] == acc["last"], acc["run"]).otherwise(1)
         return F.struct(run.alias("run"), F.greatest(acc["best"], run).alias("best"), x["word"].alias("last"))
 
     diagonal = diagonal.withColumn("run", F.aggregate("good", zero, longer, lambda acc: acc["best"]))
     out = diagonal.groupBy(*item).agg(
         F.size(F.array_distinct(F.flatten(F.collect_list(F.transform("good", lambda x: x["at"]))))).alias("found"),
+        F.size(F.array_distinct(F.flatten(F.collect_list(F.transform(F.filter("good", lambda x: x["template"]), lambda x: x["at"]))))).alias("templates"),
         (F.max("run") + F.col("k") - 1).alias("n_words"),
         F.min(F.element_at("good", 1)["word"]).alias("first_word"),
         (F.max(F.element_at("good", -1)["word"]) + F.col("k") - 1).alias("last_word"),
@@ -172,7 +190,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.max(F.exists("values", lambda v: v["b"] != v["d"])).alias("reworded"),
     )
     out = out.withColumn("share", F.col("found") / F.col("n_windows"))
-    out = out.where((F.col("share") >= LEAST_SHARE) | (F.col("n_words") >= LEAST_WORDS))
+    reworded = (F.col("n_templates") > 0) & (F.col("templates") >= LEAST_SHARE * F.col("n_templates"))
+    out = out.where((F.col("share") >= LEAST_SHARE) | reworded | (F.col("n_words") >= LEAST_WORDS))
     return out.select("_doc", "doc_id", "item_id", F.col("found").alias("n_windows"), "share", "n_words", "first_word", "last_word", "n_slots", "reworded")
 
 

@@ -431,6 +431,15 @@ def test_number_formats_and_names_at_sentence_starts(spark, item, changed):
     assert got[1]["reworded"] and got[1]["share"] == 1 and got[2]["share"] >= 0.5
 
 
+def test_items_of_mostly_placeholders(spark):
+    items = ["Compute 3 * 4 + 17 / 2 - 9 * 6 exactly.", "What is 12 + 34 * 56 - 78?", "Alice Bob Carol Dora Edgar Frank Gina Henry Ida", "1 2 3 4 5 6 7 8 9 10 11 12"]
+    benchmark = spark.createDataFrame([*enumerate(items)], "item_id int, text string")
+    others = ["Compute 5 * 1 + 12 / 7 - 3 * 8 exactly.", "What is 99 + 11 * 22 - 33?", "Ann Ben Cleo Dan Eve Fred Gus Hal Ian", "2 1 4 3 6 5 8 7 10 9 12 11"]
+    docs = spark.createDataFrame([*enumerate(f"we were asked this: {t} and said no" for t in items + others)], "doc_id int, text string")
+    got = {(r["doc_id"], r["item_id"], r["share"]) for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert got == {(k, k, 1.0) for k in range(4)}
+
+
 def test_marks_inside_numbers(spark):
     texts = {"1,200 and 12.50 and 1,234,567.89": ["1200", "and", "12\x0450", "and", "1234567\x0489"], "-5, 10-5, 1,2,3 (3,4) on 12.05.2020.": ["\x035", "10", "5", "1", "2", "3", "3", "4", "on", "12", "05", "2020"]}
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
