@@ -96,7 +96,6 @@ def _with_windows(d: DataFrame, k: int, *keep: str) -> DataFrame:
     are placeholders in any reading.  ``_placed`` tells the place apart."""
     last = F.size("w") - k
     near = F.transform(F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.ascii(F.get("w", i)) == 6), lambda i: _places(F.greatest(i - k + 1, F.lit(0)), F.least(i, last)))
-    d = d.where(last >= 0)
     d = d.select(*keep, "w", "h", "g", _places(F.lit(0), last).alias("all"), F.when(F.col("g").isNotNull(), F.array_distinct(F.flatten(near))).otherwise(F.array().cast("array<int>")).alias("two"),
         F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: _kind(F.get("w", i), True).isNotNull()).alias("q"))
     # more than half of a window are placeholders where so many lie within it
@@ -106,10 +105,12 @@ def _with_windows(d: DataFrame, k: int, *keep: str) -> DataFrame:
     d = d.withColumn("many", F.when(F.size("q") > half, F.array_distinct(F.flatten(dense))).otherwise(F.array().cast("array<int>")))
     d = d.withColumn("plain", F.when(F.size("many") > 0, F.transform("w", lambda x: F.xxhash64(_plain(x)))))
     hashes = lambda places, of: F.transform(places, lambda i: F.xxhash64(F.slice(of, i + 1, k)))
+    # (outer: else Spark filters by the array's size and computes it twice;
+    # the join drops the null of a text without windows)
     # one array of hashes; where a hash stands says what it is of, so that the
     # words and places are not looked at before the join
     literal = F.transform("many", lambda i: F.xxhash64(F.lit("literal"), F.slice("plain", i + 1, k)))
-    return d.select(*keep, "w", "two", "many", F.posexplode(F.concat(hashes("all", "h"), hashes("two", "g"), literal)).alias("place", "window"))
+    return d.select(*keep, "w", "two", "many", F.posexplode_outer(F.concat(hashes("all", "h"), hashes("two", "g"), literal)).alias("place", "window"))
 
 
 def _placed(d: DataFrame, k: Column | int, word: str, reading: str) -> DataFrame:
