@@ -112,13 +112,14 @@ _LOOK = re.compile("[" + re.escape("".join(_LOOKS)) + _ZERO_WIDTH + "]")
 # Spelled digits (fixed values).
 _SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _DIGIT_WORD = "(?:" + "|".join(_SPELLED) + ")"
-_GAP = r"[\x20\t\n,-]{1,3}"
-#: So many tokens, one a spelled digit, make a run of spelled digits.
+_GAP = r"[\x20\t\n,()\[\]-]{1,4}"
+#: Tokens that stand for so many digits, or so many tokens with dots among
+#: them, one of them spelled, make a run of spelled digits.
 LEAST_RUN = 7
-_RUN_TOKEN = rf"(?:{_DIGIT_WORD}|[0-9]+|dot|point)"
-_RUN = re.compile(rf"(?<![A-Za-z0-9])(?:plus{_GAP}|\+\x20?)?(?:{_DIGIT_WORD}|[0-9]+)(?:{_GAP}{_RUN_TOKEN}){{{LEAST_RUN - 1},}}+(?![A-Za-z0-9])", re.I)
+_RUN_TOKEN = rf"(?:{_DIGIT_WORD}|[0-9]++|dot|point)(?![A-Za-z0-9])"
+_RUN = re.compile(rf"(?<![A-Za-z0-9])(?:plus{_GAP}|\+[\x20(]{{0,2}})?(?:{_DIGIT_WORD}|[0-9]++)(?![A-Za-z0-9])(?:{_GAP}{_RUN_TOKEN})++", re.I)
 _RUN_PART = re.compile(rf"(?P<plus>plus|\+)|(?P<word>{_DIGIT_WORD})|(?P<digits>[0-9]+)|(?P<dot>dot|point)", re.I)
-_HAS_WORD = re.compile(rf"(?<![A-Za-z]){_DIGIT_WORD}(?![A-Za-z])", re.I)
+_HAS_WORD = re.compile(rf"(?<![A-Za-z])(?:{_DIGIT_WORD}|plus)(?![A-Za-z])", re.I)
 
 _AT = r"(?:\x20?[\[({<]\x20?(?:at|@)\x20?[\])}>]\x20?|\x20at\x20|\x20?@\x20?)"
 _DOT = r"(?:\x20?[\[({<]\x20?(?:dot|\.)\x20?[\])}>]\x20?|\x20dot\x20|\.)"
@@ -130,7 +131,7 @@ _ADDRESS = re.compile(
 _MARK = re.compile(rf"(?P<at>{_AT})|(?P<dot>{_DOT})", re.I)
 _DOTTED_IP = re.compile(rf"(?<![A-Za-z0-9.])[0-9]{{1,3}}(?:{_DOT}[0-9]{{1,3}}){{3}}(?![A-Za-z0-9])", re.I)
 # What a text must hold for any of the rewritings above to apply.
-_TRIGGER = re.compile(rf"[\[({{<]\x20?(?:at|dot|@|\.)\x20?[\])}}>]|\x20dot\x20|\x20@|@\x20|{_DIGIT_WORD}{_GAP}{_RUN_TOKEN}(?![A-Za-z])", re.I)
+_TRIGGER = re.compile(rf"[\[({{<]\x20?(?:at|dot|@|\.)\x20?[\])}}>]|\x20dot\x20|\x20@|@\x20|{_DIGIT_WORD}{_GAP}{_RUN_TOKEN}|[0-9]{_GAP}{_DIGIT_WORD}(?![A-Za-z])|plus{_GAP}[0-9]", re.I)
 
 
 class Rewritten:
@@ -172,8 +173,12 @@ def _spelled(r: Rewritten) -> Rewritten:
     for run in _RUN.finditer(r.text):
         if not _HAS_WORD.search(run[0]):
             continue
+        parts = list(_RUN_PART.finditer(r.text, *run.span()))
+        n_digits = sum(len(m["digits"]) if m["digits"] else m["word"] is not None for m in parts)
+        if max(n_digits, sum(m["plus"] is None for m in parts)) < LEAST_RUN:
+            continue
         done = run.start()
-        for m in _RUN_PART.finditer(r.text, *run.span()):
+        for m in parts:
             if m.start() > done:  # the gap before it goes
                 edits.append((done, m.start(), ""))
             put = "+" if m["plus"] else "." if m["dot"] else m["digits"] or _SPELLED[m[0].lower()]
