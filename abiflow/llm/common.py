@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
@@ -18,6 +19,14 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
 
 
+def numbered(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with a number of its own for each row, written to the scratch
+    folder, so that every later read has the same numbers."""
+    path = scratch(df.sparkSession, "rows")
+    df.withColumn(column, F.monotonically_increasing_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read from there."""
     shared_dir(df.sparkSession)  # names the folder to the context

@@ -28,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import numbered
+
 WINDOW = 8
 LEAST_SHARE = 0.5
 LEAST_WORDS = 13
@@ -140,12 +142,14 @@ def benchmark_windows(benchmark: DataFrame, k: int) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per contaminated document and item: _doc (row number),
+    """One row per contaminated document and item: _doc (row number; of
+    ``docs`` where it has that column),
     doc_id, item_id, n_windows (found), share (of the item's), n_words (of
     the longest run), first_word, last_word (inclusive), n_slots,
     reworded (a slot's value was changed)."""
     sizes = [WINDOW] + [r[0] for r in _canonical(benchmark, "item_id").select(F.size("w").alias("n")).where(f"n between 1 and {WINDOW - 1}").distinct().orderBy("n").collect()]
-    each = _canonical(docs.select(F.monotonically_increasing_id().alias("_doc"), "doc_id", "text"), "_doc", "doc_id")
+    rows = docs if "_doc" in docs.columns else docs.withColumn("_doc", F.monotonically_increasing_id())
+    each = _canonical(rows.select("_doc", "doc_id", "text"), "_doc", "doc_id")
     found = None
     for k in sizes:
         known = benchmark_windows(benchmark, k)
@@ -197,6 +201,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that no item contaminates."""
-    bad = contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    """The rows of ``docs`` that no item contaminates, decided row by row
+    whatever their doc_id."""
+    rows = numbered(docs, "_doc")
+    bad = contaminated(rows, benchmark).select("_doc").distinct()
+    return rows.join(bad, "_doc", "left_anti").select(*docs.columns)

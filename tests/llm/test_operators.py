@@ -550,6 +550,22 @@ def test_pipeline_keeps_clean_documents(spark):
     assert {r["doc_id"] for r in cp.run(spark, base).select("doc_id").distinct().collect()} == kept[-1]
 
 
+def test_stages_decide_by_row(spark):
+    import corpus_pipeline as cp
+
+    base = f"/tmp/run-{uuid.uuid4().hex}"
+    spark.createDataFrame([(1, ITEM)], "item_id bigint, text string").write.parquet(f"{base}/benchmark.parquet")
+    a, b, c, d = (f"The {w} walked over the old bridge and looked at the {w} river for a long time with the others of the {w} town" for w in ("farmer", "teacher", "sailor", "baker"))
+    rows = [(3, a), (None, a), (2, a), (2, a), (None, b), (None, b), (None, c), (7, d), (7, c + " and of all the other towns that lie along the same long river, far away from any sea"), (8, None), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = Counter((r["doc_id"], r["text"]) for r in cp.near_duplicates(spark, docs, base).collect())
+    assert kept == Counter([(2, a), (None, b), (None, c), (7, d), (7, rows[8][1]), (8, None), (8, None)])
+    rows = [(None, a), (None, f"so: {ITEM}"), (5, b), (5, f"and {ITEM}"), (6, c), (6, c)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = Counter((r["doc_id"], r["text"]) for r in cp.benchmark_texts(spark, docs, base).collect())
+    assert kept == Counter([(None, a), (5, b), (6, c), (6, c)])
+
+
 def test_bitmaps_never_rule_out_a_link():
     rng = np.random.default_rng(2)
     for _ in range(500):
