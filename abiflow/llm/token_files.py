@@ -65,6 +65,8 @@ class _File:
         self.n_held = self.n = 0
 
     def add(self, ids: np.ndarray) -> None:
+        if len(ids) and int(ids.max()) > np.iinfo(self.dtype).max:
+            raise ValueError(f"id {int(ids.max())} does not fit {np.dtype(self.dtype).name}: write with wide=True")
         self.held.append(ids.astype(self.dtype))
         self.n_held += len(ids)
         self.n += len(ids)

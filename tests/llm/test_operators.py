@@ -389,6 +389,14 @@ def test_no_rules(nothing):
     assert rules.quality_rules(nothing, nothing).count() == 0
 
 
+def test_ids_beyond_16_bits_are_an_error():
+    f = token_files._File(pa.BufferOutputStream(), 4, False)
+    f.add(np.array([65535], np.uint32))
+    with pytest.raises(ValueError, match="wide"):
+        f.add(np.array([1, 65536], np.uint32))
+    token_files._File(pa.BufferOutputStream(), 4, True).add(np.array([65536], np.uint32))
+
+
 # --- 9 ---------------------------------------------------------------------
 
 ITEM = "A train leaves the station with 42 passengers at a speed of 80 km and later Alice counts 42 tickets before the bridge near the old mill"
