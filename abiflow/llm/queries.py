@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, langid, licenses, packing, pii, quality, rules, sharding, token_files
+from . import decontaminate, jaccard, langid, licenses, minhash, packing, pii, quality, ranked_search, rules, sharding, token_files, whitening
 from .common import scratch, table
 from .token_ids import public_path
 
@@ -75,10 +75,24 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), n=5, percent=85)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_hilbert_shards, op2_quality_classifier, op3_token_files, op4_jaccard_join, op5_language_id,
         op6_license_scan, op7_quality_rules, op8_packing, op9_decontaminate, op10_pii,
+        op11_ranked_search, op12_whitening, op13_minhash,
     )
 }
