@@ -19,6 +19,13 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it if ``df`` has such a column."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name = "_" + name
+    return name
+
+
 def numbered(df: DataFrame, column: str) -> DataFrame:
     """``df`` with a number of its own for each row, written to the scratch
     folder, so that every later read has the same numbers."""
