@@ -57,8 +57,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels")
-    found = rules.quality_rules(table(spark, sf_dir, "documents"), labels.where("quality = 1"))
+    found = rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
 
 

@@ -13,7 +13,7 @@ import pyarrow.fs as pafs
 import pytest
 from pyspark.sql import functions as F
 
-from abiflow.llm import decontaminate, jaccard, langid, licenses, packing, pii, quality, rules, sharding, token_files
+from abiflow.llm import decontaminate, jaccard, langid, licenses, packing, pii, quality, sharding, token_files
 from abiflow.llm.common import scratch
 from abiflow.llm.components import components
 from abiflow.llm.token_ids import public_path
@@ -360,35 +360,6 @@ def test_no_licenses(nothing):
     assert licenses.license_scan(nothing).count() == 0
 
 
-def test_rule_counts(spark, edge, small):
-    more = [(200, "a b c a b c a b c d"), (201, "l one\nl one\n\n \nl one\n l one"), (202, "x x x x"), (203, "a b c d e a b c q b c d")]
-    for docs in (edge, small, spark.createDataFrame(more, "doc_id bigint, text string")):
-        got = rules.quality_rules(docs, docs.limit(50)).collect()
-        want = Counter((d, *brute.rule_counts(t)) for d, t in rows_of(docs))
-        assert Counter((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) for r in got) == want
-        for r in got:
-            failed = r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]
-            assert r["base_failed"] == failed and r["kept"] == (not failed and r["ratio"] >= rules.THRESHOLD)
-
-
-def test_likelihood_ratio_is_the_mean_over_ngrams(spark):
-    docs = spark.createDataFrame([(1, "a b a"), (2, "a c"), (3, "d"), (4, None)], "doc_id bigint, text string")
-    trusted = spark.createDataFrame([(1,), (1,), (None,)], "doc_id bigint")
-    bucket = {}
-    for r in rules._hashed(docs, "doc_id").select("doc_id", rules._buckets().alias("b")).collect():
-        bucket[r["doc_id"]] = r["b"]
-    assert [len(bucket[k]) for k in (1, 2, 3, 4)] == [5, 3, 1, 0]
-    every, good = Counter(x for b in bucket.values() for x in b), Counter(bucket[1])
-    p = lambda c, x: (c[x] + 1) / (sum(c.values()) + rules.BUCKETS)
-    got = {r["doc_id"]: r["ratio"] for r in rules.quality_rules(docs, trusted).collect()}
-    for d, b in bucket.items():
-        assert abs(got[d] - sum(np.log(p(good, x) / p(every, x)) for x in b) / max(1, len(b))) < 1e-9
-
-
-def test_no_rules(nothing):
-    assert rules.quality_rules(nothing, nothing).count() == 0
-
-
 def test_ids_beyond_16_bits_are_an_error():
     f = token_files._File(pa.BufferOutputStream(), 4, False)
     f.add(np.array([65535], np.uint32))

@@ -1,0 +1,98 @@
+"""Rule counts against Python, the ratio against its definition, the cut."""
+
+from __future__ import annotations
+
+import time
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from abiflow.llm import rules
+
+from . import brute
+
+
+def rows_of(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+def test_rule_counts(spark, edge, small):
+    more = [(200, "a b c a b c a b c d"), (201, "l one\nl one\n\n \nl one\n l one"), (202, "x x x x"), (203, "a b c d e a b c q b c d")]
+    for docs in (edge, small, spark.createDataFrame(more, "doc_id bigint, text string")):
+        labels = docs.limit(50).select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+        got = rules.quality_rules(docs, labels).collect()
+        want = Counter((d, *brute.rule_counts(t)) for d, t in rows_of(docs))
+        assert Counter((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) for r in got) == want
+        for r in got:
+            failed = r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]
+            assert r["base_failed"] == failed and not (failed and r["kept"])
+
+
+def test_ratio_is_the_mean_over_ngrams_by_the_other_half(spark):
+    rows = [(k, t, lang) for k, (t, lang) in enumerate([("a b a", "x"), ("a c", "x"), ("d", "y"), (None, "x"), ("a b", "x"), ("q r s", "y"), ("c c", None), ("b", "x")] * 2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = [(0, 1), (0, 1), (1, 1), (5, 1), (8, 1), (9, 1), (13, 1), (12, 0), (4, 1), (4, 0), (None, 1)]
+    bucket = {r["doc_id"]: r["b"] for r in rules._hashed(docs, "doc_id").select("doc_id", rules._buckets().alias("b")).collect()}
+    half = {r["doc_id"]: r["h"] for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("h")).collect()}
+    good = {d for d, q in labels if q == 1 and d is not None} - {4}
+    lang = {k: v or "" for k, _, v in rows}
+    size = {k: len(t or "") for k, t, _ in rows}
+    every = Counter(x for b in bucket.values() for x in b)
+    p = lambda c, x: (c[x] + 1) / (sum(c.values()) + rules.BUCKETS)
+    got = {r["doc_id"]: r for r in rules.quality_rules(docs, spark.createDataFrame(labels, "doc_id bigint, quality int")).collect()}
+    models = []
+    for h in (0, 1):
+        mine = [d for d in good if half[d] == h]
+        share = lambda ids, v: sum(size[k] for k in ids if lang[k] == v) / sum(size[k] for k in ids)
+        weight = {v: round(1024 * share(size, v) / share(mine, v)) / 1024 for v in {lang[d] for d in mine}}
+        c = Counter()
+        for d in mine:
+            for x in bucket[d]:
+                c[x] += weight[lang[d]]
+        models.append((c, weight))
+    assert all(m[1] for m in models)
+    for d, b in bucket.items():
+        c, weight = models[1 - half[d]]
+        assert abs(got[d]["ratio"] - sum(np.log(p(c, x) / p(every, x)) for x in b) / max(1, len(b))) < 1e-9
+        assert got[d]["judged"] == (lang[d] in weight)
+
+
+def test_the_cut_lies_between_good_and_bad(spark):
+    make = lambda rows: spark.createDataFrame(rows, "good int, ratio double")
+    assert abs(rules.cut_between(make([(1, -0.1), (1, 0.2), (0, -0.7), (0, -0.9)])) + 0.4) < 0.01
+    assert rules.cut_between(make([(1, 0.5)])) is None and rules.cut_between(make([])) is None
+    assert rules.cut_between(make([(0, 0.5), (1, 0.1)])) is None  # would drop a good one
+    many = [(1, k / 1000) for k in range(1000)] + [(0, 0.0055), (0, 0.9)]
+    cut = rules.cut_between(make(many))
+    assert 0.005 < cut <= 0.011  # at most one in a hundred goes
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_labelled_and_unlabelled_texts_are_kept_alike(spark, sf):
+    base = f"/root/testdata/sf{sf}"
+    docs, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
+    got = rules.quality_rules(docs, labels).join(docs.select("doc_id", "lang"), "doc_id").join(labels, "doc_id", "left").where("not base_failed").toPandas()
+    good, bad, other = got[got.quality == 1], got[got.quality == 0], got[got.quality.isna()]
+    assert good.kept.mean() >= 0.98 and bad.kept.mean() <= (0.34 if len(bad) < 10 else 0.2)
+    # some of the texts without a label are bad, in every language alike
+    share = len(bad) / (len(bad) + len(good))
+    for _, part in other.groupby("lang"):
+        assert part.kept.mean() >= 1 - share - 0.25
+    assert other.kept.mean() >= 1 - share - 0.06
+
+
+def test_the_result_can_be_filtered(spark, small):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    got = rules.quality_rules(small, labels)
+    began = time.time()
+    assert got.where("kept").count() == sum(r["kept"] for r in got.collect())
+    assert time.time() - began < 20
+    plan = got.where("kept")._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan  # reads the counted rows
+
+
+def test_no_rules(nothing):
+    labels = nothing.select("doc_id", F.lit(1).alias("quality"))
+    assert rules.quality_rules(nothing, labels).count() == 0
