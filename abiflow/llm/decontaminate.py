@@ -85,7 +85,7 @@ def _units(text: Column) -> Column:
 
 
 def _split(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), _SEPARATOR, -1), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), _SEPARATOR, -1), "")
 
 
 def _marked_words(text: Column) -> Column:
@@ -141,9 +141,9 @@ def _places(first: Column, last: Column) -> Column:
 
 
 def _joined(a: str, b: str, step: int) -> Column:
-    """Hashes of a's and b's hashes that stand ``step`` apart."""
-    n = F.greatest(F.size(b) - step, F.lit(0))
-    return F.zip_with(F.slice(a, 1, n), F.slice(b, step + 1, n), lambda x, y: F.xxhash64(x, y))
+    """Hashes of a's and b's hashes that stand ``step`` apart; the last ones,
+    which have nothing ``step`` behind them, are left to ``_runs`` to cut."""
+    return F.zip_with(a, F.slice(b, step + 1, F.greatest(F.size(b) - step, F.lit(0))), lambda x, y: F.xxhash64(x, y))
 
 
 def _runs(d: DataFrame, column: str, sizes: list[int]) -> DataFrame:
@@ -161,7 +161,8 @@ def _runs(d: DataFrame, column: str, sizes: list[int]) -> DataFrame:
             if have != k and k & bit and have & bit == 0:
                 d = d.withColumn(f"{column}_{have + bit}", _joined(f"{column}_{have}", f"{column}_{bit}", have))
                 have += bit
-    return d.select(*old, *(f"{column}_{k}" for k in sizes))
+    whole = lambda k: F.slice(f"{column}_{k}", 1, F.greatest(F.size(column) - k + 1, F.lit(0)))
+    return d.select(*old, *(whole(k).alias(f"{column}_{k}") for k in sizes))
 
 
 def _with_dense(d: DataFrame, sizes: list[int], *keep: str) -> DataFrame:
