@@ -7,10 +7,12 @@ F1-F5, J2-J6, A10, A11.  Tables (flat, one row per item):
 * ``logs (tx_hash, log_index, address, topics ARRAY<STRING>, data BINARY)``
 
 Shuffle plan: the subscription side is config-sized and broadcast after a
-bounded count; the other joins are on ``tx_hash`` (uniformly hashed, no hot
-key) or on the announcement key, where AQE either broadcasts the measured
-small side or splits skewed partitions.  Logs are cut to those carrying a
-subscribed hash before they are shuffled.
+bounded count.  Where the announced transactions are counted and few (``few``),
+as in a micro-batch, they are broadcast to the receipts and the logs, which are
+met where they are read: neither table is shuffled, only what belongs to the
+announced transactions moves on.  Otherwise these joins are on ``tx_hash``
+(uniformly hashed, no hot key), where AQE splits skewed partitions, and logs
+are cut to those carrying a subscribed hash before they are shuffled.
 """
 
 from __future__ import annotations
@@ -45,10 +47,14 @@ def announced(sub_txs: DataFrame, found_blocks: DataFrame, small: bool = False)
     return sub_txs.join(broadcast_if(found_blocks, small), ["block_number", "block_hash"])
 
 
-def with_receipts(rows: DataFrame, receipts: DataFrame) -> DataFrame:
+def with_receipts(rows: DataFrame, receipts: DataFrame, few: bool = False) -> DataFrame:
     """A10 + J3: left lookup of the receipt, ``has_receipt`` false when
-    absent.  A receipt that was landed twice counts once."""
-    r = receipts.select("tx_hash").distinct().withColumn("has_receipt", F.lit(True))
+    absent.  A receipt that was landed twice counts once.  ``few``: the rows
+    are proven few, so only their receipts are made distinct."""
+    r = receipts.select("tx_hash")
+    if few:
+        r = r.join(F.broadcast(rows.select("tx_hash")), "tx_hash", "left_semi")
+    r = broadcast_if(r.distinct().withColumn("has_receipt", F.lit(True)), few)
     return rows.join(r, "tx_hash", "left").withColumn(
         "has_receipt", F.coalesce(F.col("has_receipt"), F.lit(False))
     )
@@ -95,15 +101,20 @@ def candidate_topics(logs: DataFrame, filters: DataFrame, small: bool | None) ->
 
 
 def match_logs(kept: DataFrame, logs: DataFrame, filters: DataFrame,
-               strategy: str = JOIN, small_filters: bool | None = None) -> DataFrame:
+               strategy: str = JOIN, small_filters: bool | None = None, few: bool = False) -> DataFrame:
     """A11 + F3 + J4 + F5: one row per (log, event filter) where the filter's
     hash is in the log's topics (any position, counted once per filter), one
     row also where a log was landed twice (of differing payloads the greatest).
 
     ``join``: explode the distinct topics and equi-join (address, hash) to
     the broadcast filters; ``explode``: explode each tx's filters and test
-    ``array_contains``.  Same rows either way."""
+    ``array_contains``.  Same rows either way.  ``few``: the transactions are
+    proven few, so they meet the logs before anything of these is exploded or
+    moved."""
     f = _bcast(filters.withColumnRenamed("contract_address", "to").drop("subscription_ord"), small_filters)
+    if few:
+        mine = logs.select("tx_hash", "log_index", "topics", "data").join(F.broadcast(kept.select("tx_hash")), "tx_hash", "left_semi")
+        kept, logs = F.broadcast(kept), mine
     if strategy == JOIN:
         topics = candidate_topics(logs, filters, small_filters)
         out = kept.join(topics, "tx_hash").join(f, ["to", "hash"])

@@ -286,10 +286,10 @@ K5_HASH = f"""
 SELECT arrival_seq, arrival_pos, block_number FROM ({A5})
 """
 
-U1 = f"""
-SELECT DISTINCT {BN_ORDER} AS arrival_seq, 0 AS arrival_pos, {BN_ORDER} AS block_number,
-  sha256('block:' || CAST({BN_ORDER} AS VARCHAR)) AS block_hash
-FROM orders
+U1 = CHAIN + """
+SELECT block_number AS arrival_seq, 0 AS arrival_pos, block_number, sha256('block:' || CAST(block_number AS VARCHAR)) AS block_hash,
+  CAST(row_number() OVER (PARTITION BY block_number ORDER BY tx_index) - 1 AS INTEGER) AS place, tx_index, tx_hash, to_addr AS to_address
+FROM txs
 """
 
 U2 = CHAIN + f"""

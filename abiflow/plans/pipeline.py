@@ -1,9 +1,9 @@
 """The whole plan: announcements -> blocks -> subscribed txs -> receipts ->
 logs -> matches -> decoded events (O1, O3, U1-U3).
 
-``run_batch`` only builds DataFrames; nothing is collected but the
-config-sized subscription catalogue (the distinct type lists the decoder is
-compiled for) and the size checks of the broadcast sides.  The same function
+``run_batch`` builds DataFrames; while it does, it evaluates the announcement
+lookup, the size checks of the broadcast sides and the distinct type lists
+that the decoder is compiled for, and nothing else.  The same function
 runs on a static table of announcements (batch) and on each micro-batch of
 a stream (``streaming.stream``).
 
@@ -25,20 +25,24 @@ that needs it, never as a global sort.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import blocks as B
-from pyspark import StorageLevel
-
 from ..operators import match as M
-from ..operators.broadcast import DEFAULT_MAX_ROWS, at_most
+from ..operators.broadcast import DEFAULT_MAX_ROWS
 from ..operators.decode_events import Decoder, decode_mixed
 from ..operators.subscriptions import Subscriptions, prepare
 
 ORDER_KEY = ["arrival_seq", "arrival_pos", "tx_index", "log_index", "event_ord"]
+#: Announcements up to which a run is taken for a micro-batch, whose
+#: transactions are counted, and those up to which they are broadcast to the
+#: receipts and logs (about 300 bytes each).
+MICRO_BATCH = 10_000
+FEW_TRANSACTIONS = 200_000
 MATCH_COLUMNS = [
     "arrival_seq", "arrival_pos", "block_number", "tx_index", "tx_hash", "log_index",
     "event_ord", "event_name", "signature", "type_key",
@@ -59,13 +63,12 @@ class ChainInput:
 @dataclass
 class PreparedSubscriptions:
     """The subscription catalogue plus the config-sized facts the plan is
-    built from: the subscribed hashes, the distinct type lists, and the row
-    counts that bound the broadcast sides.  The catalogue is persisted (it
+    built from: the distinct type lists, and the row counts that bound the
+    broadcast sides.  The catalogue is persisted (it
     is small and every run reads it, so the keccak UDF runs once); call
     ``unpersist`` when done."""
 
     subs: Subscriptions
-    hashes: list[str]
     type_keys: list[str]
     n_addresses: int
     n_filters: int
@@ -82,17 +85,10 @@ def prepare_subscriptions(subscriptions: DataFrame, strict: bool = True) -> Prep
     subs = prepare(subscriptions, strict=strict)
     subs.addresses.persist(StorageLevel.MEMORY_AND_DISK)
     subs.filters.persist(StorageLevel.MEMORY_AND_DISK)
-    # one pass over the (persisted) filters gives the hashes, the type lists
-    # and the filter count; only valid subscriptions reach ``filters``, so
-    # every hash is set
-    rows = subs.filters.groupBy("hash", "type_key").count().collect()
-    return PreparedSubscriptions(
-        subs,
-        sorted({r.hash for r in rows}),
-        sorted({r.type_key for r in rows}),
-        subs.addresses.count(),
-        sum(r["count"] for r in rows),
-    )
+    # one pass over the (persisted) filters; only valid subscriptions reach
+    # them, so every type list is set
+    rows = subs.filters.groupBy("type_key").count().collect()
+    return PreparedSubscriptions(subs, sorted(r.type_key for r in rows), subs.addresses.count(), sum(r["count"] for r in rows))
 
 
 @dataclass
@@ -104,14 +100,17 @@ class RunOutput:
     receipt_errors: DataFrame  # K4
     matches: DataFrame  # K3 (+ data, to decode)
     events: DataFrame  # every match + params + error
-    blocks: DataFrame  # U1: every announced block that was found, before the stop
-    tx_rows: DataFrame  # subscribed, announced txs with their receipt flag (shared by K1-K4)
+    blocks: DataFrame  # U1: every announced block that was found, before the stop, with its transactions
+    stopped: bool  # an announced block is missing
     prepared: PreparedSubscriptions | None = None
-    stopped: bool | None = None  # an announced block is missing (known when the lookup was eager)
+    # subscribed, announced txs (with their receipt flag), shared by K1-K4
+    held: list[DataFrame] = field(default_factory=list)
 
     def release(self) -> None:
-        """Drop the persisted subscription catalogue once the run's tables
-        have been read or written."""
+        """Drop what the run persisted, once its tables have been read or
+        written."""
+        for df in self.held:
+            df.unpersist()
         if self.prepared is not None:
             self.prepared.unpersist()
 
@@ -140,7 +139,7 @@ def run_batch(inp: ChainInput, strict: bool = True, strategy: str = M.JOIN,
     broadcast side (subscriptions, found blocks, receipt gaps); beyond it
     the joins are shuffle joins planned by Spark and AQE."""
     p = prepared if prepared is not None else prepare_subscriptions(inp.subscriptions, strict=strict)
-    looked = B.lookup_blocks(inp.notices, inp.blocks, inp.mode)
+    looked = B.lookup_blocks(inp.notices, inp.blocks, inp.mode, max_broadcast_rows)
 
     # F1 + F2 + J2 before anything is joined to the big tables: only txs sent
     # to a subscribed address go on to the receipt lookup.
@@ -150,17 +149,22 @@ def run_batch(inp: ChainInput, strict: bool = True, strategy: str = M.JOIN,
     transactions = B.prune_to_blocks(inp.transactions, looked)
     sub_txs = M.subscribed_transactions(transactions, p.subs.addresses, small_subs)
     # The found blocks and the per-block receipt gaps each hold at most one
-    # row per announcement, so one bounded count of the (small) announcement
-    # table proves both broadcastable.  Then the tx rows are shuffled once,
-    # on tx_hash, for the receipt lookup and stay so for the log join.
-    small = (looked.n_announcements <= max_broadcast_rows if looked.n_announcements is not None
-             else at_most(looked.announcements, max_broadcast_rows))
+    # row per announcement, so their count proves both broadcastable.
+    small = looked.n_announcements <= max_broadcast_rows
     rows = M.announced(sub_txs, looked.found, small)
-    rows = M.with_receipts(rows, inp.receipts)
+    held = []
+    few = False
+    if looked.n_announcements <= MICRO_BATCH:
+        held.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
+        few = rows.count() <= min(FEW_TRANSACTIONS, max_broadcast_rows)
+    # one evaluation for the gaps and for the rows they leave
+    rows = M.with_receipts(rows, inp.receipts, few).persist(StorageLevel.MEMORY_AND_DISK)
+    held.append(rows)
     kept, receipt_errors = M.receipt_gap_cut(rows, small)
 
-    matches = M.match_logs(kept, inp.logs, p.subs.filters, strategy=strategy, small_filters=small_subs)
+    matches = M.match_logs(kept, inp.logs, p.subs.filters, strategy=strategy, small_filters=small_subs, few=few)
 
     events = (decoder or decode_mixed)(matches.select(*MATCH_COLUMNS, "data"), p.type_keys)
-    return RunOutput(p.subs, p.type_keys, looked.progress, looked.missing, receipt_errors, matches, events, looked.found, rows,
-                     prepared=p if prepared is None else None, stopped=looked.stopped)
+    blocks = B.whole_blocks(looked.found, transactions, small)
+    return RunOutput(p.subs, p.type_keys, looked.progress, looked.missing, receipt_errors, matches, events, blocks,
+                     looked.stopped, prepared=p if prepared is None else None, held=held)

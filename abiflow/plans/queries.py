@@ -56,6 +56,16 @@ def run_chain(spark: SparkSession, sf_dir: str, strategy: str = M.JOIN, mode: st
     return run_batch(chain_input(spark, sf_dir, mode), strategy=strategy)
 
 
+def stored(spark: SparkSession, out: RunOutput, df: DataFrame) -> DataFrame:
+    """``df`` of a run, written; what the run persisted is dropped."""
+    path = scratch_path(spark, "job", uuid.uuid4().hex)
+    try:
+        df.write.parquet(path)
+    finally:
+        out.release()
+    return spark.read.parquet(path)
+
+
 def typed_events(out: RunOutput) -> DataFrame:
     """Every match of the shipped event type list, typed ``p0 .. p6``."""
     return decode_typed(out.matches.select(*MATCH_COLUMNS, "data"), EVENT_TYPE_KEY)
@@ -64,25 +74,30 @@ def typed_events(out: RunOutput) -> DataFrame:
 # ---- whole pipeline: K1-K4, J1-J6, F1-F5, A9-A11, O3 ---------------------
 
 def k1_decoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = typed_events(run_chain(spark, sf_dir))
-    return hexify(ev.where(F.col("error").isNull()).select(*KEY_COLUMNS, *[f"p{i}" for i in range(7)]))
+    out = run_chain(spark, sf_dir)
+    ev = typed_events(out)
+    return stored(spark, out, hexify(ev.where(F.col("error").isNull()).select(*KEY_COLUMNS, *[f"p{i}" for i in range(7)])))
 
 
 def k2_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = typed_events(run_chain(spark, sf_dir))
-    return hexify(ev.where(F.col("error").isNotNull()).select(*KEY_COLUMNS, "error", F.col("data").alias("data_hex")))
+    out = run_chain(spark, sf_dir)
+    ev = typed_events(out)
+    return stored(spark, out, hexify(ev.where(F.col("error").isNotNull()).select(*KEY_COLUMNS, "error", F.col("data").alias("data_hex"))))
 
 
 def k3_match_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_chain(spark, sf_dir).match_notices().drop("type_key")
+    out = run_chain(spark, sf_dir)
+    return stored(spark, out, out.match_notices().drop("type_key"))
 
 
 def j4_match_by_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_chain(spark, sf_dir, strategy=M.EXPLODE).match_notices().drop("type_key")
+    out = run_chain(spark, sf_dir, strategy=M.EXPLODE)
+    return stored(spark, out, out.match_notices().drop("type_key"))
 
 
 def k4_receipt_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_chain(spark, sf_dir).receipt_errors
+    out = run_chain(spark, sf_dir)
+    return stored(spark, out, out.receipt_errors)
 
 
 def j1_first_subscription(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +113,7 @@ def d16_variant_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixed-event table: one VARIANT ``params`` per decoded match."""
     out = run_chain(spark, sf_dir)
     ev = decode_mixed(out.matches.select(*MATCH_COLUMNS, "data"), out.type_keys)
-    return ev.select(*KEY_COLUMNS, "error", F.to_json("params").alias("params_json"))
+    return stored(spark, out, ev.select(*KEY_COLUMNS, "error", F.to_json("params").alias("params_json")))
 
 
 def o3_batch_run_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,11 +191,13 @@ def _streamed(spark: SparkSession, sf_dir: str, root: str, **consumers) -> None:
 
 
 def u1_block_consumer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U1: a consumer given to the stream gets every block found."""
+    """U1: a consumer given to the stream gets every block found with its
+    transactions in order."""
     root = scratch_path(spark, "u1_blocks", uuid.uuid4().hex)
     seen = os.path.join(root, "seen")
     _streamed(spark, sf_dir, root, on_blocks=lambda df, k: df.write.mode("overwrite").parquet(f"{seen}/batch_id={k}"))
-    return spark.read.parquet(seen).select("arrival_seq", "arrival_pos", "block_number", "block_hash")
+    each = spark.read.parquet(seen).select("arrival_seq", "arrival_pos", "block_number", "block_hash", F.posexplode_outer("transactions").alias("place", "t"))
+    return each.select("arrival_seq", "arrival_pos", "block_number", "block_hash", "place", "t.tx_index", "t.tx_hash", F.col("t.to").alias("to_address"))
 
 
 def u2_match_consumer(spark: SparkSession, sf_dir: str) -> DataFrame:

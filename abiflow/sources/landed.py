@@ -17,11 +17,14 @@ a cluster), or appends newly arrived rows to them.
 The number of files follows the data's size (or ``buckets``), never the
 number of blocks.  ``Landed.table`` needs no table of an earlier session: a
 bucketed table's layout is declared to the session's catalog over its folder
-where it isn't known yet.
+where it isn't known yet.  Its name there is made of the folder and the bucket
+count, so two roots never share one; a known table over another folder is an
+error.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 from dataclasses import dataclass
 
@@ -37,18 +40,37 @@ class Landed:
     buckets: int | None
     prefix: str  # table-name prefix in the session catalog (bucketed layout)
 
+    def known(self, name: str) -> str:
+        """The catalog name of a bucketed table."""
+        place = f"{self.root.rstrip('/')}|{self.buckets}"
+        return f"{self.prefix}_{hashlib.sha256(place.encode()).hexdigest()[:16]}_{name}"
+
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         path = os.path.join(self.root, name)
         if not (self.buckets and name in TX_KEYED):
             return spark.read.parquet(path)
-        known = f"{self.prefix}_{name}"
-        if not spark.catalog.tableExists(known):
+        known = self.known(name)
+        if spark.catalog.tableExists(known):
+            _check_location(spark, known, path)
+        else:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
             spark.sql(f"CREATE TABLE {known} ({columns}) USING parquet CLUSTERED BY (tx_hash) SORTED BY (tx_hash) "
                       f"INTO {self.buckets} BUCKETS LOCATION '{path}'")
         return spark.table(known)
 
 
+def _bare(path: str) -> str:
+    """A path without the local scheme and trailing slashes."""
+    return path.removeprefix("file:").replace("//", "/").rstrip("/")
+
+
+def _check_location(spark: SparkSession, known: str, path: str) -> None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {known}").where("col_name = 'Location'").collect()
+    found = rows[0]["data_type"] if rows else ""
+    if not _bare(found).endswith(_bare(path)):
+        raise RuntimeError(f"table {known} lies in {found}, not in {path}")
+
+
 def _write_bucketed(df: DataFrame, path: str, table: str, buckets: int, mode: str) -> None:
     writer = df.repartition(buckets, "tx_hash").write.mode(mode).bucketBy(buckets, "tx_hash").sortBy("tx_hash")
     writer.option("path", path).saveAsTable(table)
@@ -78,5 +100,5 @@ def land(tables: dict[str, DataFrame], root: str, buckets: int | None = None,
             continue
         if mode == "append":
             landed.table(df.sparkSession, name)  # declared, also in a new session
-        _write_bucketed(df, path, f"{prefix}_{name}", buckets, mode)
+        _write_bucketed(df, path, landed.known(name), buckets, mode)
     return landed

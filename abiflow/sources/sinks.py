@@ -10,16 +10,15 @@ root folder, each to its own folder ``batch_id=<k>``:
 
 Every run writes every table, also one without rows, and each write replaces
 the whole folder of its ``batch_id``: a replayed batch leaves nothing of its
-earlier run.  The subscribed-transaction rows shared by the events
-and the receipt errors are persisted for the duration of the writes, so the
-transaction and receipt scans run once per run.
+earlier run.  The subscribed-transaction rows shared by the events and the
+receipt errors are persisted by the run (``RunOutput.release`` drops them), so
+the transaction and receipt scans run once per run.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,16 +48,12 @@ def event_records(out: RunOutput) -> DataFrame:
 def write_run(out: RunOutput, root: str, batch_id: int = 0) -> int:
     """Write the run's tables; returns the number of block errors (0 or 1),
     which the caller uses to stop a stream."""
-    shared = out.tx_rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _write(event_records(out), os.path.join(root, EVENTS), batch_id)
-        _write(out.receipt_errors, os.path.join(root, RECEIPT_ERRORS), batch_id)
-        _write(out.progress, os.path.join(root, PROGRESS), batch_id)
-        # one row at most: the announcement lookup, no transaction data
-        _write(out.block_error, os.path.join(root, BLOCK_ERRORS), batch_id)
-        return int(out.stopped) if out.stopped is not None else out.block_error.count()
-    finally:
-        shared.unpersist()
+    _write(event_records(out), os.path.join(root, EVENTS), batch_id)
+    _write(out.receipt_errors, os.path.join(root, RECEIPT_ERRORS), batch_id)
+    _write(out.progress, os.path.join(root, PROGRESS), batch_id)
+    # one row at most: the announcement lookup, no transaction data
+    _write(out.block_error, os.path.join(root, BLOCK_ERRORS), batch_id)
+    return int(out.stopped)
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -60,20 +60,22 @@ def notice_schema(mode: str) -> T.StructType:
     return NUMBER_NOTICE_SCHEMA if mode == B.NUMBER else HASH_NOTICE_SCHEMA
 
 
-def folder_exists(spark: SparkSession, folder: str) -> bool:
-    """Whether ``folder`` exists on its file system (any Hadoop scheme)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(path))
+def readable(spark: SparkSession, folder: str, mode: str) -> bool:
+    """Whether announcements can be read from ``folder``: not if it is
+    missing, not reachable or holds anything else."""
+    try:
+        spark.read.schema(notice_schema(mode)).parquet(folder).limit(1).collect()
+    except Exception:  # noqa: BLE001 - any error means the other mode, as with a node without push
+        return False
+    return True
 
 
 def choose_mode(spark: SparkSession, number_folder: str | None, hash_folder: str | None) -> tuple[str, str]:
-    """A3: announcements by number (push) when that landing folder is there,
-    otherwise by hash (poll).  Returns ``(mode, folder)``."""
-    if number_folder and folder_exists(spark, number_folder):
+    """A3: announcements by number (push) when they can be read, on any error
+    by hash (poll).  Returns ``(mode, folder)``."""
+    if number_folder and readable(spark, number_folder, B.NUMBER):
         return B.NUMBER, number_folder
-    if hash_folder and folder_exists(spark, hash_folder):
+    if hash_folder and readable(spark, hash_folder, B.HASH):
         return B.HASH, hash_folder
     raise FileNotFoundError(f"no announcement folder: {number_folder!r} or {hash_folder!r}")
 
@@ -91,8 +93,9 @@ def batch_runner(tables: StaticTables, prepared: PreparedSubscriptions, sink_roo
                  mode: str = B.NUMBER, strategy: str = M.JOIN, decoder: Decoder | None = None,
                  on_blocks: Consumer | None = None, on_matches: Consumer | None = None):
     """The per-micro-batch function given to ``foreachBatch``: writes the run
-    tables, then hands the blocks found to ``on_blocks`` (U1) and every
-    (log, event filter) match with its raw ``data`` to ``on_matches`` (U2).
+    tables, then hands the blocks found, with their transactions, to
+    ``on_blocks`` (U1) and every (log, event filter) match with its raw
+    ``data`` to ``on_matches`` (U2), whose rows are those that were written.
     An exception of a consumer fails the micro-batch, which is replayed."""
 
     def consume(out: RunOutput, batch_id: int) -> None:
@@ -104,13 +107,18 @@ def batch_runner(tables: StaticTables, prepared: PreparedSubscriptions, sink_roo
     def run(notices: DataFrame, batch_id: int) -> None:
         # several tables are written from one micro-batch: read it once
         notices = notices.persist(StorageLevel.MEMORY_AND_DISK)
+        out = None
         try:
             inp = ChainInput(notices, tables.blocks(), tables.transactions(), tables.receipts(), tables.logs(),
                              prepared.subs.validated, mode)
             out = run_batch(inp, strategy=strategy, decoder=decoder, prepared=prepared)
+            if on_matches is not None:  # decoded and consumed from one evaluation
+                out.held.append(out.matches.persist(StorageLevel.MEMORY_AND_DISK))
             stopped = write_run(out, sink_root, batch_id)
             consume(out, batch_id)
         finally:
+            if out is not None:
+                out.release()
             notices.unpersist()
         if stopped:
             raise BlockNotFound(f"micro-batch {batch_id}: an announced block is missing; run stopped")
