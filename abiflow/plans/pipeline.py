@@ -58,6 +58,10 @@ class ChainInput:
     logs: DataFrame
     subscriptions: DataFrame
     mode: str = B.NUMBER
+    # receipts and logs of a few transactions (a DataFrame with ``tx_hash``),
+    # where the tables' layout can tell their files apart (``Landed.of``)
+    receipts_of: Callable[[DataFrame], DataFrame] | None = None
+    logs_of: Callable[[DataFrame], DataFrame] | None = None
 
 
 @dataclass
@@ -157,12 +161,16 @@ def run_batch(inp: ChainInput, strict: bool = True, strategy: str = M.JOIN,
     if looked.n_announcements <= MICRO_BATCH:
         held.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
         few = rows.count() <= min(FEW_TRANSACTIONS, max_broadcast_rows)
+    receipts, logs = inp.receipts, inp.logs
+    if few:  # read from the files that hold their transactions
+        receipts = inp.receipts_of(rows.select("tx_hash")) if inp.receipts_of else receipts
+        logs = inp.logs_of(rows.select("tx_hash")) if inp.logs_of else logs
     # one evaluation for the gaps and for the rows they leave
-    rows = M.with_receipts(rows, inp.receipts, few).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = M.with_receipts(rows, receipts, few).persist(StorageLevel.MEMORY_AND_DISK)
     held.append(rows)
     kept, receipt_errors = M.receipt_gap_cut(rows, small)
 
-    matches = M.match_logs(kept, inp.logs, p.subs.filters, strategy=strategy, small_filters=small_subs, few=few)
+    matches = M.match_logs(kept, logs, p.subs.filters, strategy=strategy, small_filters=small_subs, few=few)
 
     events = (decoder or decode_mixed)(matches.select(*MATCH_COLUMNS, "data"), p.type_keys)
     blocks = B.whole_blocks(looked.found, transactions, small)

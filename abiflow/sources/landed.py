@@ -28,10 +28,17 @@ import hashlib
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TX_KEYED = ("transactions", "receipts", "logs")
 PLAIN = ("blocks", "subscriptions")
+#: Found by transaction hash, so kept in the index.
+INDEXED = ("receipts", "logs")
+#: Folders that the index of a table is cut into by hash; a lookup of a few
+#: hashes reads as many of them at most.
+INDEX_BUCKETS = 64
 
 
 @dataclass
@@ -59,6 +66,66 @@ class Landed:
         return spark.table(known)
 
 
+    def of(self, spark: SparkSession, name: str, keys: DataFrame) -> DataFrame:
+        """The rows of the files that hold any of the ``tx_hash`` values of
+        ``keys``, which must be few: the index folders of their hashes are
+        read, then the files found.  Files that aren't indexed yet are always
+        among them; a table without an index is read whole."""
+        whole = self.table(spark, name)
+        index, listed = _index_paths(self.root, name)
+        if self.buckets or name not in INDEXED or not _exists(spark, listed):
+            return whole
+        wanted = keys.select(_mark(F.col("tx_hash")).alias("mark")).distinct()
+        buckets = [r["b"] for r in wanted.select(_bucket().alias("b")).distinct().collect()]
+        found = spark.read.parquet(index).where(F.col("bucket").isin(buckets)).join(F.broadcast(wanted), "mark", "left_semi")
+        files = {r["file"] for r in found.select("file").distinct().collect()}
+        known = {r["file"] for r in spark.read.parquet(listed).collect()}
+        there = {os.path.basename(f) for f in whole.inputFiles()}
+        files = sorted(there & files | there - known)
+        if not files:
+            return whole.where(F.lit(False))
+        return spark.read.schema(whole.schema).parquet(*(os.path.join(self.root, name, f) for f in files))
+
+
+def _index_paths(root: str, name: str) -> tuple[str, str]:
+    return os.path.join(root, "index", name), os.path.join(root, "index", f"{name}_files")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).limit(1).collect()
+    except AnalysisException:  # no such folder
+        return False
+    return True
+
+
+def _mark(tx_hash) -> Column:
+    return F.xxhash64(tx_hash)
+
+
+def _bucket() -> Column:
+    return F.pmod("mark", F.lit(INDEX_BUCKETS)).cast("int")
+
+
+def index_files(spark: SparkSession, root: str, name: str, mode: str = "append") -> None:
+    """Bring the index of a landed table up to its files: a row for each file
+    and hash in it.  A file is listed once its rows are written, so a landing
+    that failed in between is made up for by the next."""
+    index, listed = _index_paths(root, name)
+    table = spark.read.parquet(os.path.join(root, name))
+    files = {os.path.basename(f): f for f in table.inputFiles()}
+    if mode == "append" and _exists(spark, listed):
+        for r in spark.read.parquet(listed).collect():
+            files.pop(r["file"], None)
+    if not files:
+        return
+    rows = spark.read.schema(table.schema).parquet(*files.values())
+    file = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    marks = rows.select(_mark(F.col("tx_hash")).alias("mark"), file.alias("file")).distinct().withColumn("bucket", _bucket())
+    marks.repartition("bucket").sortWithinPartitions("bucket", "mark").write.mode(mode).partitionBy("bucket").parquet(index)
+    spark.createDataFrame([(f,) for f in sorted(files)], "file string").coalesce(1).write.mode(mode).parquet(listed)
+
+
 def _bare(path: str) -> str:
     """A path without the local scheme and trailing slashes."""
     return path.removeprefix("file:").replace("//", "/").rstrip("/")
@@ -76,14 +143,19 @@ def _write_bucketed(df: DataFrame, path: str, table: str, buckets: int, mode: st
     writer.option("path", path).saveAsTable(table)
 
 
-def _write_clustered(df: DataFrame, path: str, mode: str) -> None:
-    key = next((c for c in ("block_number", "tx_hash") if c in df.columns), None)
-    if key is not None:
+def _write_clustered(df: DataFrame, path: str, mode: str, transactions: DataFrame | None) -> None:
+    columns = df.columns
+    keys = [c for c in ("block_number", "tx_hash") if c in columns][:1]
+    if keys == ["tx_hash"] and transactions is not None:
+        at = transactions.groupBy("tx_hash").agg(F.min("block_number").alias("_block"))
+        df = df.join(at, "tx_hash", "left")
+        keys = ["_block", "tx_hash"]
+    if keys:
         # no number of partitions: adaptive execution sizes them
-        df = df.repartitionByRange(key).sortWithinPartitions(key)
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*columns)
     writer = df.write.mode(mode).option("parquet.bloom.filter.adaptive.enabled", "true")
     for c in ("tx_hash", "block_hash"):  # looked up by value
-        if c in df.columns:
+        if c in columns:
             writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     writer.parquet(path)
 
@@ -96,7 +168,9 @@ def land(tables: dict[str, DataFrame], root: str, buckets: int | None = None,
     for name, df in tables.items():
         path = os.path.join(root, name)
         if not (buckets and name in TX_KEYED):
-            _write_clustered(df, path, mode)
+            _write_clustered(df, path, mode, tables.get("transactions") if name in INDEXED else None)
+            if name in INDEXED:
+                index_files(df.sparkSession, root, name, mode)
             continue
         if mode == "append":
             landed.table(df.sparkSession, name)  # declared, also in a new session

@@ -27,6 +27,7 @@ from ..operators import blocks as B
 from ..operators import match as M
 from ..operators.decode_events import Decoder
 from ..plans.pipeline import ChainInput, PreparedSubscriptions, RunOutput, prepare_subscriptions, run_batch
+from ..sources.landed import Landed
 from ..sources.sinks import write_run
 
 NUMBER_NOTICE_SCHEMA = T.StructType(
@@ -54,6 +55,16 @@ class StaticTables:
     transactions: Callable[[], DataFrame]
     receipts: Callable[[], DataFrame]
     logs: Callable[[], DataFrame]
+    # those of a few transactions only, see ``ChainInput``
+    receipts_of: Callable[[DataFrame], DataFrame] | None = None
+    logs_of: Callable[[DataFrame], DataFrame] | None = None
+
+
+def landed_tables(spark: SparkSession, landed: Landed) -> StaticTables:
+    """The landed tables, receipts and logs by the files' index."""
+    table = lambda name: lambda: landed.table(spark, name)
+    of = lambda name: lambda keys: landed.of(spark, name, keys)
+    return StaticTables(table("blocks"), table("transactions"), table("receipts"), table("logs"), of("receipts"), of("logs"))
 
 
 def notice_schema(mode: str) -> T.StructType:
@@ -110,7 +121,7 @@ def batch_runner(tables: StaticTables, prepared: PreparedSubscriptions, sink_roo
         out = None
         try:
             inp = ChainInput(notices, tables.blocks(), tables.transactions(), tables.receipts(), tables.logs(),
-                             prepared.subs.validated, mode)
+                             prepared.subs.validated, mode, tables.receipts_of, tables.logs_of)
             out = run_batch(inp, strategy=strategy, decoder=decoder, prepared=prepared)
             if on_matches is not None:  # decoded and consumed from one evaluation
                 out.held.append(out.matches.persist(StorageLevel.MEMORY_AND_DISK))

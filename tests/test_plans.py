@@ -127,3 +127,47 @@ def test_landed_roots_do_not_share_a_table(spark):
     spark.sql(f"CREATE TABLE {Landed(a, 3, 'chain').known('receipts')} (tx_hash STRING) USING parquet LOCATION '{b}/receipts'")
     with pytest.raises(RuntimeError, match="not in"):
         Landed(a, 3, "chain").table(spark, "receipts")
+
+
+def appended(spark, root, parts):
+    """Blocks landed in several appends; returns the layout."""
+    inp = history(spark, 12 * parts)
+    inp.logs = inp.logs.withColumn("log_index", inp.logs.log_index)
+    for k in range(parts):
+        lo, hi = 12 * k, 12 * (k + 1)
+        here = {n: getattr(inp, n).where(f"block_number >= {lo} and block_number < {hi}") for n in ("blocks", "transactions")}
+        mine = here["transactions"].select("tx_hash")
+        here |= {n: getattr(inp, n).join(mine, "tx_hash", "left_semi") for n in ("receipts", "logs")}
+        landed = land(here, root, mode="append" if k else "overwrite")
+    return inp, landed
+
+
+def test_a_run_of_one_block_reads_as_much_of_any_history(spark):
+    sizes = {}
+    for parts in (2, 6):
+        inp, landed = appended(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"), parts)
+        keys = spark.createDataFrame([(f"t7_{i}",) for i in range(6)], "tx_hash string")
+        files = [f for name in ("receipts", "logs") for f in landed.of(spark, name, keys).inputFiles()]
+        sizes[parts] = sum(os.path.getsize(f.removeprefix("file://")) for f in files)
+        whole = [f for name in ("receipts", "logs") for f in landed.table(spark, name).inputFiles()]
+        assert len(files) < len(whole)
+        used = ChainInput(inp.notices, *(landed.table(spark, n) for n in ("blocks", "transactions", "receipts", "logs")), inp.subscriptions,
+                          receipts_of=lambda k, l=landed: l.of(spark, "receipts", k), logs_of=lambda k, l=landed: l.of(spark, "logs", k))
+        key = lambda df: sorted(map(str, df.drop("params").collect()))
+        assert key(run_batch(used).events) == key(run_batch(inp).events) != []
+        none = spark.createDataFrame([("nowhere",)], "tx_hash string")
+        assert landed.of(spark, "logs", none).count() == 0
+    assert sizes[6] <= 1.05 * sizes[2]
+
+
+def test_files_that_are_not_indexed_are_read(spark):
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    inp, landed = appended(spark, root, 2)
+    # filed late, by a writer that knows no index
+    inp.receipts.where("tx_hash = 't7_0'").limit(1).selectExpr("'late' AS tx_hash").coalesce(1).write.mode("append").parquet(f"{root}/receipts")
+    late = spark.createDataFrame([("late",)], "tx_hash string")
+    assert landed.of(spark, "receipts", late).where("tx_hash = 'late'").count() == 1
+    land({"receipts": late.selectExpr("'later' AS tx_hash")}, root, mode="append")  # lists both
+    assert len(landed.of(spark, "receipts", late).inputFiles()) == 1
+    land({"receipts": late}, root)  # anew: the old files are forgotten
+    assert landed.of(spark, "receipts", late).count() == 1 and landed.of(spark, "receipts", inp.transactions.limit(3)).count() == 0
