@@ -5,7 +5,9 @@ its smaller neighbours to their smallest; edges end as one star per
 component after a number of rounds that grows with the logarithm of the
 graph's size.  Rounds are joins and aggregates over the edges, whose
 per-node minimum combines before the shuffle; a round's edges are cut from
-their lineage by ``checkpoint()`` in the shared folder.
+their lineage by ``checkpoint()`` in the shared folder.  The few nodes that
+hold a thousandth of a round's edges or more (so at most ``2 * HOT`` of them)
+are joined by broadcast, so that no centre's edges come together in one task.
 """
 
 from __future__ import annotations
@@ -16,20 +18,32 @@ from pyspark.sql import functions as F
 from .common import checkpointed
 
 
-def _towards_least(e: DataFrame) -> DataFrame:
-    """e(u, v) with the least v of each u, and of u itself, as m."""
-    least = e.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("x")).select("k", F.least("k", "x").alias("m"))
-    return e.join(least, F.col("u") == F.col("k")).select("u", "v", "m")
+#: A node is hot from 1 / HOT of the edges on, and ``LEAST_HOT`` of them.
+HOT = 1000
+LEAST_HOT = 1000
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _towards_least(e: DataFrame, n: int) -> DataFrame:
+    """e(u, v) with the least v of each u, and of u itself, as m; n: edges."""
+    least = e.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("x"), F.count(F.lit(1)).alias("n"))
+    least = least.select("k", F.least("k", "x").alias("m"), (F.col("n") >= max(LEAST_HOT, n // HOT)).alias("hot"))
+    if n < LEAST_HOT:
+        return e.join(least, F.col("u") == F.col("k")).select("u", "v", "m")
+    least = checkpointed(least)
+    hot = F.broadcast(least.where("hot"))
+    some = e.join(hot, F.col("u") == F.col("k")).select("u", "v", "m")
+    rest = e.join(hot, F.col("u") == F.col("k"), "left_anti").join(least.where("NOT hot"), F.col("u") == F.col("k")).select("u", "v", "m")
+    return some.union(rest)
+
+
+def _large_star(e: DataFrame, n: int) -> DataFrame:
     both = e.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
-    return _towards_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _towards_least(both, n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, n: int) -> DataFrame:
     down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    out = _towards_least(down)
+    out = _towards_least(down, n)
     star = out.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
     return star.where("u <> v").distinct()
 
@@ -45,7 +59,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     e = checkpointed(e)
     state = _state(e)
     while state[0]:
-        e = checkpointed(_small_star(_large_star(e)))
+        # (large-star's edges are used twice)
+        e = checkpointed(_large_star(e, state[0]))
+        e = checkpointed(_small_star(e, state[0]))
         before, state = state, _state(e)
         if state == before:
             break

@@ -38,7 +38,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import checkpointed, scratch
 from .components import components
@@ -48,8 +47,6 @@ from .textbytes import LOWER, U64, WHITE_SPACE, chunks, hash_spans, mix, ngrams,
 #: most so many of them (8 MB for every task); this bounds memory, not results.
 FREQUENT_FROM = 32
 FREQUENT = 1_000_000
-#: Parts that a frequent prefix n-gram's texts are dealt to.
-SALTS = 64
 #: Sets that share a prefix n-gram, up to which their pairs are tested one by
 #: one; beyond, the block tasks test them all.
 PAIRED = 32
@@ -143,8 +140,8 @@ def _frequent(texts: DataFrame, n: int, percent: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, fp, keys (the prefix in global order) and bits (the
-    parity bitmap), both given once for equal sets of a task."""
+    """doc_id, text_hash, n_shingles, fp, keys (the prefix in global order) and
+    bits (the parity bitmap), both given once for equal sets of a task."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -152,7 +149,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Da
         last, told = shared.value, set()
         for b in batches:
             size, fps, keys, bits = [], [], [], []
-            for _, grams in shingle_sets(b.column(1), n):
+            for _, grams in shingle_sets(b.column(2), n):
                 size.append(len(grams))
                 fps.append(fingerprint(grams))
                 key, bit = grams[:0], None
@@ -167,11 +164,12 @@ def _prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Da
                 keys.append(key.view(np.int64))
                 bits.append(bit)
             yield pa.record_batch(
-                [b.column(0), pa.array(size, pa.int64()), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                names=["doc_id", "n_shingles", "fp", "keys", "bits"],
+                [b.column(0), b.column(1), pa.array(size, pa.int64()), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "fp", "keys", "bits"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles bigint, fp bigint, keys array<bigint>, bits binary")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, fp bigint, keys array<bigint>, bits binary")
 
 
 def _among(grams: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -184,18 +182,13 @@ def _among(grams: np.ndarray, table: np.ndarray) -> np.ndarray:
 def _families(sets: DataFrame, frequent: DataFrame, percent: int) -> DataFrame:
     """(fp, family) of all sets that may link with another."""
     keys = sets.select("fp", F.col("n_shingles").cast("int").alias("n"), F.explode("keys").alias("key"))
-    # the texts of a frequent n-gram are dealt to SALTS groups
-    keys = keys.join(F.broadcast(frequent), "key", "left")
-    keys = keys.withColumn("part", F.when(F.col("often"), F.pmod(F.xxhash64("fp"), F.lit(SALTS))).otherwise(0))
-    group = Window.partitionBy("key", "part")
-    held = keys.withColumn("hub", F.min("fp").over(group)).withColumn("far", F.max("fp").over(group)).withColumn("rows", F.count(F.lit(1)).over(group))
-    held = held.where(F.col("often") | (F.col("hub") != F.col("far")))
-    held = checkpointed(held.select("fp", "n", "hub", "key", (F.col("often").isNotNull() | (F.col("rows") > PAIRED)).alias("star"), "often"))
-    stars = held.where("star")
-    # the groups of one frequent n-gram are joined at their hubs
-    hubs = stars.where("often").select("key", "hub").distinct()
-    least = hubs.groupBy(F.col("key").alias("k")).agg(F.min("hub").alias("top"))
-    across = hubs.join(least, F.col("key") == F.col("k")).select("hub", "top")
+    # counted in each task before the shuffle, so a passage that very many
+    # texts share is one row a task; texts that share nothing go here
+    group = keys.groupBy("key").agg(F.min("fp").alias("hub"), F.max("fp").alias("far"), F.count(F.lit(1)).alias("rows"))
+    group = group.where("hub <> far").join(F.broadcast(frequent), "key", "left")
+    group = group.select("key", "hub", (F.col("often").isNotNull() | (F.col("rows") > PAIRED)).alias("star"))
+    held = checkpointed(keys.join(group, "key").select("fp", "n", "hub", "key", "star"))
+    stars = held.where("star").where("fp <> hub")
     # pairs of the few sets that share an n-gram, larger set first
     few = held.where("not star").groupBy("key").agg(F.sort_array(F.collect_set(F.struct("n", "fp")), asc=False).alias("sets"))
     small = F.filter(F.slice("sets", F.col("pos") + 2, PAIRED), lambda x: x["n"] * 100 >= F.col("a")["n"] * percent)
@@ -212,7 +205,7 @@ def _families(sets: DataFrame, frequent: DataFrame, percent: int) -> DataFrame:
             yield b.select([0, 1]).filter(pa.array(diff <= most))
 
     pairs = pairs.select("fp_a", "fp_b", "n", "bits_a", "bits_b").mapInArrow(alike, "fp_a bigint, fp_b bigint")
-    edges = stars.select("fp", "hub").union(across).union(pairs)
+    edges = stars.select("fp", "hub").union(pairs)
     return components(edges, "fp", "hub").select(F.col("node").alias("fp"), F.col("root").alias("family"))
 
 
@@ -224,7 +217,7 @@ def _size_class(n: F.Column, percent: int) -> F.Column:
 def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
     """(fp, other, links): a spanning forest of the links of each task, and
     at other = fp the number of rows a set links with in that task.
-    nodes: fp, family, doc_id of one of its texts, copies, n_shingles."""
+    nodes: fp, family, text_hash of one of its texts, copies, n_shingles."""
     nodes = nodes.withColumn("size_class", _size_class(F.col("n_shingles"), percent))
     whole = nodes.groupBy("family").agg(F.sum("n_shingles").alias("grams"), F.count(F.lit(1)).alias("sets"))
     per = nodes.groupBy("family", "size_class").agg(F.sum("n_shingles").alias("grams"), F.count(F.lit(1)).alias("sets"))
@@ -249,16 +242,20 @@ def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame
     down = F.when(F.col("below").isNotNull(), F.transform(F.sequence(F.lit(0), F.col("below") - 1), lambda j: task(c - 1, j, c, own))).otherwise(none)
     minus = F.lit(-1)
     tasks = F.when(F.col("large"), F.concat(same, up, down)).otherwise(F.array(task(minus, minus, minus, minus)))
-    rows = rows.select("fp", "doc_id", "copies", F.concat(F.when(F.col("large"), c).otherwise(-1), F.lit(":"), F.when(F.col("large"), own).otherwise(-1)).alias("mine"), "family", tasks.alias("tasks"))
+    rows = rows.select("fp", "text_hash", "copies", F.concat(F.when(F.col("large"), c).otherwise(-1), F.lit(":"), F.when(F.col("large"), own).otherwise(-1)).alias("mine"), "family", tasks.alias("tasks"))
 
     few = rows.count() <= BROADCAST_ROWS
-    texts = docs.select(F.col("doc_id").alias("_id"), "text")
-    rows = texts.join(F.broadcast(rows) if few else rows, F.col("_id").eqNullSafe(F.col("doc_id")))
+    # one text is read for each set, whatever its doc_id; copies go before
+    # the texts are moved
+    wanted = rows.select("fp", "text_hash")
+    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").where("text IS NOT NULL")
+    texts = texts.join(F.broadcast(wanted) if few else wanted, "text_hash").select("fp", "text").dropDuplicates(["fp"])
+    rows = texts.join(rows, "fp")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             grams = [g for _, g in shingle_sets(b.column(0), n)]
-            # a doc_id may stand on several rows: take the row of this set
+            # (two texts of one hash: take the one of this set)
             keep = [k for k, (g, fp) in enumerate(zip(grams, b.column(1).to_pylist(), strict=True)) if fingerprint(g) == fp]
             part = b.take(pa.array(keep, pa.int64()))
             yield pa.record_batch([*part.columns[1:], pa.array([grams[k].view(np.int64) for k in keep], pa.list_(pa.int64()))], names=["fp", "copies", "mine", "family", "tasks", "grams"])
@@ -269,7 +266,7 @@ def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame
 
     def link(table: pa.Table) -> pa.Table:
         fp, once = np.unique(table.column("fp").to_numpy(), return_index=True)
-        table = table.take(pa.array(once))  # a repeated row may bring a set twice
+        table = table.take(pa.array(once))
         grams = [x.values.to_numpy().view(U64) for x in table.column("grams")]
         task = table.column("task")[0].as_py()
         sides = table.column("mine").to_pylist()
@@ -363,7 +360,7 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     late = spark.createDataFrame(pa.table({"key": pa.array(frequent.view(np.int64)), "often": pa.array(np.ones(len(frequent), bool))}))
     family = checkpointed(_families(sets, late, percent))
     # one row per set, counted in each task before the shuffle
-    by_set = sets.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"))
+    by_set = sets.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"))
     by_set = checkpointed(by_set)
     links = checkpointed(_links(docs, by_set.join(family, "fp"), n, percent))
     classes = components(links, "fp", "other").select(F.col("node").alias("fp"), "root")
