@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abiflow.llm import decontaminate, jaccard, langid, packing, pii
-from abiflow.llm.common import checkpointed, numbered, scratch, table
+from abiflow.llm.common import checkpointed, fresh, numbered, scratch, table
 from abiflow.llm.token_ids import public_path
 
 #: Texts whose best language needs more bits a byte than this, or has no
@@ -32,14 +32,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each class of texts that share 80 % of their five-word n-grams the
     row with the smallest doc_id stays (null last; of equal ids the first
     row).  Rows are told apart by a number of their own."""
-    rows = numbered(docs, "_row")
-    classes = jaccard.jaccard_classes(rows.select(F.col("_row").alias("doc_id"), "text"), n=5, percent=80)
-    linked = classes.where("n_links > 0").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_class"))
-    linked = checkpointed(rows.select("_row", "doc_id").join(linked, "_row"))
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
-    stay = linked.groupBy("_class").agg(least.alias("least")).select(F.col("least._row").alias("_row"))
-    gone = linked.select("_row").join(stay, "_row", "left_anti")
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    row = fresh(docs, "_row")
+    rows = numbered(docs, row)
+    of = rows.select(F.col(row).alias("row"), "doc_id")
+    classes = jaccard.jaccard_classes(rows.select(F.col(row).alias("doc_id"), "text"), n=5, percent=80)
+    linked = classes.where("n_links > 0").select(F.col("doc_id").alias("row"), F.col("component_id").alias("class"))
+    linked = checkpointed(of.join(linked, "row"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    stay = linked.groupBy("class").agg(least.alias("least")).select(F.col("least.row").alias("row"))
+    gone = linked.select("row").join(stay, "row", "left_anti").select(F.col("row").alias(row))
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def benchmark_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
