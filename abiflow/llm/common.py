@@ -34,6 +34,18 @@ def numbered(df: DataFrame, column: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+#: Texts that a Python worker gets at a time: whole texts can be long.
+BATCH_ROWS = 1_000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches, on both sides of a Python worker,
+    where they aren't smaller already."""
+    if not 0 < int(spark.conf.get(_BATCH_CONF)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read from there."""
     shared_dir(df.sparkSession)  # names the folder to the context
