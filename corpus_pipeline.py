@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abiflow.llm import decontaminate, jaccard, langid, packing, pii
-from abiflow.llm.common import checkpointed, fresh, numbered, scratch, table
+from abiflow.llm.common import checkpointed, fresh, numbered, scratch, small_batches, table
 from abiflow.llm.token_ids import public_path
 
 #: Texts whose best language needs more bits a byte than this, or has no
@@ -22,6 +22,7 @@ MOST_BITS = 6.0
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no known language; ``lang`` becomes the language
     found.  Trees are counted on labelled texts of this stage's input."""
+    small_batches(spark)
     trees = langid.train(langid.sample(docs, F.lit(True)))
     found = langid.with_language(docs, trees)
     kept = found.where((F.col("_language.lang_pred") != langid.UNKNOWN) & (F.col("_language.bits_per_byte") <= MOST_BITS))
@@ -32,6 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each class of texts that share 80 % of their five-word n-grams the
     row with the smallest doc_id stays (null last; of equal ids the first
     row).  Rows are told apart by a number of their own."""
+    small_batches(spark)
     row = fresh(docs, "_row")
     rows = numbered(docs, row)
     of = rows.select(F.col(row).alias("row"), "doc_id")
@@ -51,6 +53,7 @@ def benchmark_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces identifiers in the texts by their kind."""
+    small_batches(spark)
     clean = pii.redacted(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -59,6 +62,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into windows of 2048 ids."""
+    small_batches(spark)
     return packing.pack_documents(docs, public_path("byte_bpe_50k.json"))
 
 
