@@ -281,13 +281,17 @@ def decode_frame(df: DataFrame, types, data_col: str = "data") -> DataFrame:
 
     Parameters holding arrays are decoded first into one ``struct<v, e>``
     column each, so their element decoders run once per row; then the error
-    is computed once as a column; then each value is masked by a reference
-    to it."""
+    is computed once as a column, and each value only where it is NULL: in
+    plain projections, which share common parts and leave out the values of
+    rows that failed.  The result then passes a generator of one row, so that
+    a filter on it isn't copied below it (see ``once``)."""
     if types and isinstance(types[0], str):
         types = parse_type_list(types)
     packs, values, error, masked = compiled(("frame", tuple(t.name for t in types), data_col),
                                             lambda: _frame_columns(types, data_col))
-    return once(once(df, packs), [*values, error]).select(*df.columns, *masked, "error")
+    read = df.select("*", *packs).select("*", *values, error)
+    decoded = read.select(*df.columns, F.struct(*masked, "error").alias("_decoded"))
+    return decoded.select(*df.columns, F.inline(F.array("_decoded")))
 
 
 def _frame_columns(types, data_col: str):

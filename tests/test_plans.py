@@ -8,6 +8,7 @@ import tempfile
 
 import pytest
 
+from abiflow.functions.decode import decode_frame
 from abiflow.operators import blocks as B
 from abiflow.plans.pipeline import ChainInput, run_batch
 from abiflow.sources.landed import Landed, land
@@ -171,3 +172,17 @@ def test_files_that_are_not_indexed_are_read(spark):
     assert len(landed.of(spark, "receipts", late).inputFiles()) == 1
     land({"receipts": late}, root)  # anew: the old files are forgotten
     assert landed.of(spark, "receipts", late).count() == 1 and landed.of(spark, "receipts", inp.transactions.limit(3)).count() == 0
+
+
+def test_a_payload_is_decoded_once_below_a_filter_on_the_result(spark, tmp_path):
+    rows = [(k, payload(k)) for k in range(8)] + [(8, b"\x00" * 40)]
+    spark.createDataFrame(rows, "k int, data binary").write.parquet(str(tmp_path / "payloads"))
+    out = decode_frame(spark.read.parquet(str(tmp_path / "payloads")), ["uint256", "bytes"])
+    whole = plan_of(out).count("conv(")
+    for kept in (out.where("error IS NULL"), out.where("p0 > 2"), out.where("error IS NOT NULL AND k > 3")):
+        # the filter's own scan conditions aside, nothing is decoded again
+        assert plan_of(kept).count("conv(") <= whole
+    assert "GreaterThan(k,3)" in plan_of(out.where("error IS NULL AND k > 3"))
+    assert sorted(r["k"] for r in out.where("error IS NOT NULL").collect()) == sorted(
+        r["k"] for r in out.collect() if r["error"] is not None)
+    assert all(r["p0"] is None and r["p1"] is None for r in out.where("error IS NOT NULL").collect())
