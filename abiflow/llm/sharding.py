@@ -1,9 +1,10 @@
 """Shards along a Hilbert curve through several metadata dimensions.
 
 Each document gets a cell: language, source and size, each quantised to
-``2**BITS`` steps (names by hash, the size by its binary logarithm), and the
-cell its place on the Hilbert curve, so that neighbours on the curve are
-neighbours in every dimension.  Documents sorted by that index (then by text
+``2**BITS`` steps in its own order (names by their place among the distinct
+names, up to that many told apart, more in quantiles; the size by its binary
+logarithm), and the cell its place on the Hilbert curve, so that neighbours
+on the curve are neighbours in every dimension.  Documents sorted by that index (then by text
 and doc_id) are cut into runs of equal length, one for each shard: shard
 ``k`` of ``K`` holds the ranks from ceil(k * N / K) on, so counts differ by
 one at most.  A reader that wants one language, source or size range skips
@@ -17,12 +18,15 @@ copy bucket), each level's running sum inside the one above it; no sort or
 window ever sees all rows, and a text that a third of all rows share is
 ranked in ``2**COPY_BITS`` parts.
 
-Null or empty text: 0 bytes; null names are a name of their own.  Repeated
+Null or empty text: 0 bytes; a null name counts as the empty one.  Repeated
 rows get places of their own.  No rows: no rows.
 """
 
 from __future__ import annotations
 
+import os.path
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,6 +35,9 @@ BITS = 4
 DIMENSIONS = 3
 TEXT_BUCKETS = 1024
 COPY_BITS = 8
+#: Bytes of a name, behind those that all names begin with, by which names
+#: are told apart: as many as a double holds exactly.
+NAME_BYTES = 6
 LAW = "rows"
 
 
@@ -72,8 +79,32 @@ def curve_table() -> list[tuple[int, int]]:
     return [((a * side + b) * side + c, curve_index((a, b, c), BITS)) for a in range(side) for b in range(side) for c in range(side)]
 
 
-def _step(name: Column) -> Column:
-    return F.pmod(F.crc32(F.coalesce(name, F.lit("")).cast("binary")), F.lit(1 << BITS))
+def _number(name: Column, skip: int) -> Column:
+    """The ``NAME_BYTES`` bytes of a name behind its first ``skip`` as a number
+    in the order of the names; -1 for the empty name."""
+    head = F.substring(name.cast("binary"), skip + 1, NAME_BYTES)
+    number = F.conv(F.rpad(F.hex(head), 2 * NAME_BYTES, "0"), 16, 10).cast("double")
+    return F.when(name == "", F.lit(-1.0)).otherwise(number)
+
+
+def name_cuts(docs: DataFrame) -> list[tuple[int, list[float]]]:
+    """For language and source the bytes that all names begin with, and the
+    numbers that part the distinct names into ``2**BITS`` steps.  The driver
+    gets four names and 2 * (2**BITS - 1) numbers."""
+    sides = [F.nullif(F.col(c), F.lit("")) for c in ("lang", "source")]
+    ends = docs.agg(*(f(c).alias(f"{n}{k}") for k, c in enumerate(sides) for n, f in (("least", F.min), ("most", F.max)))).first()
+    skips = [len(os.path.commonprefix([(ends[f"least{k}"] or "").encode(), (ends[f"most{k}"] or "").encode()])) for k in (0, 1)]
+    each = F.array(*(F.struct(F.lit(k).alias("side"), F.coalesce(c, F.lit("")).alias("name")) for k, c in enumerate(sides)))
+    names = docs.select(F.explode(each).alias("n")).select("n.*").distinct()
+    number = F.when(F.col("side") == 0, _number(F.col("name"), skips[0])).otherwise(_number(F.col("name"), skips[1]))
+    shares = [k / (1 << BITS) for k in range(1, 1 << BITS)]
+    rows = names.groupBy("side").agg(F.percentile_approx(number, shares, 10_000).alias("cuts")).collect()
+    cuts = {r["side"]: r["cuts"] for r in rows}
+    return [(skips[k], cuts.get(k, [])) for k in (0, 1)]
+
+
+def _step(number: Column, cuts: list[float]) -> Column:
+    return reduce(lambda a, b: a + b, [(number > F.lit(c)).cast("bigint") for c in cuts], F.lit(0).cast("bigint"))
 
 
 def _size_step(size: Column) -> Column:
@@ -92,6 +123,7 @@ def hilbert_shards(docs: DataFrame, shards: int = 24, keep: list[str] | None = N
     with struct column ``_place``: size, text_crc32, curve, shard, slot."""
     spark: SparkSession = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
+    (lang_skip, lang_cuts), (source_skip, source_cuts) = name_cuts(docs)
     keyed = docs.select(
         F.struct(*(docs.columns if keep is None else keep)).alias("_row"),
         "doc_id",
@@ -106,12 +138,15 @@ def hilbert_shards(docs: DataFrame, shards: int = 24, keep: list[str] | None = N
     # adaptive join can split the part that a much copied text fills
     named = named.select(F.reverse("text_id").alias("copy_key"), "cell_names")
     keyed = keyed.withColumn("copy_key", F.reverse("text_id")).join(named, "copy_key")
-    cell = (_step(F.col("cell_names.lang")) * (1 << BITS) + _step(F.col("cell_names.source"))) * (1 << BITS) + _size_step(F.col("size"))
+    keyed = keyed.withColumn("lang_number", _number(F.col("cell_names.lang"), lang_skip))
+    keyed = keyed.withColumn("source_number", _number(F.col("cell_names.source"), source_skip)).drop("cell_names", "names")
+    cell = (_step(F.col("lang_number"), lang_cuts) * (1 << BITS) + _step(F.col("source_number"), source_cuts)) * (1 << BITS) + _size_step(F.col("size"))
     curve = spark.createDataFrame(curve_table(), "cell bigint, curve int")
     keyed = (
         keyed.withColumn("cell", cell.cast("bigint")).join(F.broadcast(curve), "cell")
         .withColumn("bucket", F.pmod("crc", F.lit(TEXT_BUCKETS)).cast("int"))
         .withColumn("part", F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(1 << COPY_BITS)).cast("int"))
+        .drop("lang_number", "source_number")
     )
     levels = ["curve", "bucket", "text_id", "part"]
     # dealt anew by all levels, so that the join above can split a text that

@@ -78,6 +78,36 @@ def test_manifest_and_files(spark, small):
     assert {r["shard"]: r["n_rows"] for r in sharding.manifest(placed).collect()} == {r["shard"]: r["count"] for r in back.groupBy("shard").count().collect()}
 
 
+def test_names_keep_their_order_in_the_cells(spark):
+    names = ["", "corpus/a", "corpus/b", "corpus/ba", "corpus/z"]
+    docs = spark.createDataFrame([(k, "t", lang, s) for k, (lang, s) in enumerate((a, b) for a in ("de", "en", "es", "fr", None) for b in names)], "doc_id int, text string, lang string, source string")
+    for column, (skip, cuts) in zip(("lang", "source"), sharding.name_cuts(docs)):
+        name = F.coalesce(column, F.lit(""))
+        step = {r[0]: r[1] for r in docs.select(name, sharding._step(sharding._number(name, skip), cuts)).distinct().collect()}
+        assert len(set(step.values())) == 5 and [step[k] for k in sorted(step)] == sorted(step.values())
+    many = spark.range(4000).select(F.lit("x").alias("lang"), F.format_string("site%04d", "id").alias("source"))
+    skip, cuts = sharding.name_cuts(many)[1]
+    n = Counter(r[0] for r in many.select(sharding._step(sharding._number(F.col("source"), skip), cuts)).collect())
+    assert set(n) == set(range(16)) and max(n.values()) <= 252
+
+
+def test_a_reader_skips_shards_by_the_manifest(spark, small):
+    placed = sharding.hilbert_shards(small, 24)
+    ends = {r["shard"]: r for r in sharding.manifest(placed).collect()}
+    held = {(r["lang"], r["source"], r["shard"]) for r in placed.select("lang", "source", "_place.shard").distinct().collect()}
+    read, fewest = {"lang": [], "source": []}, {"lang": [], "source": []}
+    for column, at in (("lang", 0), ("source", 1)):
+        for value in {h[at] for h in held} - {None}:
+            of = {k for k, e in ends.items() if e[f"least_{column}"] is not None and e[f"least_{column}"] <= value <= e[f"most_{column}"]}
+            need = {h[2] for h in held if h[at] == value}
+            assert need <= of  # no row is lost
+            read[column].append(len(of))
+            fewest[column].append(len(need))
+    # shards read on average; with names hashed to cells 12.25 and 17.6
+    assert sum(read["lang"]) / len(read["lang"]) <= 12, (read, fewest)
+    assert sum(read["source"]) / len(read["source"]) <= 12, (read, fewest)
+
+
 def test_a_shared_text_is_ranked_in_parts(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("hot text")).otherwise(F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"), F.lit(None).cast("string").alias("source"))
     n = Counter(r["shard"] for r in sharding.hilbert_shards(docs, 24).select("_place.shard").collect())
