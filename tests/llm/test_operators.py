@@ -91,6 +91,14 @@ def test_names_keep_their_order_in_the_cells(spark):
     assert set(n) == set(range(16)) and max(n.values()) <= 252
 
 
+def test_shards_of_no_rows_and_of_odd_names(spark, nothing):
+    assert sharding.hilbert_shards(nothing, 24).count() == 0
+    rows = [(None, None, None, None), (1, "a", None, None), (1, "a", "", None), (2, "", "é", "日本"), (3, "b", "é", "日本x")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string, source string")
+    placed = sharding.hilbert_shards(docs, 2).select("_place.shard", "_place.slot").collect()
+    assert sorted(tuple(r) for r in placed) == [(0, 0), (0, 1), (0, 2), (1, 0), (1, 1)]
+
+
 def test_a_reader_skips_shards_by_the_manifest(spark, small):
     placed = sharding.hilbert_shards(small, 24)
     ends = {r["shard"]: r for r in sharding.manifest(placed).collect()}
