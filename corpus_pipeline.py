@@ -24,9 +24,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found.  Trees are counted on labelled texts of this stage's input."""
     small_batches(spark)
     trees = langid.train(langid.sample(docs, F.lit(True)))
-    found = langid.with_language(docs, trees)
-    kept = found.where((F.col("_language.lang_pred") != langid.UNKNOWN) & (F.col("_language.bits_per_byte") <= MOST_BITS))
-    return kept.withColumn("lang", F.col("_language.lang_pred")).select(*docs.columns)
+    name = fresh(docs, "_language")
+    found = langid.with_language(docs, trees, name)
+    kept = found.where((F.col(f"{name}.lang_pred") != langid.UNKNOWN) & (F.col(f"{name}.bits_per_byte") <= MOST_BITS))
+    return kept.withColumn("lang", F.col(f"{name}.lang_pred")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
