@@ -50,16 +50,19 @@ def _latin(text: str) -> bool:
 
 class Encoder:
     """``layout``: BYTE_LEVEL keeps white space in the ids, WORD_ENDS drops
-    it.  ``remembered`` bounds the words kept; beyond it the rarer half and
-    all words met only once are forgotten."""
+    it.  Words are kept from one call to the next, beyond ``remembered`` of
+    them, or ``characters`` in all, only the more frequent half that was met
+    twice; words longer than ``longest`` and texts that can't be cut are
+    never kept, so what a worker holds is bounded whatever the texts."""
 
-    def __init__(self, path: str, layout: str, end_id: int = 1, remembered: int = 700_000) -> None:
+    def __init__(self, path: str, layout: str, end_id: int = 1, remembered: int = 700_000, characters: int = 16_000_000, longest: int = 256) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.layout, self.end_id, self.remembered = layout, end_id, remembered
+        self.characters, self.longest, self.held = characters, longest, 0
         # what stands between words that are tokenized in one go, and its id
         self.between = " \0 " if layout == WORD_ENDS else "\n"
         (self.between_id,) = self._ids(self.between)
@@ -80,9 +83,24 @@ class Encoder:
         self.flat = self.flat[np.repeat(kept, lengths)]
         self.at = np.concatenate([[0], np.cumsum(lengths[kept])])
         self.met = np.where(self.met[kept] > 1 << 60, self.met[kept], 1)
-
-    def _learn(self, words: list[str], whole: set[str]) -> None:
-        """New words go through the tokenizer together, whole texts alone."""
+        self.held = sum(len(w) for w in self.code if w)
+
+    def _learn(self, words: list[str], whole: set[str]) -> int:
+        """New words go through the tokenizer together, whole texts alone.
+        Returns how many of the codes are to be kept; the rest, the last
+        ones, are of whole texts and long words."""
+        passing = [w for w in words if w in whole or len(w) > self.longest]
+        if passing:
+            drop = set(passing)
+            words = [w for w in words if w not in drop]
+        stay = len(self.at) - 1 + len(words)
+        self.held += sum(map(len, words))
+        for part in (words, passing):
+            if part:
+                self._add(part, whole)
+        return stay
+
+    def _add(self, words: list[str], whole: set[str]) -> None:
         alone = [w for w in words if w in whole or w.isspace()]
         words = [w for w in words if w not in whole and not w.isspace()]
         flat, lengths = [], []
@@ -104,6 +122,14 @@ class Encoder:
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(lengths)])
         self.met = np.concatenate([self.met, np.zeros(len(words), np.int64)])
 
+    def _drop(self, stay: int) -> None:
+        """Forgets all codes from ``stay`` on."""
+        if stay < len(self.at) - 1:
+            while len(self.code) > stay:
+                self.code.popitem()  # the last that was added
+            # copies: a view would hold what is dropped
+            self.flat, self.at, self.met = self.flat[: self.at[stay]].copy(), self.at[: stay + 1].copy(), self.met[:stay].copy()
+
     def pieces(self, text: str) -> list[str] | None:
         """The text cut into words; None if it must stay whole."""
         odd = _ODD.search(text)
@@ -120,7 +146,7 @@ class Encoder:
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in turn, each text's followed by ``end_id``; and where
         each text begins among them (one more entry: the end)."""
-        if len(self.code) > self.remembered:
+        if len(self.code) > self.remembered or self.held > self.characters:
             self._forget()
         pieces: list[str | None] = []
         until = []
@@ -135,8 +161,9 @@ class Encoder:
             until.append(len(pieces))
         codes = np.fromiter(map(self.code.get, pieces, repeat(-1)), np.int64, len(pieces))
         unknown = np.flatnonzero(codes < 0).tolist()
+        stay = len(self.at) - 1
         if unknown:
-            self._learn(list(dict.fromkeys(pieces[k] for k in unknown)), whole)
+            stay = self._learn(list(dict.fromkeys(pieces[k] for k in unknown)), whole)
             codes[unknown] = [self.code[pieces[k]] for k in unknown]
         self.met[2:] += np.bincount(codes, minlength=len(self.met))[2:]
         begins = self.at[codes]
@@ -144,4 +171,5 @@ class Encoder:
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.flat[np.repeat(begins - (ends - lengths), lengths) + np.arange(total)]
+        self._drop(stay)
         return ids, np.concatenate([[0], ends[np.array(until, np.int64) - 1]]).astype(np.int64) if until else np.zeros(1, np.int64)
