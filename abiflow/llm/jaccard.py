@@ -143,8 +143,8 @@ def _frequent(texts: DataFrame, n: int, percent: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, fp, keys (the prefix in global order) and bits (the
-    parity bitmap), both given once for equal sets of a task."""
+    """doc_id, text_hash, n_shingles, fp, keys (the prefix in global order) and
+    bits (the parity bitmap), both given once for equal sets of a task."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -152,7 +152,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Da
         last, told = shared.value, set()
         for b in batches:
             size, fps, keys, bits = [], [], [], []
-            for _, grams in shingle_sets(b.column(1), n):
+            for _, grams in shingle_sets(b.column(2), n):
                 size.append(len(grams))
                 fps.append(fingerprint(grams))
                 key, bit = grams[:0], None
@@ -167,11 +167,12 @@ def _prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> Da
                 keys.append(key.view(np.int64))
                 bits.append(bit)
             yield pa.record_batch(
-                [b.column(0), pa.array(size, pa.int64()), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                names=["doc_id", "n_shingles", "fp", "keys", "bits"],
+                [b.column(0), b.column(1), pa.array(size, pa.int64()), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "fp", "keys", "bits"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles bigint, fp bigint, keys array<bigint>, bits binary")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, fp bigint, keys array<bigint>, bits binary")
 
 
 def _among(grams: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -224,7 +225,8 @@ def _size_class(n: F.Column, percent: int) -> F.Column:
 def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
     """(fp, other, links): a spanning forest of the links of each task, and
     at other = fp the number of rows a set links with in that task.
-    nodes: fp, family, doc_id of one of its texts, copies, n_shingles."""
+    nodes: fp, family, doc_id and text_hash of one of its texts, copies,
+    n_shingles."""
     nodes = nodes.withColumn("size_class", _size_class(F.col("n_shingles"), percent))
     whole = nodes.groupBy("family").agg(F.sum("n_shingles").alias("grams"), F.count(F.lit(1)).alias("sets"))
     per = nodes.groupBy("family", "size_class").agg(F.sum("n_shingles").alias("grams"), F.count(F.lit(1)).alias("sets"))
@@ -249,17 +251,25 @@ def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame
     down = F.when(F.col("below").isNotNull(), F.transform(F.sequence(F.lit(0), F.col("below") - 1), lambda j: task(c - 1, j, c, own))).otherwise(none)
     minus = F.lit(-1)
     tasks = F.when(F.col("large"), F.concat(same, up, down)).otherwise(F.array(task(minus, minus, minus, minus)))
-    rows = rows.select("fp", "doc_id", "copies", F.concat(F.when(F.col("large"), c).otherwise(-1), F.lit(":"), F.when(F.col("large"), own).otherwise(-1)).alias("mine"), "family", tasks.alias("tasks"))
+    rows = rows.select("fp", "doc_id", "text_hash", "copies", F.concat(F.when(F.col("large"), c).otherwise(-1), F.lit(":"), F.when(F.col("large"), own).otherwise(-1)).alias("mine"), "family", tasks.alias("tasks"))
 
     few = rows.count() <= BROADCAST_ROWS
-    texts = docs.select(F.col("doc_id").alias("_id"), "text")
-    rows = texts.join(F.broadcast(rows) if few else rows, F.col("_id").eqNullSafe(F.col("doc_id")))
+    # the row of one text for each set; rows without doc_id, or that share one,
+    # meet the sets of their own text only
+    texts = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), "text")
+    same_row = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash"))
+    rows = texts.join(F.broadcast(rows) if few else rows, same_row)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = set()
         for b in batches:
             grams = [g for _, g in shingle_sets(b.column(0), n)]
-            # a doc_id may stand on several rows: take the row of this set
-            keep = [k for k, (g, fp) in enumerate(zip(grams, b.column(1).to_pylist(), strict=True)) if fingerprint(g) == fp]
+            # repeated rows bring a set once in a task
+            keep = []
+            for k, (g, fp) in enumerate(zip(grams, b.column(1).to_pylist(), strict=True)):
+                if fp not in told and fingerprint(g) == fp:
+                    told.add(fp)
+                    keep.append(k)
             part = b.take(pa.array(keep, pa.int64()))
             yield pa.record_batch([*part.columns[1:], pa.array([grams[k].view(np.int64) for k in keep], pa.list_(pa.int64()))], names=["fp", "copies", "mine", "family", "tasks", "grams"])
 
@@ -363,7 +373,7 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame
     late = spark.createDataFrame(pa.table({"key": pa.array(frequent.view(np.int64)), "often": pa.array(np.ones(len(frequent), bool))}))
     family = checkpointed(_families(sets, late, percent))
     # one row per set, counted in each task before the shuffle
-    by_set = sets.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"))
+    by_set = sets.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.coalesce(F.min_by("text_hash", "doc_id"), F.min("text_hash")).alias("text_hash"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"))
     by_set = checkpointed(by_set)
     links = checkpointed(_links(docs, by_set.join(family, "fp"), n, percent))
     classes = components(links, "fp", "other").select(F.col("node").alias("fp"), "root")
