@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from abiflow.llm import decontaminate, jaccard, langid, licenses, packing, pii, quality, sharding, token_files
 from abiflow.llm.common import scratch
 from abiflow.llm.components import components
-from abiflow.llm.token_ids import public_path
+from abiflow.llm.token_ids import BYTE_LEVEL, WORD_ENDS, Encoder, public_path
 
 from . import brute
 
@@ -162,7 +162,9 @@ def test_language_on_held_out_rows(spark):
     trees = langid.train(langid.sample(docs, rest != 1))
     p = langid.predict(docs, trees).join(docs.select("doc_id", "lang"), "doc_id").where(rest == 1).toPandas()
     assert (p.lang == p.lang_pred).mean() > 0.98
-    held = np.exp2(-trees.bits.astype(float).reshape(-1, trees.n_symbols, len(trees.languages)).transpose(0, 2, 1)).sum(-1)
+    states, symbols = (x.ravel() for x in np.indices((len(trees.shorter), trees.n_symbols)))
+    bits = langid._bits(trees, states, symbols).astype(float)
+    held = np.exp2(-bits.reshape(-1, trees.n_symbols, len(trees.languages)).transpose(0, 2, 1)).sum(-1)
     assert np.allclose(held, 1, atol=1e-5)  # every context holds a distribution
 
 
@@ -209,6 +211,32 @@ def test_code_lengths_follow_the_trees():
         assert abs(bits - want) < 0.05, (lang, bits, want)
 
 
+def test_a_hundred_languages_of_many_scripts(monkeypatch):
+    """Trees hold what was seen, and give the same bits in blocks of any size."""
+    rng = np.random.default_rng(5)
+    langs, texts = [], []
+    for k in range(100):
+        letters = [chr(0x61 + j) for j in range(26)] if k % 4 == 0 else [chr(0x4E00 + 0x100 * (k % 40) + j) for j in range(40)]
+        words = ["".join(rng.choice(letters, rng.integers(2, 8))) for _ in range(60)]
+        for _ in range(4):
+            langs.append(f"l{k:02}")
+            texts.append(" ".join(rng.choice(words, 150)))
+    batch = pa.record_batch([pa.array(langs), pa.array(texts)], names=["lang", "text"])
+    counts = pa.Table.from_batches(langid._gram_counts(iter([batch]))).to_pydict()
+    grams = np.array(counts["gram"])
+    trees = langid.grow(counts["lang"], grams, np.array(counts["n"]))
+    dense = len(trees.shorter) * trees.n_symbols * 100 * 4
+    assert len(trees.bits) <= sum(len(np.unique(grams & (256**k - 1))) for k in (2, 3, 4)) + trees.n_symbols
+    assert trees.bits.nbytes + trees.escape.nbytes < dense / 10
+    names, score, _ = langid.predict_batch(trees, pa.array(texts))
+    assert names == langs and (score > 0.99).all()
+    whole = langid.code_lengths(trees, pa.array([*texts[:9], "", None]))
+    monkeypatch.setattr(langid, "BLOCK", 1 << 12)
+    again = langid.grow(counts["lang"], grams, np.array(counts["n"]))
+    assert all(np.array_equal(a, b) for a, b in zip(trees[1:], again[1:], strict=True))
+    assert np.allclose(whole, langid.code_lengths(again, pa.array([*texts[:9], "", None])), rtol=1e-6) and not whole[-2:].any()
+
+
 def test_language_edge(spark, edge, nothing):
     trees = langid.train(langid.sample(edge, F.lit(True)))
     got = {(r["doc_id"], r["lang_pred"]) for r in langid.predict(edge, trees).collect()}
@@ -218,6 +246,11 @@ def test_language_edge(spark, edge, nothing):
     assert {r["lang_pred"] for r in langid.predict(edge, none).collect()} == {"und"}
     assert langid.predict(nothing, trees).count() == 0
     assert langid.with_language(edge, trees).select("_language.lang_pred").count() == edge.count()
+    named = edge.withColumn("_Language", F.lit("own"))
+    with pytest.raises(ValueError, match="_language"):
+        langid.with_language(named, trees)
+    other = langid.with_language(named, trees, "__language").where("_Language = 'own' and __language.score between 0 and 1")
+    assert other.count() == edge.count()
 
 
 # --- 3, 8 ------------------------------------------------------------------
@@ -360,6 +393,18 @@ def test_families_cut_into_blocks_give_the_same(spark, monkeypatch):
     check_classes(near_copies(spark), 3, 80)
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_without_an_id_of_their_own(spark, doc_id):
+    """Null or shared ids: a set is met by rows of its own text, not by all rows of that id."""
+    docs = near_copies(spark, 60).withColumn("doc_id", F.lit(doc_id).cast("bigint"))
+    docs = docs.union(docs.limit(40))
+    check_classes(docs, 3, 90)
+    sets = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("fp"))
+    nodes = sets.selectExpr("fp", "doc_id", "text_hash", "1L AS family", "1L AS copies", "88L AS n_shingles")
+    plan = jaccard._links(docs, nodes, 3, 90)._jdf.queryExecution().optimizedPlan().toString()
+    assert [x for x in plan.splitlines() if "Join" in x and "_hash#" in x and "text_hash#" in x]
+
+
 def test_no_classes(nothing):
     assert jaccard.jaccard_classes(nothing).count() == 0
 
@@ -398,6 +443,24 @@ def test_no_licenses(nothing):
     assert licenses.license_scan(nothing).count() == 0
 
 
+@pytest.mark.parametrize(("path", "layout"), [(BYTE, BYTE_LEVEL), (WORD, WORD_ENDS)])
+def test_what_an_encoder_remembers_is_bounded(path, layout):
+    """Texts that can't be cut and long words go as they came; ids stay right."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(3000)]
+    whole = [" ".join(rng.choices(words, k=50)) + "\xa0\u2013  x" for _ in range(30)]
+    long = ["y" * 3000 + " " + w for w in words[:20]]
+    enc = Encoder(public_path(path), layout, characters=4000)
+    for _ in range(3):
+        for texts in (whole, [" ".join(rng.choices(words, k=400)) for _ in range(5)], [*long, "\t \t", "", None], whole[:3] + long[:3] + whole[:3]):
+            ids, at = enc(texts)
+            assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [plain_ids(path, t) for t in texts]
+            assert len(enc.code) == len(enc.at) - 1 == len(enc.met) and enc.at[-1] == len(enc.flat)
+            kept = [w for w in enc.code if w]
+            assert max(map(len, kept)) <= enc.longest and not set(whole) & set(kept) and sum(map(len, kept)) <= 4000 + 2000 * 10
+        assert enc.held == sum(map(len, kept)) - 1 or enc.held == sum(map(len, kept))
+
+
 def test_ids_beyond_16_bits_are_an_error():
     f = token_files._File(pa.BufferOutputStream(), 4, False)
     f.add(np.array([65535], np.uint32))
