@@ -248,9 +248,26 @@ def with_spans(docs: DataFrame, column: str = "spans") -> DataFrame:
     return docs.withColumn(column, find(F.col("text")))
 
 
+#: Texts that are redacted at a time.
+REDACT_ROWS = 256
+
+
 def redacted(docs: DataFrame) -> DataFrame:
-    """``docs`` with every identifier in ``text`` replaced by its kind."""
-    return docs.withColumn("text", pandas_udf(lambda texts: texts.map(redact_text), "string")(F.col("text")))
+    """``docs`` with every identifier in ``text`` replaced by its kind.  The
+    rows pass as Arrow, some at a time, and a worker gives back what Arrow
+    holds of them: no frame library is loaded, no batch is held twice."""
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, REDACT_ROWS):
+                part = b.slice(lo, REDACT_ROWS)
+                text = pa.array([redact_text(t) for t in part.column(at).to_pylist()], part.schema.field(at).type)
+                yield part.set_column(at, part.schema.field(at), text)
+            pa.default_memory_pool().release_unused()
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def span_digest(docs: DataFrame) -> DataFrame:
