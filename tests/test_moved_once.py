@@ -106,3 +106,14 @@ def test_few_hashes_match_as_many_do(spark):
     # a log is one row until it has met its transaction
     assert plan(many).index("Generate") > plan(few).index("Generate")
     assert rows(M.match_logs(kept, logs, filters.where("false"), small_filters=True, hashes=[])) == []
+
+
+def test_hashes_are_made_where_rows_arrive(spark, chain_dir):
+    made = "Exchange hashpartitioning(sha2("
+    t = C.chain_tables(spark, chain_dir)
+    for df, moves in ((t.logs.groupBy("tx_hash").count(), 1), (t.receipts.select("tx_hash").distinct(), 1),
+                      (C.nested_receipts(spark, chain_dir), 2)):
+        assert plan(df).count(made) == exchanges(df) == moves  # the key moves, not its 64 digits
+    assert t.receipts.count() == 10
+    both = t.receipts.hint("merge").join(t.logs.hint("merge"), "tx_hash", "left")
+    assert exchanges(both) == 2 and both.where("log_index IS NULL").count() == 1
