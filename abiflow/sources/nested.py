@@ -23,13 +23,19 @@ from ..operators import blocks as B
 from ..plans.pipeline import ChainInput
 
 
+def _digits(text) -> Column:
+    text = F.col(text) if isinstance(text, str) else text
+    marked = text.startswith("0x") | text.startswith("0X")
+    return F.when(marked, F.substr(text, F.lit(3))).otherwise(text)
+
+
 def bare_hex(text) -> Column:
     """Lower-case hex digits without ``0x``."""
-    return F.lower(F.regexp_replace(text, r"\A0[xX]", ""))
+    return F.lower(_digits(text))
 
 
 def _bytes(data: Column, kind: T.DataType) -> Column:
-    return data if isinstance(kind, T.BinaryType) else F.unhex(bare_hex(data))
+    return data if isinstance(kind, T.BinaryType) else F.unhex(_digits(data))
 
 
 def flat_blocks(blocks: DataFrame) -> DataFrame:

@@ -6,7 +6,9 @@ import uuid
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from abiflow.functions import encode as E
 from abiflow.operators import match as M
 from abiflow.plans import queries as Q
 from abiflow.session import scratch_path
@@ -117,3 +119,28 @@ def test_hashes_are_made_where_rows_arrive(spark, chain_dir):
     assert t.receipts.count() == 10
     both = t.receipts.hint("merge").join(t.logs.hint("merge"), "tx_hash", "left")
     assert exchanges(both) == 2 and both.where("log_index IS NULL").count() == 1
+
+
+def test_bare_hex_takes_one_mark(spark):
+    texts = ["0xAB", "0Xab", "AB", "0x", "", "0x0xAB", "x0AB", "00xA", None, "0", "\n0xAB"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(F.coalesce(nested.bare_hex("t").eqNullSafe(F.lower(F.regexp_replace("t", r"\A0[xX]", ""))), F.lit(False))).collect()
+    assert all(r[0] for r in got)
+    for data, want in (("0xAbC0", b"\xab\xc0"), ("0X", b""), ("abc0", b"\xab\xc0"), ("zz", None), (None, None)):
+        one = spark.createDataFrame([(data,)], "t string").select(nested._bytes(F.col("t"), T.StringType())).first()[0]
+        assert one == want
+
+
+def test_words_are_padded_as_before(spark):
+    values = [0, 1, -1, 15, 255, -255, 2**31, 2**63 - 1, -(2**63), None]
+    df = spark.createDataFrame([(v,) for v in values], "x bigint")
+    word = F.when(F.col("x") < 0, F.lpad(F.hex("x"), 64, "f")).otherwise(F.lpad(F.hex("x"), 64, "0"))
+    for r in df.select("x", E.word_int(F.col("x")), word, E.word_uint(F.col("x")), F.lpad(F.hex("x"), 64, "0")).collect():
+        assert r[1] == r[2] and r[3] == r[4] and (r[0] is None or len(r[1]) == 64)
+
+
+def test_payload_text_is_the_payload(spark, chain_dir):
+    lines = C.read(spark, chain_dir, "lineitem")
+    texts = lines.select(C.event_payload(F.col), F.unhex(C.event_payload_hex(F.col)), "l_partkey").collect()
+    assert all(r[0] == r[1] and len(r[0]) == (C.SHORT_DATA_LEN if r[2] % C.SHORT_DATA_MOD == 0 else 288) for r in texts)
+    assert {len(r[0]) for r in texts} == {C.SHORT_DATA_LEN, 288}
