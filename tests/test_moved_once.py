@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from abiflow.functions import encode as E
 from abiflow.operators import match as M
+from abiflow.plans import pipeline as P
 from abiflow.plans import queries as Q
 from abiflow.session import scratch_path
 from abiflow.sources import landed as L
@@ -144,3 +145,21 @@ def test_payload_text_is_the_payload(spark, chain_dir):
     texts = lines.select(C.event_payload(F.col), F.unhex(C.event_payload_hex(F.col)), "l_partkey").collect()
     assert all(r[0] == r[1] and len(r[0]) == (C.SHORT_DATA_LEN if r[2] % C.SHORT_DATA_MOD == 0 else 288) for r in texts)
     assert {len(r[0]) for r in texts} == {C.SHORT_DATA_LEN, 288}
+
+
+def test_many_filters_of_few_hashes_move_no_match_by_address(spark, chain_dir):
+    """Two addresses with four filters: beyond the bound with their texts,
+    within it by the place of their hash."""
+    whole = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    got, moved = {}, {}
+    try:
+        for bound in (1, 2, P.DEFAULT_MAX_ROWS):
+            out = P.run_batch(Q.chain_input(spark, chain_dir), max_broadcast_rows=bound)
+            moved[bound] = plan(out.matches).count("SortMergeJoin [to#")
+            got[bound] = rows(out.matches.drop("data"))
+            out.release()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", whole)
+    assert got[1] == got[2] == got[P.DEFAULT_MAX_ROWS] and len(got[2]) > 10
+    assert moved[2] == moved[P.DEFAULT_MAX_ROWS] == 0 < moved[1]
