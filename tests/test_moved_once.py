@@ -14,7 +14,7 @@ from abiflow.plans import pipeline as P
 from abiflow.plans import queries as Q
 from abiflow.session import scratch_path
 from abiflow.sources import landed as L
-from abiflow.sources import nested
+from abiflow.sources import nested, sinks
 from abiflow.sources import tpch_chain as C
 
 DAY = datetime.datetime(1995, 1, 3)
@@ -163,3 +163,29 @@ def test_many_filters_of_few_hashes_move_no_match_by_address(spark, chain_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", whole)
     assert got[1] == got[2] == got[P.DEFAULT_MAX_ROWS] and len(got[2]) > 10
     assert moved[2] == moved[P.DEFAULT_MAX_ROWS] == 0 < moved[1]
+
+
+def test_a_written_run_moves_a_line_once(spark, chain_dir, monkeypatch):
+    """o3_batch_run_tables beyond a few transactions: lines are moved by the
+    key their hash is made of, for the events alone, and nothing made of them
+    is moved on the way to its file."""
+    plans, write = {}, sinks._write
+
+    def seen(df, path, batch_id):
+        plans[os.path.basename(path)] = plan(df)
+        write(df, path, batch_id)
+
+    few = rows(Q.o3_batch_run_tables(spark, chain_dir))
+    monkeypatch.setattr(sinks, "_write", seen)
+    monkeypatch.setattr(P, "FEW_TRANSACTIONS", 0)
+    whole = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = rows(Q.o3_batch_run_tables(spark, chain_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", whole)
+    assert got == few and len(got) > 10 and set(plans) == set(sinks.TABLES)
+    events = plans.pop(sinks.EVENTS)
+    assert events.count("Exchange hashpartitioning(sha2(cast(cast(l_orderkey") == events.count("FileScan parquet [l_orderkey") == 1
+    assert "Exchange" not in events[: events.index("Window [row_number")]
+    assert not any("l_orderkey" in other for other in plans.values())
